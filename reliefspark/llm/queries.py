@@ -9,12 +9,40 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from . import bpe_prefix
+
+    path, pattern = _tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    return bpe_prefix.digests(bpe_prefix.decode(bpe_prefix.encode(_table(spark, sf_dir, "documents"), path, pattern), path, pattern))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_files import token_table
+
+    ids = token_table(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=1)
+    return ids.selectExpr("doc_id", "start", "cast(length(ids) div 4 as long) AS n_tokens", "crc32(ids) AS ids_crc32")
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import best_fit_sequences
+
+    return best_fit_sequences(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), capacity=1024, end_id=2)
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import jaccard_components
 
     return jaccard_components(_table(spark, sf_dir, "documents"), width=4, num=85, den=100, fold=True)
 
 
-QUERIES = {f.__name__: f for f in (op9_ngram_jaccard_join,)}
+QUERIES = {f.__name__: f for f in (op3_byte_bpe, op5_token_files, op6_best_fit_packing, op9_ngram_jaccard_join,)}
 
 ORACLES: dict[str, str] = {}
