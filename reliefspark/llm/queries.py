@@ -15,6 +15,22 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embedding_dedup import embedding_components
+
+    return embedding_components(_table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from . import toxicity
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.tag(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"), "toxic_spans")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -43,6 +59,6 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), width=4, num=85, den=100, fold=True)
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op5_token_files, op6_best_fit_packing, op9_ngram_jaccard_join,)}
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_toxicity, op3_byte_bpe, op5_token_files, op6_best_fit_packing, op9_ngram_jaccard_join,)}
 
 ORACLES: dict[str, str] = {}

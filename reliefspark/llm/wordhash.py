@@ -84,10 +84,20 @@ def blocks(raw: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, int]]:
         i = j
 
 
-def words(raw: np.ndarray, off: np.ndarray, fold: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool = False) -> np.ndarray:
+    """A 64-bit hash of each span of bytes; fold: letters A-Z count as a-z."""
+    n = len(raw)
+    up, down = _powers.upto(n + 1)
+    with np.errstate(over="ignore"):
+        total = np.zeros(n + 1, _U)
+        np.cumsum((_FOLDED if fold else _EXACT)[raw] * up[:n], out=total[1:])
+        return mix((total[end] - total[start]) * down[start] + (end - start).astype(_U))
+
+
+def words(raw: np.ndarray, off: np.ndarray, fold: bool = False, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, document, start, end) of each word; document, start and end count from this block's first.
 
-    fold: letters A-Z count as a-z.
+    fold: letters A-Z count as a-z; breaks: the bytes that words are made without.
     """
     base = off[0]
     raw = raw[base : off[-1]]
@@ -96,7 +106,7 @@ def words(raw: np.ndarray, off: np.ndarray, fold: bool = False) -> tuple[np.ndar
     if n == 0:
         e = np.zeros(0, np.int64)
         return np.zeros(0, _U), e, e, e
-    solid = ~_SPACE[raw]
+    solid = ~breaks[raw]
     # A document's first byte starts a word whatever precedes it.
     edge = np.zeros(n + 1, bool)
     edge[off] = True
@@ -104,13 +114,8 @@ def words(raw: np.ndarray, off: np.ndarray, fold: bool = False) -> tuple[np.ndar
     start = np.flatnonzero(solid & (~before | edge[:-1]))
     after = np.concatenate([solid[1:], [False]])
     end = np.flatnonzero(solid & (~after | edge[1:])) + 1
-    up, down = _powers.upto(n + 1)
-    with np.errstate(over="ignore"):
-        total = np.zeros(n + 1, _U)
-        np.cumsum((_FOLDED if fold else _EXACT)[raw] * up[:n], out=total[1:])
-        h = mix((total[end] - total[start]) * down[start] + (end - start).astype(_U))
     doc = np.searchsorted(off, start, "right") - 1
-    return h, doc, start, end
+    return span_hashes(raw, start, end, fold), doc, start, end
 
 
 def shingles(h: np.ndarray, doc: np.ndarray, n_docs: int, width: int) -> list[np.ndarray]:
