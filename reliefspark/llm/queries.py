@@ -53,12 +53,29 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_sequences(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), capacity=1024, end_id=2)
 
 
+def op7_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = quality.judge(docs.select("doc_id", "text"), quality.references(docs))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance")
+
+
+def op8_language_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import langid
+    from .toxicity import held_out
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.classify(docs.select("doc_id", "text"), langid.dictionaries(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "narrow")
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import jaccard_components
 
     return jaccard_components(_table(spark, sf_dir, "documents"), width=4, num=85, den=100, fold=True)
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_toxicity, op3_byte_bpe, op5_token_files, op6_best_fit_packing, op9_ngram_jaccard_join,)}
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_toxicity, op3_byte_bpe, op5_token_files, op6_best_fit_packing, op7_quality_divergence, op8_language_compression, op9_ngram_jaccard_join,)}
 
 ORACLES: dict[str, str] = {}
