@@ -40,6 +40,12 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_prefix.digests(bpe_prefix.decode(bpe_prefix.encode(_table(spark, sf_dir, "documents"), path, pattern), path, pattern))
 
 
+def op4_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import secrets
+
+    return secrets.digest(secrets.spans(_table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"]))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_files import token_table
 
@@ -76,6 +82,6 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), width=4, num=85, den=100, fold=True)
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_toxicity, op3_byte_bpe, op5_token_files, op6_best_fit_packing, op7_quality_divergence, op8_language_compression, op9_ngram_jaccard_join,)}
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_toxicity, op3_byte_bpe, op4_credential_linking, op5_token_files, op6_best_fit_packing, op7_quality_divergence, op8_language_compression, op9_ngram_jaccard_join,)}
 
 ORACLES: dict[str, str] = {}
