@@ -97,7 +97,11 @@ def _joined(found: Column) -> Column:
 def digest(found: DataFrame) -> DataFrame:
     """doc_id, counts of the base kinds, their digest and all spans as a string."""
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k, *_ in BASE]
+
+    def count(k: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+
+    counts = [count(k) for k, *_ in BASE]
     return found.select("doc_id", *counts, F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
 
 
