@@ -82,6 +82,13 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), width=4, num=85, den=100, fold=True)
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_toxicity, op3_byte_bpe, op4_credential_linking, op5_token_files, op6_best_fit_packing, op7_quality_divergence, op8_language_compression, op9_ngram_jaccard_join,)}
+def op10_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import warc
+
+    found = warc.read_archives(warc.archive(_table(spark, sf_dir, "pages"), least=1000))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_toxicity, op3_byte_bpe, op4_credential_linking, op5_token_files, op6_best_fit_packing, op7_quality_divergence, op8_language_compression, op9_ngram_jaccard_join, op10_warc_dictionary)}
 
 ORACLES: dict[str, str] = {}
