@@ -74,7 +74,7 @@ class TokenFile:
     def __init__(self, uri: str) -> None:
         fs, path = open_filesystem(uri)
         fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
-        self.uri, self.out = uri, fs.open_output_stream(path)
+        self.uri, self.out = uri, fs.open_output_stream(path, compression=None)
         self.out.write(MAGIC)
         self.at, self.tokens = 4, 0
         self.held: list[np.ndarray] = []

@@ -107,7 +107,7 @@ def write_archives(rows: DataFrame, folder: str, dictionary: bytes) -> DataFrame
                     uri = f"{stem}-{len(made):04d}.warc.zst"
                     fs, path = open_filesystem(uri)
                     fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
-                    out = fs.open_output_stream(path)
+                    out = fs.open_output_stream(path, compression=None)
                     first = struct.pack("<II", DICTIONARY_MAGIC, len(shared.value)) + shared.value if d is not None else b""
                     out.write(first)
                     written, n, held = len(first), 0, 0
