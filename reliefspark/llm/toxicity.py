@@ -232,15 +232,15 @@ def fit(texts: list[str], labels: list[int], steps: int = 30) -> Model:
 
 
 def without_near_copies(texts: list[str], labels: list[int]) -> tuple[list[str], list[int]]:
-    """The first of each group of documents that share one of four minima of their shingles' hashes."""
+    """The first of each label's documents that share one of four minima of their shingles' hashes."""
     raw, off = wordhash.column_buffers(pa.array(texts, pa.large_string()))
     if not len(texts):
         return texts, labels
     h, doc, _, _ = wordhash.words(raw, off, True)
-    seen: set[tuple[int, int]] = set()
+    seen: set[tuple[int, int, int]] = set()
     keep = []
     for i, s in enumerate(wordhash.shingles(h, doc, len(texts), 4)):
-        mine = {(k, int(mix(s ^ _U(0x1234567 * (k + 1))).min())) for k in range(4)} if len(s) else {(-1, 0)}
+        mine = {(labels[i], k, int(mix(s ^ _U(0x1234567 * (k + 1))).min())) for k in range(4)} if len(s) else {(labels[i], -1, 0)}
         if not mine & seen:
             keep.append(i)
         seen |= mine
