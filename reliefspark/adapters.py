@@ -62,7 +62,7 @@ def triangles(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     top = o.agg(F.max("o_orderkey").alias("top"))
     quad = o.filter("o_orderstatus <> 'P' AND o_orderkey % 100 < 99").join(F.broadcast(top), F.col("o_orderkey") < F.col("top") - 100).select(F.col("o_orderkey").alias("k"))
-    return quad.select(F.expr("inline(array(struct(2*k, k, k+1, k+100), struct(2*k+1, k+1, k+101, k+100))) as (tid, i0, i1, i2)"))
+    return quad.selectExpr("stack(2, 2*k, k, k+1, k+100, 2*k+1, k+1, k+101, k+100) AS (tid, i0, i1, i2)")
 
 
 RASTER = "raster AS (SELECT CAST(p_partkey % 50 AS INTEGER) AS px, CAST(p_partkey // 50 AS INTEGER) AS py, CASE WHEN p_size = 1 THEN CAST(-9999 AS DOUBLE) ELSE p_retailprice END AS alt FROM part)"
