@@ -30,11 +30,11 @@ from .wordhash import mix
 _U = np.uint64
 PREFIXES = (4, 5)
 #: Labelled documents of each class that the model is fitted on, at most.
-TRAIN_DOCS = 800
+TRAIN_DOCS = 400
 #: Clean documents for each toxic one in the sample.
 CLEAN_TIMES = 3
 #: Longest text used for fitting (bytes); longer documents are left out of the sample, none is cut.
-TRAIN_BYTES = 8_000
+TRAIN_BYTES = 4_000
 MOST_FEATURES = 5_000
 #: Share of the toxic documents, and of all documents, that a telling or any feature is found in at least.
 TELLING_SHARE, FEATURE_SHARE = 0.02, 0.004
@@ -194,6 +194,7 @@ def fit(texts: list[str], labels: list[int], steps: int = 30) -> Model:
     weight = np.abs(odds) * np.sqrt(toxic + clean)
     chosen = np.flatnonzero(toxic + clean >= max(3, FEATURE_SHARE * n_docs))
     chosen = np.sort(chosen[np.argsort(-weight[chosen], kind="stable")[:MOST_FEATURES]])
+    del h, d, k, pairs, f, of
     table, telling = u[chosen], (odds[chosen] > 3) & (toxic[chosen] >= max(3, TELLING_SHARE * n_toxic))
     model = Model(table, np.zeros(len(table)), -4.0, np.zeros((2, 2)), np.array([4.0, 0, 0, -2.0]))
     known = [model.lookup(x) for x in t.features]
