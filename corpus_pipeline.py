@@ -13,25 +13,37 @@ from reliefspark.llm import jaccard_join, packing, quality, secrets, toxicity
 from reliefspark.llm.common import store, workspace
 
 
+def _plain(docs: DataFrame, *used: str) -> DataFrame:
+    """docs with its columns numbered, except those an operator reads, so that no name clashes with a result's."""
+    return docs.toDF(*[c if c in used else f"__{k}" for k, c in enumerate(docs.columns)])
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.5; the model is learned from the labels of `docs`."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.tag(docs, model).filter("toxicity < 0.5").select(*docs.columns)
+    rows = _plain(docs, "text")
+    return toxicity.tag(rows, model).filter("toxicity < 0.5").select(*rows.columns).toDF(*docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; the references are counted over `docs`."""
-    return quality.judge(docs, quality.references(docs)).filter("kept").select(*docs.columns)
+    rows = _plain(docs, "text")
+    return quality.judge(rows, quality.references(docs)).filter("kept").select(*rows.columns).toDF(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest id of each component of five-word shingles at a similarity of 0.8.
 
-    A null id is kept: nothing tells such documents apart.
+    A null id is kept: nothing tells such documents apart. Repeated rows of one id and text stay once.
     """
-    component = jaccard_join.jaccard_components(docs, width=5, num=80, den=100)
+    component = store(jaccard_join.jaccard_components(docs, width=5, num=80, den=100), workspace(spark, "near"), "component")
     dropped = component.filter("doc_id <> component_id").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    twice = component.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if twice.isEmpty():
+        return kept
+    once = kept.join(twice, "doc_id", "left_anti").select(*docs.columns)
+    return once.unionByName(kept.join(twice, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"]))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

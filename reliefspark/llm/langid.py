@@ -99,9 +99,10 @@ def classify(docs: DataFrame, texts: dict[str, bytes]) -> DataFrame:
 
     A null text and one without a letter is `und`, score 0, narrow; so is every text if no language
     was learned. Ties go to the language whose dictionary shortens the single words most, then to
-    the first by name. Columns of the result's names must not be in docs.
+    the first by name. A column of docs with one of these names is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(texts)
+    docs = docs.drop("lang_pred", "score", "narrow")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = Compressor(shared.value)

@@ -251,13 +251,12 @@ RESULT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_rep
 def judge(docs: DataFrame, ref: References, rules: Rules = Rules()) -> DataFrame:
     """All columns of docs (text, ...) with the counts, both distances and the verdict `kept`, for every row.
 
-    A null or empty text has no words, fails the base rules and is not kept. Columns of the result's
-    names must not be in docs.
+    A null or empty text has no words, fails the base rules and is not kept. A column of docs with
+    one of the result's names is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(ref)
     new = [x.split()[0] for x in RESULT.split(", ")]
-    if set(new) & set(docs.columns):
-        raise ValueError(f"docs has columns of the result: {sorted(set(new) & set(docs.columns))}")
+    docs = docs.drop(*new)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

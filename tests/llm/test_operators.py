@@ -369,7 +369,7 @@ def test_pipeline_columns(spark, tmp_path):
     r = random.Random(7)
     base = [" ".join(words_of(r, 80, 300)) for _ in range(90)]
     rows = [(i, base[i - 30 if 30 <= i < 45 else i] + " gronk blarg gronk" * (i >= 45), "en", "s", 10) for i in range(90)]
-    rows += [(900, None, "en", "s", 0), (901, " ".join(words_of(r, 80, 300)) + " password=abcdefgh1", "en", "s", 0)]
+    rows += [rows[0], (900, None, "en", "s", 0), (901, " ".join(words_of(r, 80, 300)) + " password=abcdefgh1", "en", "s", 0)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(i, 1, int(45 <= i < 90)) for i in range(90)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
@@ -378,8 +378,24 @@ def test_pipeline_columns(spark, tmp_path):
         docs = stage(spark, docs, str(tmp_path)).cache()
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         kept.append({x["doc_id"] for x in docs.collect()})
+    assert docs.count() == 31
     assert kept[0] == {*range(45), 900, 901}
     assert kept[1] == {*range(45), 901}
     assert kept[2] == {*range(30), 901}
     assert "*" * 18 in docs.filter("doc_id = 901").first()["text"]
     assert corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().count() == 31
+
+
+def test_stages_with_clashing_columns(spark, tmp_path):
+    import corpus_pipeline
+
+    r = random.Random(9)
+    rows = [(i, " ".join(words_of(r, 60, 300)), "en", "s", 1, True, 0.5, "x") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, kept boolean, toxicity double, spans string")
+    spark.createDataFrame([(i, 1, i % 2) for i in range(12)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        for d in (docs, docs.limit(0)):
+            out = stage(spark, d, str(tmp_path))
+            rows = out.collect()
+            assert name == "best_fit_packing" or out.columns == docs.columns
+            assert d is docs or not rows
