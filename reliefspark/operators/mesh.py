@@ -95,3 +95,19 @@ def principal_component(triangles: DataFrame, parts: DataFrame) -> DataFrame:
     """The triangles of the largest component; of equals the lowest number."""
     best = component_sizes(parts).agg(F.max_by("component", F.struct("size", -F.col("component"))).alias("component"))
     return triangles.join(parts.join(F.broadcast(best), "component").select("tid"), "tid", "left_semi")  # one row
+
+
+def adjacency_indices(triangles: DataFrame) -> DataFrame:
+    """(tid, i0, o0, i1, o1, i2, o2): corners interleaved with the vertex across each edge, the corner itself on a boundary."""
+    e = adjacency(triangles)
+    corner = triangles.select(F.col("tid").alias("ot"), F.array("i0", "i1", "i2").alias("c"))
+    across = e.join(corner, F.expr("opposite div 3") == F.col("ot"), "left").select("tid", (F.col("eid") % 3).alias("k"), F.expr("c[cast((opposite + 2) % 3 as int)]").alias("o"))
+    wide = across.groupBy("tid").agg(*[F.max(F.when(F.col("k") == k, F.col("o"))).alias(f"o{k}") for k in range(3)])
+    return triangles.join(wide, "tid").select("tid", "i0", F.coalesce("o0", "i0").alias("o0"), "i1", F.coalesce("o1", "i1").alias("o1"), "i2", F.coalesce("o2", "i2").alias("o2"))
+
+
+def shadow_indices(vertices: DataFrame, triangles: DataFrame, *attributes: str) -> DataFrame:
+    """Triangles over the first vertices of equal leading attributes (x, y, z by default)."""
+    from . import remap
+
+    return remap.apply(triangles, remap.dedup(vertices, *attributes))

@@ -215,3 +215,16 @@ def encoded(triangles: DataFrame, key: str = "mesh_id") -> DataFrame:
 
 def analyzed(triangles: DataFrame, key: str = "mesh_id") -> DataFrame:
     return per_mesh(triangles, lambda t: pd.DataFrame([cache_misses(t) | {"overfetch": overfetch(t)}]), "acmr double, atvr double, overfetch double", key)
+
+
+def overdraw_order(pos: np.ndarray, tri: np.ndarray, cluster: np.ndarray) -> np.ndarray:
+    """A permutation that draws outward-facing clusters first; the order within a cluster stays."""
+    n = np.cross(pos[tri[:, 1]] - pos[tri[:, 0]], pos[tri[:, 2]] - pos[tri[:, 0]])
+    area = np.linalg.norm(n, axis=1)
+    mid = pos[tri].mean(1)
+    k = int(cluster.max()) + 1 if len(cluster) else 0
+    weight = np.maximum(np.bincount(cluster, weights=area, minlength=k), 1e-300)
+    centre = np.stack([np.bincount(cluster, weights=area * mid[:, c], minlength=k) for c in range(3)], 1) / weight[:, None]
+    facing = np.stack([np.bincount(cluster, weights=n[:, c], minlength=k) for c in range(3)], 1) / weight[:, None]
+    whole = (mid * area[:, None]).sum(0) / max(area.sum(), 1e-300)
+    return np.argsort(-((centre - whole) * facing).sum(1)[cluster], kind="stable")

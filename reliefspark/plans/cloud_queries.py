@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import adapters as A
-from ..functions import vec
+from ..functions import hashing, vec
 from ..operators import grid, knn, mesh, normals, simplify
 from .registry import query
 
@@ -268,3 +268,27 @@ def triangle_normals(spark, d):
 @query("boundary_counts", f"WITH {A.VTX}, {A.TRI}, {A.HE} SELECT count(DISTINCT src) AS boundary FROM he a WHERE NOT EXISTS (SELECT 1 FROM he b WHERE b.src = a.dst AND b.dst = a.src)")
 def boundary_counts(spark, d):
     return mesh.boundary_vertices(A.triangles(spark, d)).agg(F.count("*").alias("boundary"))
+
+
+@query("position_hash", f"WITH {A.PTS}, b AS (SELECT pid, (x + 20000) * 40503 % 4294967296 AS p, (y + 20000) * 30011 % 4294967296 AS q, z % 4294967296 AS r FROM pts) SELECT pid, xor(xor(((xor(p, p >> 17)) * 73856093) & 4294967295, ((xor(q, q >> 17)) * 19349663) & 4294967295), ((xor(r, r >> 17)) * 83492791) & 4294967295) AS hash FROM b")
+def position_hash(spark, d):
+    b = A.pts(spark, d).selectExpr("pid", "(x + 20000) * 40503 % 4294967296 p", "(y + 20000) * 30011 % 4294967296 q", "z % 4294967296 r")
+    return b.select("pid", hashing.position_hash((F.col("p"), F.col("q"), F.col("r"))).alias("hash"))
+
+
+@query("mix_hash", f"WITH {A.PTS}, b AS (SELECT pid, (z * 1540483477) & 4294967295 AS k FROM pts), c AS (SELECT pid, (xor(k, k >> 24) * 1540483477) & 4294967295 AS k FROM b) SELECT pid, xor((pid * 1540483477) & 4294967295, k) AS hash FROM c")
+def mix_hash(spark, d):
+    return A.pts(spark, d).select("pid", hashing.mix32(F.col("pid"), F.col("z")).alias("hash"))
+
+
+@query("number_codecs", f"WITH {A.V} SELECT pid, true AS exponent_near, true AS quaternion_near FROM v")
+def number_codecs(spark, d):
+    v = A.v(spark, d)
+    m, e = hashing.encode_exponent(F.col("x"))
+    n = F.sqrt(F.col("x") * F.col("x") + F.col("y") * F.col("y") + F.col("z") * F.col("z") + F.lit(0.01))
+    v = v.withColumns({"a": F.col("x") / n, "b": F.col("y") / n, "c": F.col("z") / n, "e": F.lit(0.1) / n})
+    q = tuple(F.col(c) for c in "abce")
+    at, *rest = hashing.encode_quaternion(q)
+    back = hashing.decode_quaternion(at, tuple(rest))
+    same = sum((p * r for p, r in zip(q, back, strict=True)), F.lit(0.0))
+    return v.select("pid", (F.abs(hashing.decode_exponent(m, e) - F.col("x")) <= F.abs("x") / 8192).alias("exponent_near"), (F.abs(same) > 0.99999).alias("quaternion_near"))

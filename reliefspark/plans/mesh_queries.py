@@ -296,3 +296,13 @@ def box_algebra(spark, d):
     j = b.alias("a").join(b.alias("b"), F.col("a.lod") < F.col("b.lod"))
     u = j.select(F.col("a.lod").alias("lod_a"), F.col("b.lod").alias("lod_b"), F.struct(*grid.box_union("a", "b")).alias("u"), F.struct(*grid.box_intersection("a", "b")).alias("i"))
     return u.selectExpr("lod_a", "lod_b", "u.min_x", "u.min_y", "u.max_z", "i.min_x > i.max_x AS apart")
+
+
+@query("adjacency_indices", f"{M}, {_ADJ}, o AS (SELECT adj.tid, adj.eid % 3 AS k, CASE adj.opposite % 3 WHEN 0 THEN t.i2 WHEN 1 THEN t.i0 ELSE t.i1 END AS o FROM adj JOIN tri t ON adj.opposite // 3 = t.tid), w AS (SELECT tid, max(o) FILTER (k = 0) AS o0, max(o) FILTER (k = 1) AS o1, max(o) FILTER (k = 2) AS o2 FROM o GROUP BY 1) SELECT tid, i0, coalesce(o0, i0) AS o0, i1, coalesce(o1, i1) AS o1, i2, coalesce(o2, i2) AS o2 FROM tri LEFT JOIN w USING (tid)")
+def adjacency_indices(spark, d):
+    return mesh.adjacency_indices(_t(spark, d))
+
+
+@query("shadow_indices", f"{M}, {_FV}, r AS (SELECT vid, min(vid) OVER (PARTITION BY x, y) AS remap FROM fv) SELECT tid, a.remap AS i0, b.remap AS i1, c.remap AS i2 FROM tri JOIN r a ON i0 = a.vid JOIN r b ON i1 = b.vid JOIN r c ON i2 = c.vid")
+def shadow_indices(spark, d):
+    return mesh.shadow_indices(_fv(spark, d), _t(spark, d), "x", "y")
