@@ -91,4 +91,24 @@ def op10_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_toxicity, op3_byte_bpe, op4_credential_linking, op5_token_files, op6_best_fit_packing, op7_quality_divergence, op8_language_compression, op9_ngram_jaccard_join, op10_warc_dictionary)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_embedding_near_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+ ok AS (SELECT * FROM v WHERE label IS NOT NULL AND x IS NOT NULL AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(x, lambda c: c <> 0)) > 0),
+ links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x) WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+ reach(node, root) AS (SELECT vec_id, vec_id FROM v UNION SELECT b, root FROM reach JOIN links ON a = node WHERE root < b),
+ low AS (SELECT node, min(root) AS component_id FROM reach GROUP BY 1), n AS (SELECT a, count(*) AS n_links FROM links GROUP BY 1)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN low ON node = vec_id LEFT JOIN n ON a = vec_id""",
+    "op9_ngram_jaccard_join": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+ s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM w),
+ f AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n, unnest(s) AS t FROM s),
+ p AS (SELECT x.doc_id AS a, y.doc_id AS b, x.n AS na, y.n AS nb, count(*) AS c FROM f x JOIN f y ON x.t = y.t AND x.doc_id <> y.doc_id GROUP BY 1, 2, 3, 4),
+ links AS (SELECT a, b FROM p WHERE 100 * c >= 85 * (na + nb - c)),
+ reach(node, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT b, root FROM reach JOIN links ON a = node WHERE root < b)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM s JOIN (SELECT node, min(root) AS component_id FROM reach GROUP BY 1) ON node = doc_id""",
+    "op10_warc_dictionary": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+ k AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) ELSE page_id END AS keeper FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN keeper = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN keeper <> page_id THEN keeper END AS refers_to FROM k""",
+}
