@@ -3,15 +3,20 @@
 The splitting patterns of the public tokenizers never let a pre-token run past white space
 that follows a non-space character.  A text is therefore cut before each white-space run,
 each distinct cut is encoded once by the tokenizer proper and the results are joined.
-Texts with white space other than single spaces and line feeds are encoded whole.
+Single spaces and line feeds are cut by splitting, other white space by a pattern; only
+texts with the control characters that tokenizers disagree about are encoded whole.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Callable
 
 _ODD = re.compile(r"[^\S \n]")
+#: White space to Python but not to the tokenizers.
+_DISPUTED = re.compile(r"[\x1c-\x1f]")
+_CUTS = re.compile(r"\s*\S+|\s+")
 #: Letters after which a final comma or full stop is a pre-token of its own; none of them changes into
 #: a base and a mark when lower-cased.
 _PLAIN = frozenset(c for c in map(chr, range(0x41, 0x250)) if c.isalpha() and c != "İ")
@@ -22,28 +27,35 @@ LONGEST_KEPT = 48
 class PieceCache:
     """encode_many(strings) gives each one's ids as bytes; most: pieces kept at a time."""
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], most: int = 400_000) -> None:
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], most: int = 800_000) -> None:
         self.encode_many, self.most = encode_many, most
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.marks = dict(zip(",.", encode_many([",", "."]), strict=True))
 
     def _pieces(self, text: str) -> list[str] | None:
+        """Keys of the text's cuts: without its leading space, with its leading line feed, else behind NUL and space."""
         spread = text.replace("\n", " \n")
-        if "  " in spread or spread.endswith((" ", "\n")) or "\n " in spread or _ODD.search(text):
+        plain = text.replace("\n", "").isprintable() or not _ODD.search(text)
+        if plain and "  " not in spread and "\n " not in spread and not spread.endswith((" ", "\n")):
+            cut = spread.split(" ")
+            cut[0] = "\0 " + cut[0]  # a first piece has no space before it
+            return cut
+        if _DISPUTED.search(text):
             return None
-        return spread.split(" ")
+        return [c[1:] if c[0] == " " and len(c) > 1 and not c[1].isspace() else c if c[0] == "\n" and len(c) > 1 and not c[1].isspace() else "\0 " + c for c in _CUTS.findall(text)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of little-endian unsigned 32-bit integers."""
-        if len(self.known) > self.most:
-            self.known.clear()
-        known, marks = self.known, self.marks
+        if len(self.known) > self.most // 2:  # the last half's pieces stay at hand
+            self.old, self.known = self.known, {}
+        known, old, marks = self.known, self.old, self.marks
         cut = [self._pieces(t) for t in texts]
-        # A first piece has no space before it: it is kept under a key no other piece has.
-        for p in cut:
-            if p:
-                p[0] = "\0 " + p[0]
-        new = {x for p in cut if p for x in p if x not in known}
+        new = set().union(*(p for p in cut if p)).difference(known)
+        if old:
+            for x in new & old.keys():
+                known[x] = old[x]
+            new.difference_update(known)
         asked: list[str] = []
         for x in new:
             body = x[:-1] if x[-1:] in marks and x[-2:-1] in _PLAIN else x
@@ -71,14 +83,21 @@ def library_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    import numpy as np
+    from array import array
+
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True
 
+    def as_bytes(ids: list[int]) -> bytes:
+        a = array("I", ids)
+        if sys.byteorder != "little":
+            a.byteswap()
+        return a.tobytes()
+
     def encode_many(texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+        return [as_bytes(e.ids) for e in t.encode_batch_fast(texts, add_special_tokens=False)]
 
     return encode_many
 
