@@ -202,3 +202,45 @@ def test_streaming_stats(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert {r["source_id"]: (r["n"], r["min_angle"], r["max_angle"]) for r in spark.table("stats").collect()} == {1: (2, -4, 3), 2: (1, 0, 0)}
+
+
+def test_copc_hierarchy(spark, tmp_path):
+    from reliefspark.sources import las
+
+    head = bytearray(375)
+    head[:4], head[24], head[25] = b"LASF", 1, 4
+    struct.pack_into("<HII", head, 94, 375, 589, 1)
+    struct.pack_into("<BHI", head, 104, 7 | 0x80, 36, 0)
+    struct.pack_into("<Q", head, 247, 30)
+    vlr = bytearray(54)
+    vlr[2:6] = b"copc"
+    struct.pack_into("<HH", vlr, 18, 1, 160)
+    page1 = struct.pack("<4iQIi", 0, 0, 0, 0, 1000, 50, 10) + struct.pack("<4iQIi", 1, 1, 0, 0, 589 + 64, 32, -1)
+    page2 = struct.pack("<4iQIi", 1, 1, 0, 0, 2000, 60, 20)
+    info = bytearray(160)
+    struct.pack_into("<5d2Q2d", info, 0, 50.0, 50.0, 50.0, 50.0, 1.0, 589, 64, 0.0, 1.0)
+    path = str(tmp_path / "a.copc.laz")
+    with open(path, "wb") as f:
+        f.write(bytes(head) + bytes(vlr) + bytes(info) + page1 + page2)
+    h = las.parse_header(open(path, "rb").read())
+    assert h.copc and h.compressed and h.format == 7 and h.count == 30
+    cube, rows = las.copc_cells(path)
+    assert cube == (50.0, 50.0, 50.0, 50.0)
+    assert sorted(r[:4] + r[6:] for r in rows) == [(0, 0, 0, 0, 10), (1, 1, 0, 0, 20)]
+    cells = spark.createDataFrame([r[:4] for r in rows], "level int, x int, y int, z int")
+    inside = las.cells_inside(cells, cube[:3], cube[3], (0, 0, 0, 40, 10, 10)).collect()
+    assert [r["level"] for r in inside] == [0]
+    assert len(las.cells_inside(cells, cube[:3], cube[3], (0, 0, 0, 50, 10, 10)).collect()) == 2
+
+
+def test_catalogue_and_transform_text(spark, tmp_path):
+    from reliefspark.sources import catalogue
+
+    (tmp_path / "c.csv").write_text("http://h/tile_FXX_0650_6536_x.laz\n\nhttp://h/none.laz\n")
+    rows = catalogue.read(spark, str(tmp_path / "c.csv"), r"FXX_(\d{4})_(\d{4})").collect()
+    assert [(r["tile_x"], r["tile_y"]) for r in rows] == [(650, 6536), (None, None)]
+    done = spark.createDataFrame([(650, 6536)], "tile_x int, tile_y int")
+    left = catalogue.missing(spark.createDataFrame([(650, 6536), (651, 6536)], "tile_x int, tile_y int"), done)
+    assert [tuple(r) for r in left.collect()] == [(651, 6536)]
+    t = spark.createDataFrame([(0.123456789, 0.0, -12345.678)], "scale double, shift_xy double, shift_z double")
+    assert tuple(catalogue.rounded(t).first()) == (0.123457, 0.0, -12345.7)
