@@ -4,7 +4,7 @@ A document's set holds its distinct word shingles.  Two sets link when
 ``den * |intersection| >= num * |union|``.
 
 1. Counting.  Every task counts the shingles of its own documents and passes on those it
-   saw twice or more; the largest sums (at most ``frequent``, a bound on what is
+   saw twice or more; the largest sums (at most ``frequent`` shingles, a bound on what is
    broadcast) are the *frequent* class, all other shingles the *rare* one.  The classes
    only steer how selective the index is: any choice gives the same links.
 2. Prefixes.  In the global order rare shingles come first, then frequent ones by count.
@@ -324,7 +324,7 @@ def _verify(num: int, den: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, fold: bool = True, frequent: int = 1 << 18) -> DataFrame:
+def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, fold: bool = True, frequent: int = 1 << 19) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs (doc_id, text; other columns are ignored).
 
     width: words of a shingle; a link takes num/den similarity; fold: A-Z count as a-z;
@@ -341,7 +341,15 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     survey = store(texts.mapInArrow(_survey(width, fold), "doc_id long, node long, n_shingles long, bitmap binary, shingle long, seen long"), at, "survey")
     rows = survey.filter("shingle IS NULL")
-    top = survey.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("seen").alias("seen")).orderBy(F.desc("seen"), "shingle").limit(frequent).toPandas()
+    sums = store(survey.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("seen").alias("seen")).withColumn("step", F.floor(4 * F.log2("seen")).cast("int")), at, "sums")
+    # At most a few hundred steps of counts: the lowest one from which no more than `frequent` shingles remain.
+    total, least = 0, 1 << 30
+    for step, n in sorted(map(tuple, sums.groupBy("step").count().collect()), reverse=True):
+        total += n
+        if total > frequent:
+            break
+        least = step
+    top = sums.filter(F.col("step") >= least).select("shingle", "seen").toPandas()
     table = top["shingle"].to_numpy(np.int64).view(_U)
     order = np.argsort(table)
     shared_table = spark.sparkContext.broadcast((table[order], top["seen"].to_numpy(np.int64)[order]))
