@@ -65,9 +65,8 @@ class PieceCache:
         found = self.encode_many([(x if x[:1] == "\n" else " " + x) if x[:2] != "\0 " else x[2:] for x in asked] + [texts[k] for k in whole])
         fresh = dict(zip(asked, found, strict=False))
         known.update(fresh)
-        for x in new:
-            if x not in known:
-                known[x] = known[x[:-1]] + marks[x[-1]]
+        for x in new.difference(fresh):
+            known[x] = known[x[:-1]] + marks[x[-1]]
         get = known.__getitem__
         out = [b"".join(map(get, p)) if p is not None else b"" for p in cut]
         for k, ids in zip(whole, found[len(asked) :], strict=True):

@@ -37,6 +37,8 @@ PERCENTILE = 98
 #: Tokens of one file, about; a document is never divided.
 FILE_TOKENS = 4_000_000
 NO_ID = -(1 << 63)
+#: Widths that are whole bytes: the packed values are plain integers.
+_WHOLE = {8: "u1", 16: "<u2", 32: "<u4"}
 
 
 def pack_block(values: np.ndarray, percentile: float = PERCENTILE) -> bytes:
@@ -46,8 +48,11 @@ def pack_block(values: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     width = int(np.partition(rest, at)[at]).bit_length()
     odd = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.zeros(0, np.int64)
     head = struct.pack("<IBHH", low, width, len(odd), len(rest))
-    bits = np.unpackbits(rest.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
-    body = np.packbits(bits.ravel(), bitorder="little").tobytes()
+    if width in _WHOLE:
+        body = rest.astype(_WHOLE[width]).tobytes()
+    else:
+        bits = np.unpackbits(rest.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
+        body = np.packbits(bits.ravel(), bitorder="little").tobytes()
     return head + body + odd.astype("<u2").tobytes() + (rest[odd] >> np.uint32(width)).astype("<u4").tobytes()
 
 
@@ -55,12 +60,12 @@ def unpack_block(data: bytes, at: int = 0) -> np.ndarray:
     low, width, n_odd, n = struct.unpack_from("<IBHH", data, at)
     at += 9
     size = (n * width + 7) // 8
-    out = np.zeros((n, 4), np.uint8)
-    if width:
+    if width in _WHOLE:
+        values = np.frombuffer(data, _WHOLE[width], n, at).astype("<u4")
+    else:
         bits = np.zeros((n, 32), np.uint8)
         bits[:, :width] = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n * width, bitorder="little").reshape(n, width)
-        out = np.packbits(bits, axis=1, bitorder="little")
-    values = np.ascontiguousarray(out).view("<u4").ravel().copy()
+        values = np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel()
     at += size
     if n_odd:
         where = np.frombuffer(data, "<u2", n_odd, at)
@@ -163,7 +168,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int,
         cache = worker_cache(f"lib:{tokenizer}", lambda: library_encoder(tokenizer))
         context = TaskContext.get()
         part, attempt = context.partitionId(), context.taskAttemptId()
-        end = np.array([end_id], np.uint32)
+        end = int(end_id).to_bytes(4, "little")
         file, made = None, []
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
@@ -172,7 +177,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int,
                 for doc, x in zip(some.column("doc_id").to_pylist(), ids, strict=True):
                     if file is None:
                         file = TokenFile(f"{folder}/files/{part:06d}-{len(made):06d}-{attempt}.rpf")
-                    file.add(doc, np.concatenate([np.frombuffer(x, "<u4"), end]))
+                    file.add(doc, np.frombuffer(x + end, "<u4"))
                     if file.tokens >= FILE_TOKENS:
                         made.append(file.close())
                         file = None
