@@ -23,8 +23,8 @@ from .wordhash import mix
 
 _U = np.uint64
 COMMON_WORDS = 64
-#: A task passes on the words of a language that it met this often at least.
-LEAST_SEEN = 5
+#: Words that a task holds before it passes on their counts.
+HELD_WORDS = 2_000_000
 #: Languages with a reference, at most: those with the most words.
 MOST_LANGUAGES = 200
 
@@ -126,26 +126,24 @@ def histograms(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _count(rules: Rules):
-    """Partial sums of the references: rows of (lang, kind, item, seen)."""
+    """Partial sums of the references: rows of (lang, kind, item, seen), every word counted; an item can have several."""
+
+    def partial(lang: str, kind: str, item: np.ndarray, seen: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for a in range(0, len(item), 50_000):
+            n = len(item[a : a + 50_000])
+            yield pa.RecordBatch.from_arrays([pa.repeat(lang, n), pa.repeat(kind, n), pa.array(item[a : a + n], pa.int64()), pa.array(seen[a : a + n], pa.int64())], ["lang", "kind", "item", "seen"])
+
+    def flush(words: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for lang, parts in words.items():
+            u, c = np.unique(np.concatenate(parts), return_counts=True)
+            yield from partial(lang, "words", np.zeros(1, np.int64), np.array([c.sum()]))
+            yield from partial(lang, "word", u.view(np.int64), c)
+        words.clear()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes: dict[str, np.ndarray] = {}
         words: dict[str, list[np.ndarray]] = {}
-        tallies: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         held = 0
-
-        def tally() -> None:
-            for lang, parts in words.items():
-                u, c = np.unique(np.concatenate(parts), return_counts=True)
-                if lang in tallies:
-                    u, back = np.unique(np.concatenate([tallies[lang][0], u]), return_inverse=True)
-                    c = np.bincount(back, weights=np.concatenate([tallies[lang][1], c])).astype(np.int64)
-                if len(u) > 100_000:  # only rare words can go here
-                    keep = np.argsort(-c, kind="stable")[:50_000]
-                    u, c = u[keep], c[keep]
-                tallies[lang] = u, c
-            words.clear()
-
         for batch in batches:
             raw, off = wordhash.column_buffers(batch.column("text"))
             langs = np.array([x or "" for x in batch.column("lang").to_pylist()], object)
@@ -158,17 +156,12 @@ def _count(rules: Rules):
                     classes[lang] = classes.get(lang, 0) + cls[own].sum(0)
                     words.setdefault(lang, []).append(h[own[doc]])
                 held += len(h)
-                if held > 2_000_000:
-                    tally()
+                if held > HELD_WORDS:
+                    yield from flush(words)
                     held = 0
-        tally()
-        rows = [(g, "class", k, int(v)) for g, c in classes.items() for k, v in enumerate(c)]
-        for g, (u, c) in tallies.items():
-            rows.append((g, "words", 0, int(c.sum())))
-            rows += [(g, "word", k, v) for k, v in zip(u[c >= LEAST_SEEN].view(np.int64).tolist(), c[c >= LEAST_SEEN].tolist(), strict=True)]
-        for a in range(0, len(rows), 50_000):
-            g, kind, item, seen = zip(*rows[a : a + 50_000], strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(g, pa.string()), pa.array(kind, pa.string()), pa.array(item, pa.int64()), pa.array(seen, pa.int64())], ["lang", "kind", "item", "seen"])
+        yield from flush(words)
+        for lang, c in classes.items():
+            yield from partial(lang, "class", np.arange(CLASSES), c)
 
     return run
 
@@ -191,7 +184,8 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> References:
     parts = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).mapInArrow(_count(rules), "lang string, kind string, item long, seen long")
     sums = parts.groupBy("lang", "kind", "item").agg(F.sum("seen").alias("seen"))
     rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("seen"), "item"))
-    top = sums.withColumn("rank", rank).filter(f"kind <> 'word' OR rank <= {COMMON_WORDS}").drop("rank")
+    # No kind but words has as many items, so that one bound holds for all and tasks rank their own rows before the shuffle.
+    top = sums.withColumn("rank", rank).filter(f"rank <= {max(COMMON_WORDS, CLASSES)} AND (kind <> 'word' OR rank <= {COMMON_WORDS})").drop("rank")
     by: dict[str, dict] = {}
     for lang, kind, item, seen in top.orderBy(F.desc(F.expr("kind = 'words'")), F.desc("seen"), "lang", "kind", "item").limit(MOST_LANGUAGES * (COMMON_WORDS + CLASSES + 1)).collect():
         by.setdefault(lang, {"class": {}, "word": {}, "words": {}})[kind][item] = seen

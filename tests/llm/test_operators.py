@@ -289,6 +289,22 @@ def test_quality(spark, docs):
     assert quality.judge(empty.select("doc_id", "text"), quality.references(empty)).collect() == []
 
 
+def test_references_count_every_word(spark, docs, monkeypatch):
+    from reliefspark.llm import quality
+
+    rules = quality.Rules(least_words=3)
+    tagged = docs.selectExpr("text", "if(doc_id % 2 = 0, 'rare', 'en') AS lang")
+    one, many = (quality.references(tagged.repartition(n), rules) for n in (1, 16))
+    assert one.langs == many.langs == ["en", "rare"]
+    for a, b in zip([one.classes, *one.words, *one.shares], [many.classes, *many.words, *many.shares], strict=True):
+        assert np.array_equal(a, b)
+    rows = spark.createDataFrame([(f"once{i} twice{i // 2} " * 2 + f"tail{i} end{i} last{i} stop{i}", "xx") for i in range(200)], "text string, lang string")
+    monkeypatch.setattr(quality, "HELD_WORDS", 1)
+    ref = quality.references(rows, quality.Rules(least_words=3, repeat_percent=100))
+    assert ref.langs == ["xx"] and len(ref.words[0]) == quality.COMMON_WORDS
+    assert np.isclose(ref.shares[0][:-1].sum(), 64 * 4 / 1600)
+
+
 def test_toxicity(spark):
     import itertools
 
