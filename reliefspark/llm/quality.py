@@ -25,6 +25,8 @@ _U = np.uint64
 COMMON_WORDS = 64
 #: Words that a task holds before it passes on their counts.
 HELD_WORDS = 2_000_000
+#: Words of a language, at least, for it to have a reference: one or two documents say nothing of a language.
+LEAST_WORDS = 1000
 #: Languages with a reference, at most: those with the most words.
 MOST_LANGUAGES = 200
 
@@ -177,7 +179,7 @@ class References:
 
 
 def references(docs: DataFrame, rules: Rules = Rules()) -> References:
-    """References from all rows of docs (text, lang); languages of null or empty name have none.
+    """References from all rows of docs (text, lang); languages of null or empty name or under LEAST_WORDS words have none.
 
     What comes to the driver is bounded: at most MOST_LANGUAGES times COMMON_WORDS and the classes.
     """
@@ -186,9 +188,13 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> References:
     rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("seen"), "item"))
     # No kind but words has as many items, so that one bound holds for all and tasks rank their own rows before the shuffle.
     top = sums.withColumn("rank", rank).filter(f"rank <= {max(COMMON_WORDS, CLASSES)} AND (kind <> 'word' OR rank <= {COMMON_WORDS})").drop("rank")
+    # Languages come whole, those of most words first: none has more rows than the bound allows it.
+    total = F.max(F.when(F.col("kind") == "words", F.col("seen"))).over(Window.partitionBy("lang"))
+    top = top.withColumn("total", total).filter(F.col("total") >= LEAST_WORDS)
     by: dict[str, dict] = {}
-    for lang, kind, item, seen in top.orderBy(F.desc(F.expr("kind = 'words'")), F.desc("seen"), "lang", "kind", "item").limit(MOST_LANGUAGES * (COMMON_WORDS + CLASSES + 1)).collect():
-        by.setdefault(lang, {"class": {}, "word": {}, "words": {}})[kind][item] = seen
+    for lang, kind, item, seen, _ in top.orderBy(F.desc("total"), "lang", "kind", F.desc("seen"), "item").limit(MOST_LANGUAGES * (COMMON_WORDS + CLASSES + 1)).collect():
+        if lang in by or len(by) < MOST_LANGUAGES:
+            by.setdefault(lang, {"class": {}, "word": {}, "words": {}})[kind][item] = seen
     out = References([], np.zeros((0, CLASSES)), [], [])
     for lang in sorted(by):
         c, w, total = by[lang]["class"], by[lang]["word"], by[lang]["words"].get(0, 0)
@@ -220,7 +226,10 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 def divergence(raw: np.ndarray, off: np.ndarray, ref: References) -> tuple[np.ndarray, np.ndarray]:
-    """(least class distance, least word distance) over the references; 0 without references."""
+    """(least class distance, least word distance) over the references; 0 without references.
+
+    The word distance is 1 from a reference of whose common words a text has none, and from one without any.
+    """
     n = len(off) - 1
     if not ref.langs:
         return np.zeros(n), np.zeros(n)
@@ -235,7 +244,8 @@ def divergence(raw: np.ndarray, off: np.ndarray, ref: References) -> tuple[np.nd
             ok = words[k] == h
             hist[:, :-1] = np.bincount(doc[ok] * len(words) + k[ok], minlength=n * len(words)).reshape(n, -1)
         hist[:, -1] = all_words - hist[:, :-1].sum(1)
-        by_word = np.minimum(by_word, distance(hist, share))
+        # All other words are one column: alike in that alone is no likeness.
+        by_word = np.minimum(by_word, np.where(hist[:, :-1].any(1), distance(hist, share), 1.0))
     return by_class, by_word
 
 

@@ -305,6 +305,30 @@ def test_references_count_every_word(spark, docs, monkeypatch):
     assert np.isclose(ref.shares[0][:-1].sum(), 64 * 4 / 1600)
 
 
+def test_reference_of_an_odd_language(spark):
+    from pyspark.sql import functions as F
+
+    from reliefspark.llm import quality
+
+    r = random.Random(3)
+    rows = [(i, " ".join(words_of(r, 400, 100)), "en") for i in range(30)]
+    strange = (100, " ".join(f"q{chr(97 + i % 26)}z{i}" for i in range(200)), "en")
+    odd = [(101, " ".join(f"o{i}" for i in range(60)), "odd"), (102, " ".join(f"k{i}" for i in range(3000)), "flat")]
+    df = spark.createDataFrame([*rows, strange, *odd], "doc_id long, text string, lang string")
+    ref = quality.references(df)
+    assert ref.langs == ["en", "flat"]
+    rules = quality.Rules(class_distance=1.0)
+    kept = {x["doc_id"]: (x["kept"], x["word_distance"]) for x in quality.judge(df, ref, rules).collect()}
+    assert all(kept[i][0] for i in range(30)) and kept[100] == (False, 1.0)
+    bare = quality.References(["en", "none"], np.vstack([ref.classes[:1]] * 2), [ref.words[0], np.zeros(0, np.uint64)], [ref.shares[0], np.array([1.0])])
+    kept = {x["doc_id"]: x["kept"] for x in quality.judge(df, bare, rules).collect()}
+    assert all(kept[i] for i in range(30)) and not kept[100]
+    many = spark.range(300).select(F.concat(F.lit("l"), F.col("id").cast("string")).alias("lang"), F.expr("concat_ws(' ', transform(sequence(0, 1099 + int(id)), i -> concat('w', i)))").alias("text"))
+    ref = quality.references(many)
+    assert set(ref.langs) == {f"l{i}" for i in range(100, 300)}
+    assert all(len(w) == quality.COMMON_WORDS for w in ref.words) and np.allclose(ref.classes.sum(1), 1) and (ref.classes > 0).sum(1).min() >= 3
+
+
 def test_toxicity(spark):
     import itertools
 
