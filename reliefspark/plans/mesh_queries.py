@@ -105,6 +105,18 @@ def full_mesh_components(spark, d):
     return mesh.components(_t(spark, d))
 
 
+# The whole mesh, where the recursion is too slow for SQL twins.
+@query("full_component_sizes")
+def full_component_sizes(spark, d):
+    return mesh.component_sizes(mesh.components(_t(spark, d)))
+
+
+@query("full_principal_component")
+def full_principal_component(spark, d):
+    t = _t(spark, d)
+    return mesh.principal_component(t, mesh.components(t))
+
+
 # Vertices with equal positions: x and y folded, z dropped to the fold.
 _FV = "fv AS (SELECT vid, CAST(vid % 100 // 3 AS DOUBLE) AS x, CAST(vid // 100 // 2 AS DOUBLE) AS y, CAST(vid % 2 AS DOUBLE) AS z FROM vtx)"
 

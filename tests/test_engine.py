@@ -68,6 +68,48 @@ def test_two_quads_components(spark):
     assert {r["tid"] for r in m.principal_component(t, m.components(t)).collect()} == {0, 1}
 
 
+@pytest.fixture(scope="module")
+def wide(spark, tmp_path_factory):
+    """Orders of 180 grid rows, beyond the bounds of the queries that have SQL twins."""
+    rng, at = np.random.default_rng(4), str(tmp_path_factory.mktemp("wide"))
+    rows = [(i, "FOP"[k], round(float(p), 2)) for i, (k, p) in enumerate(zip(rng.choice(3, 18000, p=[0.4, 0.3, 0.3]), rng.random(18000) * 400000, strict=True))]
+    spark.createDataFrame(rows, "o_orderkey long, o_orderstatus string, o_totalprice double").write.parquet(f"{at}/orders.parquet")
+    return at, rows
+
+
+def test_whole_mesh_components(spark, wide):
+    from reliefspark.plans.registry import QUERIES
+
+    at, rows = wide
+    tri = {}
+    for k, status, _ in rows:
+        if status != "P" and k % 100 < 99 and k < len(rows) - 1 - 100:
+            tri[2 * k], tri[2 * k + 1] = (k, k + 1, k + 100), (k + 1, k + 101, k + 100)
+    edge, root = {}, {}
+    for t, c in tri.items():
+        for j in range(3):
+            edge.setdefault(frozenset((c[j], c[j - 1])), []).append(t)
+    near = {}
+    for ts in edge.values():
+        for a in ts:
+            near.setdefault(a, []).extend(ts)
+    for t in sorted(tri):
+        todo = [t] if t not in root else []
+        while todo:
+            u = todo.pop()
+            if u not in root:
+                root[u] = t
+                todo += near[u]
+    number = {r: n for n, r in enumerate(sorted(set(root.values())))}
+    size = [0] * len(number)
+    for r in root.values():
+        size[number[r]] += 1
+    assert {r["component"]: r["size"] for r in QUERIES["full_component_sizes"](spark, at).collect()} == dict(enumerate(size))
+    best = size.index(max(size))
+    want = {(t, *tri[t]) for t, r in root.items() if number[r] == best}
+    assert {(r["tid"], r["i0"], r["i1"], r["i2"]) for r in QUERIES["full_principal_component"](spark, at).collect()} == want
+
+
 def test_empty_mesh(spark):
     from reliefspark.operators import mesh as m
 
