@@ -111,24 +111,28 @@ _STITCH = f"{A.VTX}, a AS (SELECT vid, y, z / 100000 AS z FROM vtx WHERE vid % 1
 _NN = "(SELECT {p}.vid AS p, {q}.vid AS q, row_number() OVER (PARTITION BY {p}.vid ORDER BY ({p}.y - {q}.y) * ({p}.y - {q}.y) + ({p}.z - {q}.z) * ({p}.z - {q}.z), {q}.vid) AS r FROM {p}, {q})"
 
 
-def _sides(spark, d):
-    v = A.vertices(spark, d).filter("vid < 15000")
+def _sides(v):
     a = v.filter("vid % 100 = 99").selectExpr("vid", "1D x", "y", "z / 100000 z")
     b = v.filter("vid % 100 = 0 AND vid % 300 <> 0").selectExpr("vid", "0D x", "y + 0.37D y", "z / 100000 z")
     return a, b
 
 
-def _stitched(spark, d):
-    a, b = _sides(spark, d)
+def _stitched(v):
+    a, b = _sides(v)
     at0 = a.withColumn("x", F.lit(0.0))  # both sides in the frame of the seam
     out0, out1 = knn.stitch(at0, b, a.select("vid"), b.select("vid"))
-    return out0, out1
+    return out0.select(F.lit(0).alias("mesh"), "vid", "y", "z").unionByName(out1.select(F.lit(1).alias("mesh"), "vid", "y", "z"))
 
 
 @query("nearest_stitch", f"WITH {_STITCH}, n10 AS (SELECT p AS v1, q AS v0 FROM {_NN.format(p='b', q='a')} WHERE r = 1), n01 AS (SELECT p AS v0, q AS v1 FROM {_NN.format(p='a', q='b')} WHERE r = 1), via AS (SELECT n01.v0 AS vid, n10.v0 AS t FROM n01 JOIN n10 USING (v1) WHERE n01.v0 NOT IN (SELECT v0 FROM n10)) SELECT 0 AS mesh, a.vid, coalesce(t.y, a.y) AS y, coalesce(t.z, a.z) AS z FROM a LEFT JOIN via ON a.vid = via.vid LEFT JOIN a t ON via.t = t.vid UNION ALL SELECT 1, b.vid, t.y, t.z FROM b JOIN n10 ON b.vid = v1 JOIN a t ON v0 = t.vid")
 def nearest_stitch(spark, d):
-    out0, out1 = _stitched(spark, d)
-    return out0.select(F.lit(0).alias("mesh"), "vid", "y", "z").unionByName(out1.select(F.lit(1).alias("mesh"), "vid", "y", "z"))
+    return _stitched(A.vertices(spark, d).filter("vid < 15000"))
+
+
+# The whole seam, where all pairs are too slow for an SQL twin.
+@query("full_nearest_stitch")
+def full_nearest_stitch(spark, d):
+    return _stitched(A.vertices(spark, d))
 
 
 _ZV = "zv AS (SELECT vid, x, y, z / 5000 AS z FROM vtx)"

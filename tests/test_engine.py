@@ -110,6 +110,23 @@ def test_whole_mesh_components(spark, wide):
     assert {(r["tid"], r["i0"], r["i1"], r["i2"]) for r in QUERIES["full_principal_component"](spark, at).collect()} == want
 
 
+def test_whole_stitch(spark, wide):
+    from reliefspark.plans.registry import QUERIES
+
+    at, rows = wide
+    a = [(k, float(k // 100), z / 100000) for k, _, z in rows if k % 100 == 99]
+    b = [(k, k // 100 + 0.37, z / 100000) for k, _, z in rows if k % 100 == 0 and k % 300]
+
+    def nearest(p, others):
+        return min(others, key=lambda q: ((p[1] - q[1]) ** 2 + (p[2] - q[2]) ** 2, q[0]))
+
+    to0 = {q[0]: nearest(q, a) for q in b}
+    hit = {p[0] for p in to0.values()}
+    want = {(1, k): p[1:] for k, p in to0.items()} | {(0, p[0]): (p if p[0] in hit else to0[nearest(p, b)[0]])[1:] for p in a}
+    got = {(r["mesh"], r["vid"]): (r["y"], r["z"]) for r in QUERIES["full_nearest_stitch"](spark, at).collect()}
+    assert got == want and max(vid for _, vid in got) > 15000
+
+
 def test_empty_mesh(spark):
     from reliefspark.operators import mesh as m
 
