@@ -8,6 +8,7 @@ packed into token sequences.  Each stage's result is written as Parquet and read
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reliefspark.llm import jaccard_join, packing, quality, secrets, toxicity
 from reliefspark.llm.common import store, workspace
@@ -34,16 +35,23 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest id of each component of five-word shingles at a similarity of 0.8.
 
-    A null id is kept: nothing tells such documents apart. Repeated rows of one id and text stay once.
+    Rows go by a hash of id and text, so that rows of one id are judged apart, and null ids, which come
+    last, too. Repeated rows of one id and text stay once.
     """
-    component = store(jaccard_join.jaccard_components(docs, width=5, num=80, den=100), workspace(spark, "near"), "component")
-    dropped = component.filter("doc_id <> component_id").select("doc_id")
-    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    twice = component.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    at, key = workspace(spark, "near"), f"__row{len(docs.columns)}"
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    component = store(jaccard_join.jaccard_components(keyed.select(F.col(key).alias("doc_id"), "text"), width=5, num=80, den=100), at, "component")
+    more = component.groupBy("component_id").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("component_id")
+    members = component.select(F.col("doc_id").alias(key), "component_id").distinct().join(more, "component_id")
+    members = store(keyed.select(F.col("doc_id").cast("long").alias("id"), key).distinct().join(members, key), at, "members")
+    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", key)).alias("first")).select(F.col(f"first.{key}").alias(key))
+    dropped = members.join(first, key, "left_anti").select(key)
+    kept = keyed.join(dropped, key, "left_anti")
+    twice = component.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias(key))
     if twice.isEmpty():
-        return kept
-    once = kept.join(twice, "doc_id", "left_anti").select(*docs.columns)
-    return once.unionByName(kept.join(twice, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"]))
+        return kept.select(*docs.columns)
+    once = kept.join(twice, key, "left_anti").select(*docs.columns)
+    return once.unionByName(kept.join(twice, key, "left_semi").dropDuplicates([key]).select(*docs.columns))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -426,6 +426,20 @@ def test_pipeline_columns(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().count() == 31
 
 
+def test_near_duplicates_by_row(spark, tmp_path):
+    import corpus_pipeline
+
+    r = random.Random(12)
+    a, b, c, d, e = (words_of(r, 60, 900) for _ in range(5))
+    near = [*c[:-1], "other"]
+    rows = [(1, a), (7, a), (7, b), (8, c), (8, near), (None, d), (None, d), (None, [*d[:-1], "other"]), (9, d), (None, e), (None, [*e[:-1], "other"]), (None, e)]
+    docs = spark.createDataFrame([(i, " ".join(w), "en", "s", 1) for i, w in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(x["doc_id"], x["text"]) for x in corpus_pipeline.near_duplicate_stage(spark, docs, str(tmp_path)).collect()]
+    text = {k: {" ".join(w), " ".join([*w[:-1], "other"])} for k, w in ((1, a), (7, b), (8, c), (9, d), (None, e))}
+    assert len(got) == 5 and {i for i, _ in got} == {1, 7, 8, 9, None}
+    assert all(t in text[i] for i, t in got)
+
+
 def test_stages_with_clashing_columns(spark, tmp_path):
     import corpus_pipeline
 
