@@ -28,7 +28,7 @@ BASE = (
 )
 WEAK = (
     ("endpoint", r"(?:https?|ftp|jdbc:[a-z0-9]+|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9.:@/_%?&=+-]{4,}", 0, 10),
-    ("random", r"(?<![A-Za-z0-9+/])(?=[A-Za-z+/]{0,39}[0-9])(?=[A-Z0-9+/]{0,39}[a-z])(?=[a-z0-9+/]{0,39}[A-Z])[A-Za-z0-9+/]{20,}", 0, 20),
+    ("random", r"(?<![A-Za-z0-9+/])(?=[A-Za-z+/]*+[0-9])(?=[A-Z0-9+/]*+[a-z])(?=[a-z0-9+/]*+[A-Z])[A-Za-z0-9+/]{20,}", 0, 20),
 )
 KINDS = [k[0] for k in BASE] + ["short"] + [k[0] for k in WEAK]
 #: Which kinds complete a weak one.
