@@ -4,6 +4,7 @@ the way, grouped Arrow streams and distributed connected components."""
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -59,6 +60,14 @@ def store(df: DataFrame, at: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, at: str, *names: str) -> None:
+    """Tables of store() that nothing reads any more, and shuffles of finished queries, whose files stay until the driver collects garbage."""
+    for name in names:
+        delete(spark, f"{at}/{name}")
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stream_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Consecutive rows with equal keys (non-null integers) of a sorted partition, one table a group."""
     held: list[pa.Table] = []
@@ -108,6 +117,14 @@ class Forest:
         return np.array([self.root(x) for x in range(len(self.up))], dtype=np.int64)
 
 
+def join_rows(label: np.ndarray, i: int, others: np.ndarray) -> None:
+    """Merges the components of i and of others; label: of each member, the smallest of its component."""
+    found = np.unique(label[others])
+    if len(found) > 1 or len(found) and found[0] != label[i]:
+        found = np.append(found, label[i])
+        label[np.isin(label, found)] = found.min()
+
+
 def connected_components(edges: DataFrame, at: str, name: str) -> DataFrame:
     """(node, component) of every end of the edges (a, b); component: its smallest node.
 
@@ -134,6 +151,7 @@ def connected_components(edges: DataFrame, at: str, name: str) -> DataFrame:
         turn += 1
         current = store(stars(stars(current, True), False), at, f"{name}-{turn}")
         now = print_of(current)
+        discard(edges.sparkSession, at, f"{name}-{turn - 1}")
         if now == seen:
             break
         seen = now

@@ -7,20 +7,25 @@ A document's set holds its distinct word shingles.  Two sets link when
    saw twice or more; the largest sums (at most ``frequent`` shingles, a bound on what is
    broadcast) are the *frequent* class, all other shingles the *rare* one.  The classes
    only steer how selective the index is: any choice gives the same links.
-2. Prefixes.  In the global order rare shingles come first, then frequent ones by count.
-   A linked partner lacks at most tau = n - ceil(num/den * n) of a set's shingles.  A
-   rare shingle is indexed alone.  Frequent shingles fall into hashed sub-classes and are
-   indexed as pairs within a sub-class, so that losing a sub-class of m prefix members
-   takes m - 1 missing shingles; the prefix is extended until losing every index entry
-   would take more than tau.  Linked sets therefore share an entry.
-3. Candidates.  Sets sharing an entry are compared by parity bitmaps: each differing
-   shingle flips one bit, so a Hamming distance above the largest symmetric difference
-   that a link allows disproves it.  What remains is reported as a spanning forest of the
-   entry's sets, never as all pairs, and the forests' components are the clusters in which
-   all links lie.
-4. Verification.  Clusters are cut into bounded blocks; every pair of blocks is one task
-   that intersects the true sets and passes on a spanning forest of its links, whose
-   components are the result.
+2. Prefixes.  In the global order rare shingles come first, by hash, then frequent ones by
+   count.  A linked partner lacks at most tau = n - ceil(num/den * n) of a set's shingles.  A
+   rare shingle is indexed alone, and a set with enough of them has its prefix extended by
+   slack(n) shingles: linked sets then share k entries, not one.  Frequent shingles fall into
+   hashed sub-classes and are indexed as pairs within a sub-class, so that losing a sub-class
+   of m prefix members takes m - 1 missing shingles; the prefix is extended until losing
+   every index entry would take more than tau, and k is 1.
+3. Second prefix.  Grouping by entry gives each entry's exact number of sets.  Of the s
+   entries that a set shares with any other it keeps the s - k + 1 of fewest sets: linked
+   sets share k, hence one of those kept.  A set with fewer than k has no partner.
+4. Candidates.  The pairs of an entry of NARROW sets or fewer, made distinct, are compared by
+   parity bitmaps: each differing shingle flips one bit, so a Hamming distance above the
+   largest symmetric difference that a link allows disproves it.  Wider entries are cut
+   into blocks of sets, and a pair of blocks reports a spanning forest of its sets that may
+   link, never all pairs.  The components of all these are the clusters in which all links lie.
+5. Verification.  Clusters are cut into bounded blocks.  First the true sets of each block are
+   compared with each other and with a few pivots of the cluster, which settles most
+   clusters.  Where several components remain, the sets outside the largest are compared
+   with all sets of the cluster, block by block.
 
 Equal sets are one node throughout, so that exact copies cost one row each.
 Sets are compared by 64-bit hashes of shingles; a node is a 64-bit hash of a set.
@@ -32,20 +37,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import wordhash
-from .common import Forest, connected_components, store, stream_groups, workspace
+from .common import Forest, connected_components, discard, join_rows, store, stream_groups, workspace
+from .wordhash import mix
 
 _U = np.uint64
 #: Bits of a parity bitmap, by set size, at most.
 MOST_BITS = 1 << 14
-#: Entries shared by more sets than this join them all without a bitmap comparison.
-WIDE_ENTRY = 4096
-#: Sets and shingles of one block of a cluster, about.
+#: Sets of an entry whose pairs are listed, at most; sets of one block of a wider entry, about.
+NARROW, ENTRY_BLOCK = 16, 4096
+#: Sets and shingles of one block of a cluster, about; pivots of a cluster of several blocks.
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 1_000_000  # of each of the two blocks in a task
+PIVOTS = 4
+#: A prefix is extended by one in so many of a set's shingles.
+SLACK = 50
+#: Bits of the sieve that keeps texts without candidates from being shuffled, at most (it is broadcast).
+SIEVE_BITS = 1 << 27
 
 
 def _allowed_missing(n: int, num: int, den: int) -> int:
@@ -53,6 +65,11 @@ def _allowed_missing(n: int, num: int, den: int) -> int:
     return n - -(-num * n // den)
 
 
+def slack(n: int, num: int, den: int) -> int:
+    """Shingles by which the prefix of a set of n is extended (never fewer for larger sets)."""
+    return min(n // SLACK, -(-num * n // den) - 1)
+
+
 def _sets(batch: pa.RecordBatch, width: int, fold: bool) -> Iterator[list[np.ndarray]]:
     raw, off = wordhash.column_buffers(batch.column("text"))
     for i, j in wordhash.blocks(raw, off):
@@ -93,7 +110,7 @@ def _survey(width: int, fold: bool):
             return u, np.bincount(at, weights=n, minlength=len(u)).astype(np.int64)
 
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, keys = batch.column("doc_id"), batch.column("key")
             nodes, sizes, maps = [], [], []
             for sets in _sets(batch, width, fold):
                 for s in sets:
@@ -115,22 +132,26 @@ def _survey(width: int, fold: bool):
                 kept_h, kept_c = tally()
                 pending, size = [], 0
             n = len(nodes)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(maps, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], ["doc_id", "node", "n_shingles", "bitmap", "shingle", "seen"])
+            yield pa.RecordBatch.from_arrays([ids, keys, pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(maps, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], ["doc_id", "key", "node", "n_shingles", "bitmap", "shingle", "seen"])
         h, c = tally()
         for k in range(0, len(h), 50_000):
             m = len(h[k : k + 50_000])
-            yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.array(h[k : k + 50_000].view(np.int64)), pa.array(c[k : k + 50_000])], ["doc_id", "node", "n_shingles", "bitmap", "shingle", "seen"])
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(m, pa.int64()) for _ in range(4)), pa.nulls(m, pa.binary()), pa.array(h[k : k + 50_000].view(np.int64)), pa.array(c[k : k + 50_000])], ["doc_id", "key", "node", "n_shingles", "bitmap", "shingle", "seen"])
 
     return run
 
 
-def index_entries(s: np.ndarray, count: np.ndarray, num: int, den: int) -> np.ndarray:
-    """The index entries of one sorted set; count: its shingles' counts in the frequent table, 0 for rare ones."""
+def index_entries(s: np.ndarray, count: np.ndarray, num: int, den: int) -> tuple[np.ndarray, int]:
+    """(index entries of one sorted set, k: entries that it shares with a linked set at least).
+
+    count: its shingles' counts in the frequent table, 0 for rare ones.
+    """
     n = len(s)
     need = _allowed_missing(n, num, den) + 1
     rare = s[count == 0]
     if len(rare) >= need:
-        return rare[:need]
+        out = rare[: need + slack(n, num, den)]
+        return out, 1 + min(len(out) - need, slack(-(-num * n // den), num, den))
     often = np.flatnonzero(count > 0)
     often = often[np.lexsort((s[often], count[often]))]
     tokens = s[often]
@@ -158,7 +179,7 @@ def index_entries(s: np.ndarray, count: np.ndarray, num: int, den: int) -> np.nd
                 i, j = np.triu_indices(len(t), 1)
                 with np.errstate(over="ignore"):
                     out.append(wordhash.mix(t[i] * _U(0x9FB21C651E98DF25) + t[j] + _U(scale)))
-    return np.concatenate(out)
+    return np.concatenate(out), 1
 
 
 def _index(width: int, fold: bool, num: int, den: int, frequent):
@@ -169,7 +190,7 @@ def _index(width: int, fold: bool, num: int, den: int, frequent):
         known: set[int] = set()
         for batch in batches:
             for sets in _sets(batch, width, fold):
-                entries, nodes = [], []
+                entries, nodes, least = [], [], []
                 for s in sets:
                     if not len(s) or (k := _node(s)) in known:
                         continue
@@ -179,13 +200,14 @@ def _index(width: int, fold: bool, num: int, den: int, frequent):
                     if len(maybe) and len(table):
                         p = np.minimum(np.searchsorted(table, s[maybe]), len(table) - 1)
                         count[maybe] = np.where(table[p] == s[maybe], counts[p], 0)
-                    e = index_entries(s, count, num, den)
+                    e, share = index_entries(s, count, num, den)
                     entries.append(e)
                     nodes.append(np.full(len(e), k, np.int64))
+                    least.append(np.full(len(e), share, np.int32))
                 if entries:
-                    e, k = np.concatenate(entries).view(np.int64), np.concatenate(nodes)
+                    e, k, m = np.concatenate(entries).view(np.int64), np.concatenate(nodes), np.concatenate(least)
                     for a in range(0, len(e), 100_000):
-                        yield pa.RecordBatch.from_arrays([pa.array(e[a : a + 100_000]), pa.array(k[a : a + 100_000])], ["entry", "node"])
+                        yield pa.RecordBatch.from_arrays([pa.array(x[a : a + 100_000]) for x in (e, k, m)], ["entry", "node", "k"])
 
     return run
 
@@ -207,51 +229,89 @@ def _may_link(x: np.ndarray, y: np.ndarray, nx: int, ny: int, num: int, den: int
     return int(np.bitwise_count(x ^ y).sum()) * (den + num) <= (nx + ny) * (den - num)
 
 
+def _narrow(num: int, den: int):
+    """Rows sorted by entry, each with its entry's number of sets: pairs (a, b) of narrow entries, sizes permitting; rows of wide ones as they are."""
+
+    def pairs(e: np.ndarray, k: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        found = []
+        for d in range(1, min(NARROW, len(e))):
+            low, high = np.minimum(n[:-d], n[d:]), np.maximum(n[:-d], n[d:])
+            at = np.flatnonzero((e[:-d] == e[d:]) & (den * low >= num * high))
+            found.append(np.stack([np.minimum(k[at], k[at + d]), np.maximum(k[at], k[at + d])], 1))
+        if found:
+            a, b = np.unique(np.concatenate(found), axis=0).T
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *(pa.nulls(len(a), pa.int64()) for _ in range(3))], ["a", "b", "entry", "node", "sets"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64)] * 3
+        for batch in batches:
+            far = pc.greater(batch.column("sets"), NARROW)
+            wide = batch.filter(far)
+            if wide.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.nulls(wide.num_rows, pa.int64()), pa.nulls(wide.num_rows, pa.int64()), *(wide.column(c) for c in ("entry", "node", "sets"))], ["a", "b", "entry", "node", "sets"])
+            near = batch.filter(pc.invert(far))
+            held = [np.concatenate([h, near.column(c).to_numpy()]) for h, c in zip(held, ("entry", "node", "n_shingles"), strict=True)]
+            if len(held[0]):  # the last entry may go on in the next batch
+                cut = int(np.append(-1, np.flatnonzero(held[0] != held[0][-1]))[-1]) + 1
+                yield from pairs(*(h[:cut] for h in held))
+                held = [h[cut:] for h in held]
+        yield from pairs(*held)
+
+    return run
+
+
+def _likely(num: int, den: int):
+    """Of pairs (a, b, their sizes and bitmaps), those that may link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, maps = [batch.column(c).to_pylist() for c in ("na", "nb")], [_unpack(batch.column(c).to_pylist()) for c in ("ma", "mb")]
+            ok = [_may_link(x, y, n, m, num, den) for x, y, n, m in zip(*maps, *sizes, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return run
+
+
 def _forests(num: int, den: int):
-    """Spanning edges of the sets of each entry that may link."""
+    """Spanning edges of the sets of each pair of blocks of an entry that may link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[tuple[int, int]] = set()
-        for group in stream_groups(batches, ["entry"]):
+        for group in stream_groups(batches, ["entry", "left", "right"]):
             nodes, first = np.unique(group["node"].to_numpy(), return_index=True)
-            if len(nodes) < 2:
-                continue
-            if len(nodes) > WIDE_ENTRY:
-                a, b = nodes[1:], np.full(len(nodes) - 1, nodes[0])
-            else:
-                sizes = group["n_shingles"].to_numpy()[first]
-                maps = group["bitmap"].take(pa.array(first)).to_pylist()
-                maps = _unpack(maps)
-                forest = Forest(len(nodes))
-                by_bits: dict[int, list[int]] = {}
-                for i, m in enumerate(maps):
-                    by_bits.setdefault(len(m), []).append(i)
-                if len(nodes) <= 4:
-                    for i in range(len(nodes)):
-                        for j in range(i):
-                            if _may_link(maps[i], maps[j], int(sizes[i]), int(sizes[j]), num, den):
-                                forest.join(i, j)
-                else:
-                    for bits, own in by_bits.items():
-                        near = [i for b, other in by_bits.items() if bits <= b <= 4 * bits for i in other]
-                        folded = []
-                        for i in near:
-                            y = maps[i]
-                            while len(y) > bits:
-                                y = y[: len(y) // 2] ^ y[len(y) // 2 :]
-                            folded.append(y)
-                        grid, near = np.stack(folded), np.array(near)
-                        for i in own:
-                            n = int(sizes[i])
-                            m = sizes[near]
-                            dist = np.bitwise_count(grid ^ maps[i]).sum(1, dtype=np.int64)
-                            ok = (dist * (den + num) <= (m + n) * (den - num)) & (den * np.minimum(m, n) >= num * np.maximum(m, n))
-                            for j in near[ok].tolist():
-                                forest.join(i, j)
-                root = forest.roots()
-                off = np.flatnonzero(root != np.arange(len(nodes)))
-                a, b = nodes[off], nodes[root[off]]
-            new = [p for p in zip(a.tolist(), b.tolist(), strict=True) if p not in done]
+            left, right = (group[c][0].as_py() for c in ("left", "right"))
+            part = group["part"].to_numpy()[first]
+            sizes = group["n_shingles"].to_numpy()[first]
+            maps = _unpack(group["bitmap"].take(pa.array(first)).to_pylist())
+            forest = Forest(len(nodes))
+            by_bits: dict[int, list[int]] = {}
+            for i, m in enumerate(maps):
+                by_bits.setdefault(len(m), []).append(i)
+            for bits, own in by_bits.items():
+                near = [i for b, other in by_bits.items() if bits <= b <= 4 * bits for i in other]
+                folded = []
+                for i in near:
+                    y = maps[i]
+                    while len(y) > bits:
+                        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+                    folded.append(y)
+                near = np.array(near)
+                # Of two blocks, the sets of one meet those of the other only.
+                for a, b in {(left, right), (right, left)}:
+                    mine, theirs = [i for i in own if part[i] == a], np.flatnonzero(part[near] == b)
+                    if not mine or not len(theirs):
+                        continue
+                    grid, met = np.stack([folded[j] for j in theirs.tolist()]), near[theirs]
+                    m = sizes[met]
+                    for i in mine:
+                        n = int(sizes[i])
+                        dist = np.bitwise_count(grid ^ maps[i]).sum(1, dtype=np.int64)
+                        ok = (dist * (den + num) <= (m + n) * (den - num)) & (den * np.minimum(m, n) >= num * np.maximum(m, n))
+                        for j in met[ok].tolist():
+                            forest.join(i, j)
+            root = forest.roots()
+            off = np.flatnonzero(root != np.arange(len(nodes)))
+            new = [p for p in zip(nodes[off].tolist(), nodes[root[off]].tolist(), strict=True) if p not in done]
             if len(done) > 1_000_000:
                 done.clear()
             done.update(new)
@@ -261,25 +321,50 @@ def _forests(num: int, den: int):
     return run
 
 
-def _set_rows(width: int, fold: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["cluster", "left", "right", "part", "node", "members"]
+def _sieve_parts(bits: int):
+    """(chunk, bits) of the keys of a task, and of chunks of several tasks their union."""
+    chunk = min(bits, 1 << 18)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(bits, bool)
         for batch in batches:
-            members = [s for sets in _sets(batch, width, fold) for s in sets]
-            parts, mine, nodes, clusters = (batch.column(c).to_pylist() for c in ("parts", "part", "node", "cluster"))
-            rows = []
-            for s, p, q, k, c in zip(members, parts, mine, nodes, clusters, strict=True):
-                if not len(s) or _node(s) != k:  # another row of a repeated doc_id
-                    continue
-                m = s.tobytes()
-                rows += [(c, min(q, o), max(q, o), q, k, m) for o in range(p)]
-                if len(rows) > 2000:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary() if i == 5 else pa.int64()) for i, x in enumerate(zip(*rows, strict=True))], names)
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary() if i == 5 else pa.int64()) for i, x in enumerate(zip(*rows, strict=True))], names)
+            seen[(mix(batch.column("key").to_numpy().view(_U)) & _U(bits - 1)).astype(np.int64)] = True
+        for c in range(bits // chunk):
+            own = seen[c * chunk : (c + 1) * chunk]
+            if own.any():
+                yield pa.RecordBatch.from_arrays([pa.array([c], pa.int64()), pa.array([np.packbits(own).tobytes()], pa.binary())], ["chunk", "bits"])
+
+    def union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for c, b in zip(batch.column("chunk").to_pylist(), batch.column("bits").to_pylist(), strict=True):
+                b = np.frombuffer(b, np.uint8)
+                found[c] = found[c] | b if c in found else b
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([b.tobytes() for b in found.values()], pa.binary())], ["chunk", "bits"])
+
+    return mark, union
+
+
+def _sifted(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """The rows of texts whose key is one of members', and a few others: a sieve of SIEVE_BITS at most is broadcast."""
+    n = members.count()
+    bits = min(SIEVE_BITS, max(1 << 16, 1 << (16 * n).bit_length()))
+    mark, union = _sieve_parts(bits)
+    schema = "chunk long, bits binary"
+    table = np.zeros(bits // 8, np.uint8)
+    step = min(bits, 1 << 18) // 8
+    for c, b in members.select("key").mapInArrow(mark, schema).repartition("chunk").mapInArrow(union, schema).collect():
+        table[c * step : (c + 1) * step] = np.frombuffer(b, np.uint8)
+    shared = texts.sparkSession.sparkContext.broadcast(table)
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = (mix(batch.column("key").to_numpy().view(_U)) & _U(bits - 1)).astype(np.int64)
+            ok = (shared.value[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1
+            yield batch.filter(pa.array(ok.astype(bool)))
 
-    return run
+    return texts.mapInArrow(sift, texts.schema)
 
 
 def block_links(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
@@ -302,21 +387,27 @@ def block_links(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
         both += m @ m.T
     inter = np.rint(both).astype(np.int64)
     union = sizes[:, None] + sizes[None, :] - inter
-    x, y = np.nonzero(np.triu(den * inter >= num * union, 1))
-    forest = Forest(n)
-    for a, b in zip(x.tolist(), y.tolist(), strict=True):
-        forest.join(a, b)
-    return forest.roots()
+    linked = den * inter >= num * union
+    label = np.arange(n)
+    for i in range(n):
+        join_rows(label, i, np.flatnonzero(linked[i]))
+    return label
+
 
+def _verify(width: int, fold: bool, num: int, den: int):
+    """Spanning edges (a, b) of the links among the sets of each task (cluster, left, right)."""
 
-def _verify(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in stream_groups(batches, ["cluster", "left", "right"]):
-            nodes, first = np.unique(group["node"].to_numpy(), return_index=True)
-            if len(nodes) < 2:
+            known: dict[int, np.ndarray] = {}
+            for batch in group.to_batches(max_chunksize=1024):
+                of = iter(batch.column("node").to_pylist())
+                # A text of another node is another row of a repeated key.
+                known |= {k: s for sets in _sets(batch, width, fold) for s, k in zip(sets, of) if len(s) and _node(s) == k}  # noqa: B905
+            if len(known) < 2:
                 continue
-            sets = [np.frombuffer(m, _U) for m in group["members"].take(pa.array(first)).to_pylist()]
-            root = block_links(sets, num, den)
+            nodes = np.array(sorted(known), np.int64)
+            root = block_links([known[k] for k in nodes.tolist()], num, den)
             off = np.flatnonzero(root != np.arange(len(nodes)))
             if len(off):
                 yield pa.RecordBatch.from_arrays([pa.array(nodes[off]), pa.array(nodes[root[off]])], ["a", "b"])
@@ -324,6 +415,66 @@ def _verify(num: int, den: int):
     return run
 
 
+def _candidates(shared: DataFrame, nodes: DataFrame, at: str, num: int, den: int) -> DataFrame:
+    """Edges (a, b) whose components hold all links; shared: the second prefixes (entry, node, n_shingles)."""
+    w = Window.partitionBy("entry")
+    counted = shared.withColumn("sets", F.count("*").over(w)).filter("sets > 1").sortWithinPartitions("entry")
+    found = store(counted.mapInArrow(_narrow(num, den), "a long, b long, entry long, node long, sets long"), at, "found")
+    maps = nodes.select("node", "n_shingles", "bitmap")
+    pairs = found.filter("a IS NOT NULL").select("a", "b").distinct()
+    for side in ("a", "b"):
+        pairs = pairs.join(maps.select(F.col("node").alias(side), F.col("n_shingles").alias(f"n{side}"), F.col("bitmap").alias(f"m{side}")), side)
+    blocks = F.ceil(F.col("sets") / ENTRY_BLOCK).cast("long")
+    wide = found.filter("entry IS NOT NULL").select("entry", "node", blocks.alias("blocks")).join(maps, "node").withColumn("part", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    wide = wide.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    wide = wide.select("entry", F.least("part", "other").alias("left"), F.greatest("part", "other").alias("right"), "part", "node", "n_shingles", "bitmap")
+    task = ["entry", "left", "right"]
+    forests = wide.repartition(*task).sortWithinPartitions(*task).mapInArrow(_forests(num, den), "a long, b long")
+    return pairs.mapInArrow(_likely(num, den), "a long, b long").union(forests)
+
+
+def _compared(rows: DataFrame, texts: DataFrame, width: int, fold: bool, num: int, den: int) -> DataFrame:
+    """Edges (a, b) of the links within each task; rows: cluster, left, right, node and doc_id and key of a row with its text."""
+    own = _sifted(texts, rows).withColumnRenamed("doc_id", "id").withColumnRenamed("key", "own_key")
+    task = ["cluster", "left", "right"]
+    met = rows.join(own, (F.col("key") == F.col("own_key")) & F.col("doc_id").eqNullSafe(F.col("id"))).select(*task, "node", "text")
+    return met.repartition(*task).sortWithinPartitions(*task).mapInArrow(_verify(width, fold, num, den), "a long, b long")
+
+
+def _links(clusters: DataFrame, nodes: DataFrame, texts: DataFrame, at: str, width: int, fold: bool, num: int, den: int) -> DataFrame:
+    """(node, component) of the nodes that link; clusters: node, cluster; texts: doc_id, key, text."""
+
+    def blocks(count: Column) -> Column:
+        return F.greatest(F.ceil(count / BLOCK_SETS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("long")
+
+    rows = clusters.join(nodes.select("node", "n_shingles", "rep", "key"), "node")
+    about = rows.groupBy("cluster").agg(blocks(F.count("*")).alias("parts"), *[F.min(F.xxhash64("node", F.lit(k))).alias(f"p{k}") for k in range(PIVOTS)])
+    pivot = F.lit(False)
+    for k in range(PIVOTS):
+        pivot = pivot | (F.xxhash64("node", F.lit(k)) == F.col(f"p{k}"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
+    members = store(rows.join(about, "cluster").select("cluster", "parts", part.alias("part"), (pivot & (F.col("parts") > 1)).alias("pivot"), "node", "n_shingles", F.col("rep").alias("doc_id"), "key"), at, "members")
+    own = members.withColumn("left", F.explode(F.when(F.col("pivot"), F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).otherwise(F.array("part")))).withColumn("right", F.col("left"))
+    first = connected_components(_compared(own, texts, width, fold, num, den), at, "first")
+
+    # Clusters of several blocks that are not one component yet: those outside its largest one against all.
+    open_ = members.filter("parts > 1").join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    groups = open_.groupBy("cluster", "component").agg(F.count("*").alias("n"))
+    several = groups.groupBy("cluster").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("n")).filter("n > 1").select("cluster", F.col("top.component").alias("largest"))
+    rest = open_.join(several, "cluster").withColumn("out", F.col("component") != F.col("largest"))
+    rest = store(rest, at, "rest")
+    if rest.isEmpty():
+        return first
+    outside = rest.filter("out").groupBy("cluster").agg(blocks(F.count("*")).alias("lots"))
+    lot = F.pmod(F.xxhash64("node", F.lit("lot")), F.col("lots"))
+    both = rest.join(outside, "cluster")
+    columns = [F.col(c) for c in ("cluster", "left", "right", "node", "doc_id", "key")]
+    met = both.withColumn("left", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lots") - 1))).withColumn("right", F.col("part")).select(*columns)
+    mine = both.filter("out").withColumn("left", lot).withColumn("right", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select(*columns)
+    second = _compared(met.union(mine), texts, width, fold, num, den)
+    return connected_components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(second), at, "second")
+
+
 def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, fold: bool = True, frequent: int = 1 << 19) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs (doc_id, text; other columns are ignored).
 
@@ -331,18 +482,19 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     frequent: shingles of the frequent class at most (16 bytes each are broadcast).
     Words are runs of characters other than space and 0x09-0x0D.  A text of fewer than
     `width` words has its whole sequence as its one shingle; a null, empty or wordless
-    text has none and is its own component.  Repeated doc_ids keep their rows; a null
-    doc_id is a component of its own if nothing links to it, else its class's smallest id.
+    text has none and is its own component.  Repeated doc_ids keep their rows; a row of null
+    doc_id links like any other, and its component_id is the smallest id of its class, null without one.
     """
     if not den <= 2 * num <= 2 * den:
         raise ValueError("the similarity must be from 0.5 to 1")
     spark = docs.sparkSession
     at = workspace(spark, "jaccard")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    survey = store(texts.mapInArrow(_survey(width, fold), "doc_id long, node long, n_shingles long, bitmap binary, shingle long, seen long"), at, "survey")
+    text = F.col("text").cast("string")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    survey = store(texts.mapInArrow(_survey(width, fold), "doc_id long, key long, node long, n_shingles long, bitmap binary, shingle long, seen long"), at, "survey")
     rows = survey.filter("shingle IS NULL")
-    sums = store(survey.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("seen").alias("seen")).withColumn("step", F.floor(4 * F.log2("seen")).cast("int")), at, "sums")
-    # At most a few hundred steps of counts: the lowest one from which no more than `frequent` shingles remain.
+    sums = store(survey.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("seen").alias("seen")).withColumn("step", F.floor(16 * F.log2("seen")).cast("int")), at, "sums")
+    # At most a thousand steps of counts: the lowest one from which no more than `frequent` shingles remain.
     total, least = 0, 1 << 30
     for step, n in sorted(map(tuple, sums.groupBy("step").count().collect()), reverse=True):
         total += n
@@ -354,22 +506,22 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     order = np.argsort(table)
     shared_table = spark.sparkContext.broadcast((table[order], top["seen"].to_numpy(np.int64)[order]))
 
-    entries = texts.mapInArrow(_index(width, fold, num, den, shared_table), "entry long, node long")
+    # Each entry's sets, then each set's second prefix. A set can come from several tasks.
+    entries = texts.select("doc_id", "text").mapInArrow(_index(width, fold, num, den, shared_table), "entry long, node long, k int")
     w = Window.partitionBy("entry")
-    shared = entries.withColumn("lo", F.min("node").over(w)).withColumn("hi", F.max("node").over(w)).filter("lo < hi").select("entry", "node")
-    shared = store(shared, at, "shared")
-    nodes = store(rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.max("bitmap").alias("bitmap")), at, "nodes")
-    candidates = shared.join(nodes.select("node", "n_shingles", "bitmap"), "node").repartition("entry").sortWithinPartitions("entry").mapInArrow(_forests(num, den), "a long, b long")
+    once = F.coalesce(F.lag("node").over(w.orderBy("node")) != F.col("node"), F.lit(True))
+    shared = entries.withColumn("sets", F.count("*").over(w)).withColumn("lo", F.min("node").over(w)).withColumn("hi", F.max("node").over(w)).withColumn("once", once).filter("lo < hi AND once")
+    shared = store(shared.select("entry", "node", "k", "sets"), at, "shared")
+    discard(spark, at, "sums")
+    own = Window.partitionBy("node")
+    kept = shared.withColumn("s", F.count("*").over(own)).filter("s >= k").withColumn("place", F.row_number().over(own.orderBy("sets", "entry"))).filter("place <= s - k + 1").select("entry", "node")
+    nodes = store(rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.max("bitmap").alias("bitmap"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("row")).select("node", "rep", "n_shingles", "bitmap", F.col("row.key").alias("key")), at, "nodes")
+    candidates = _candidates(kept.join(nodes.select("node", "n_shingles"), "node"), nodes, at, num, den)
     clusters = connected_components(candidates, at, "clusters").withColumnRenamed("component", "cluster")
-    clusters = store(clusters, at, "cluster")
-
-    sizes = clusters.join(nodes.select("node", "rep", "n_shingles"), "node")
-    parts = sizes.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("long").alias("parts"))
-    members = store(sizes.join(parts, "cluster").select(F.col("rep").alias("doc_id"), "node", "cluster", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part")).filter("doc_id IS NOT NULL"), at, "members")
-    sets = members.join(texts, "doc_id").mapInArrow(_set_rows(width, fold), "cluster long, left long, right long, part long, node long, members binary")
-    links = sets.repartition("cluster", "left", "right").sortWithinPartitions("cluster", "left", "right").mapInArrow(_verify(num, den), "a long, b long")
-    component = connected_components(links, at, "links")
-    named = nodes.join(component, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
+    discard(spark, at, "shared", "found")
+    component = _links(clusters, nodes, texts, at, width, fold, num, den)
+    named = nodes.select("node", "rep").join(component, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = store(named.join(smallest, "component").select("node", "component_id"), at, "named")
+    discard(spark, at, "members", "rest")
     return rows.join(named, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
