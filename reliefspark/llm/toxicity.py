@@ -33,8 +33,6 @@ PREFIXES = (4, 5)
 TRAIN_DOCS = 400
 #: Clean documents for each toxic one in the sample.
 CLEAN_TIMES = 3
-#: Longest text used for fitting (bytes); longer documents are left out of the sample, none is cut.
-TRAIN_BYTES = 4_000
 MOST_FEATURES = 5_000
 #: Share of the toxic documents, and of all documents, that a telling or any feature is found in at least.
 TELLING_SHARE, FEATURE_SHARE = 0.02, 0.004
@@ -174,60 +172,88 @@ def aggregates(p: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
     return out
 
 
+@dataclass
+class _Block:
+    """Documents lo..hi of the sample: their tokens' documents and, per kind of feature, (tokens, features) of the known ones."""
+
+    lo: int
+    hi: int
+    doc: np.ndarray
+    known: list[tuple[np.ndarray, np.ndarray]]
+    label: np.ndarray
+
+
+def _sample_blocks(texts: list[str]) -> Iterator[tuple[int, int, Tokens]]:
+    """Whole texts in blocks of bounded size, so that only one block's features are held at a time."""
+    raw, off = wordhash.column_buffers(pa.array(texts, pa.large_string()))
+    for i, j in wordhash.blocks(raw, off):
+        yield i, j, tokenize(raw, off[i : j + 1])
+
+
+def _feature_counts(texts: list[str], y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features, toxic documents, clean documents that hold each)."""
+    found = np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for i, j, t in _sample_blocks(texts):
+        u, k = np.unique(np.concatenate(t.features), return_inverse=True)
+        pairs = np.unique(k.astype(np.int64) * (j - i) + np.tile(t.doc, len(t.features)))
+        f, toxic = pairs // (j - i), y[i + pairs % (j - i)] == 1
+        mine = u, np.bincount(f, weights=toxic, minlength=len(u)).astype(np.int64), np.bincount(f, weights=~toxic, minlength=len(u)).astype(np.int64)
+        u, k = np.unique(np.concatenate([found[0], mine[0]]), return_inverse=True)
+        found = u, *(np.bincount(k, weights=np.concatenate([found[c], mine[c]]), minlength=len(u)).astype(np.int64) for c in (1, 2))
+    return found
+
+
 def fit(texts: list[str], labels: list[int], steps: int = 30) -> Model:
     """A model of documents and their labels, by Adam on the exact gradient of the field's likelihood."""
     texts, labels = without_near_copies(texts, labels)
     y = np.array(labels)
-    raw, off = wordhash.column_buffers(pa.array(texts, pa.large_string()))
-    t = tokenize(raw, off)
     n_docs, n_toxic = len(y), max(1, int(y.sum()))
     n_clean = max(1, n_docs - n_toxic)
-    # Documents of each class that hold a feature.
-    h = np.concatenate(t.features)
-    d = np.tile(t.doc, len(t.features))
-    u, k = np.unique(h, return_inverse=True)
-    pairs = np.unique(k.astype(np.int64) * max(1, n_docs) + d)
-    f, of = pairs // max(1, n_docs), pairs % max(1, n_docs)
-    toxic = np.bincount(f, weights=y[of] == 1, minlength=len(u))
-    clean = np.bincount(f, weights=y[of] == 0, minlength=len(u))
+    u, toxic, clean = _feature_counts(texts, y)
     odds = np.log((toxic + 0.1) / n_toxic) - np.log((clean + 0.5) / n_clean)
     weight = np.abs(odds) * np.sqrt(toxic + clean)
     chosen = np.flatnonzero(toxic + clean >= max(3, FEATURE_SHARE * n_docs))
     chosen = np.sort(chosen[np.argsort(-weight[chosen], kind="stable")[:MOST_FEATURES]])
-    del h, d, k, pairs, f, of
     table, telling = u[chosen], (odds[chosen] > 3) & (toxic[chosen] >= max(3, TELLING_SHARE * n_toxic))
+    del u, toxic, clean, odds, weight
     model = Model(table, np.zeros(len(table)), -4.0, np.zeros((2, 2)), np.array([4.0, 0, 0, -2.0]))
-    known = [model.lookup(x) for x in t.features]
-    label = np.zeros(len(t.doc), bool)
-    for at, k in known:
-        label[at[telling[k]]] = True
-    label &= y[t.doc] == 1
-    first = begins(t.doc)
-    goal_pair = np.zeros((2, 2))
-    inner = np.flatnonzero(~first)
-    np.add.at(goal_pair, (label[inner - 1].astype(int), label[inner].astype(int)), 1)
-    goal_w = np.zeros(len(table))
-    for at, k in known:
-        np.add.at(goal_w, k, label[at])
+    blocks = []
+    for i, j, t in _sample_blocks(texts):
+        known = [tuple(v.astype(np.int32) for v in model.lookup(x)) for x in t.features]
+        label = np.zeros(len(t.doc), bool)
+        for at, k in known:
+            label[at[telling[k]]] = True
+        blocks.append(_Block(i, j, t.doc.astype(np.int32), known, label & (y[i:j][t.doc] == 1)))
+
+    def scores(b: _Block) -> np.ndarray:
+        s = np.full(len(b.doc), model.bias)
+        for at, k in b.known:
+            s[at] += model.weights[k]
+        return s
+
+    goal = np.zeros(len(table) + 5)
+    for b in blocks:
+        for at, k in b.known:
+            goal[: len(table)] += np.bincount(k, weights=b.label[at], minlength=len(table))
+        goal[len(table)] += b.label.sum()
+        inner = np.flatnonzero(~begins(b.doc))
+        goal[-4:] += np.bincount(2 * b.label[inner - 1] + b.label[inner], minlength=4)
     x = np.concatenate([model.weights, [model.bias], model.trans.ravel()])
     mean, square = np.zeros_like(x), np.zeros_like(x)
     for step in range(1, steps + 1):
         model.weights, model.bias, model.trans = x[: len(table)], x[len(table)], x[-4:].reshape(2, 2)
-        s = np.full(len(t.doc), model.bias)
-        for at, k in known:
-            s[at] += model.weights[k]
-        p, pair = forward_backward(s, first, model.trans)
-        g = np.zeros_like(x)
-        for at, k in known:
-            g[: len(table)] += np.bincount(k, weights=p[at], minlength=len(table))
-        g[: len(table)] -= goal_w
-        g[len(table)] = p.sum() - label.sum()
-        g[-4:] = (pair - goal_pair).ravel()
-        g += 1.0 * x  # a Gaussian prior
+        g = 1.0 * x - goal  # a Gaussian prior
+        for b in blocks:
+            p, pair = forward_backward(scores(b), begins(b.doc), model.trans)
+            for at, k in b.known:
+                g[: len(table)] += np.bincount(k, weights=p[at], minlength=len(table))
+            g[len(table)] += p.sum()
+            g[-4:] += pair.ravel()
         mean, square = 0.9 * mean + 0.1 * g, 0.99 * square + 0.01 * g * g
         x = x - 0.3 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
     model.weights, model.bias, model.trans = x[: len(table)], float(x[len(table)]), x[-4:].reshape(2, 2)
-    model.curve = fit_curve(aggregates(model.marginals(t), t.doc, n_docs), y)
+    shares = [aggregates(forward_backward(scores(b), begins(b.doc), model.trans)[0], b.doc, b.hi - b.lo) for b in blocks]
+    model.curve = fit_curve(np.concatenate([*shares, np.zeros((0, 4))]), y)
     keep = np.abs(model.weights) > 1e-3
     return Model(model.features[keep], model.weights[keep], model.bias, model.trans, model.curve)
 
@@ -265,17 +291,18 @@ def fit_curve(a: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
     """A model from labels (doc_id, toxic) of documents whose crc32(doc_id as text) mod 5 is not 0.
 
-    The sample is the `train_docs` toxic and CLEAN_TIMES as many clean documents of smallest doc_id hash, texts of at most
-    TRAIN_BYTES; labels other than 0 and 1 are left out.
+    The sample is the `train_docs` toxic and CLEAN_TIMES as many clean documents of smallest doc_id hash, each with its
+    whole text, however long; labels other than 0 and 1 are left out. Null ids and texts teach nothing, of repeated rows
+    and near copies one counts, and without any label every text gets the same low score.
     """
-    usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
+    usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).distinct()
     picked = None
     for k in (0, 1):
         own = usable.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs * (1 if k else CLEAN_TIMES))
         picked = own if picked is None else picked.union(own)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter(F.octet_length("text") <= TRAIN_BYTES)
-    # At most (1 + CLEAN_TIMES) * train_docs ids are broadcast; as many texts of at most TRAIN_BYTES come to the driver.
-    rows = sorted(map(tuple, texts.join(F.broadcast(picked.distinct()), "doc_id").select("doc_id", "toxic", "text").collect()))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
+    # At most (1 + CLEAN_TIMES) * train_docs ids are broadcast, and the texts of as many come to the driver.
+    rows = sorted(map(tuple, texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text")).collect()))
     return fit([r[2] for r in rows], [r[1] for r in rows])
 
 
@@ -288,10 +315,12 @@ def tag(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of docs with toxicity (0 to 1), toxic_tokens (expected number) and toxic_spans
     (array of start and end in code points, end exclusive), for every row.
 
-    A null or empty text, and one without letters and digits, gets the score of no toxic token at all.
+    A null or empty text, and one without letters and digits, gets the score of no toxic token at all. Texts are
+    read whole, however long; repeated rows get a row each, an empty table no rows. A column of docs with one of
+    the result's names is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
+    docs = docs.drop("toxicity", "toxic_tokens", "toxic_spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -320,5 +349,4 @@ def tag(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([*score, np.zeros(0)])[:n]), pa.array(np.concatenate([*tokens, np.zeros(0)])[:n]), pa.array(spans, span)], [*batch.schema.names, "toxicity", "toxic_tokens", "toxic_spans"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    assert not {"toxicity", "toxic_tokens", "toxic_spans"} & set(names), "docs has a column of the result's name"
     return docs.mapInArrow(run, f"{schema}, toxicity double, toxic_tokens double, toxic_spans array<struct<start:int,end:int>>")
