@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import wordhash
+from .common import store, workspace
 from .wordhash import mix
 
 _U = np.uint64
@@ -27,8 +28,8 @@ COMMON_WORDS = 64
 HELD_WORDS = 2_000_000
 #: Words of a language, at least, for it to have a reference: one or two documents say nothing of a language.
 LEAST_WORDS = 1000
-#: Languages with a reference, at most: those with the most words.
-MOST_LANGUAGES = 200
+#: A language with a reference has one word in so many of all, at least; hence there are no more languages than this.
+WORD_SHARE = 5000
 
 SYMBOLS = "#*$%&|<>"
 
@@ -179,22 +180,25 @@ class References:
 
 
 def references(docs: DataFrame, rules: Rules = Rules()) -> References:
-    """References from all rows of docs (text, lang); languages of null or empty name or under LEAST_WORDS words have none.
+    """References from all rows of docs (text, lang).
 
-    What comes to the driver is bounded: at most MOST_LANGUAGES times COMMON_WORDS and the classes.
+    A language has one if its documents that pass the base rules have LEAST_WORDS words and a share of 1 / WORD_SHARE
+    of all languages' words, so what comes to the driver is bounded: WORD_SHARE times COMMON_WORDS and the classes.
+    Rows of null or empty language or text give nothing; repeated rows count each time; words of equal counts are
+    ranked by hash; an empty table gives no reference. Other columns are ignored.
     """
     parts = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).mapInArrow(_count(rules), "lang string, kind string, item long, seen long")
-    sums = parts.groupBy("lang", "kind", "item").agg(F.sum("seen").alias("seen"))
-    rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("seen"), "item"))
-    # No kind but words has as many items, so that one bound holds for all and tasks rank their own rows before the shuffle.
-    top = sums.withColumn("rank", rank).filter(f"rank <= {max(COMMON_WORDS, CLASSES)} AND (kind <> 'word' OR rank <= {COMMON_WORDS})").drop("rank")
-    # Languages come whole, those of most words first: none has more rows than the bound allows it.
-    total = F.max(F.when(F.col("kind") == "words", F.col("seen"))).over(Window.partitionBy("lang"))
-    top = top.withColumn("total", total).filter(F.col("total") >= LEAST_WORDS)
+    sums = store(parts.groupBy("lang", "kind", "item").agg(F.sum("seen").alias("seen")), workspace(docs.sparkSession, "quality"), "sums")
+    totals = sums.filter("kind = 'words'")
+    least = max(LEAST_WORDS, -(-(totals.agg(F.sum("seen")).first()[0] or 0) // WORD_SHARE))
+    langs = totals.filter(F.col("seen") >= least).select("lang")
+    # Ranked in parts first, so that no task ranks all words of a language.
+    order = [F.desc("seen"), F.col("item")]
+    some = sums.filter("kind = 'word'").withColumn("rank", F.row_number().over(Window.partitionBy("lang", F.pmod("item", F.lit(16))).orderBy(*order))).filter(F.col("rank") <= COMMON_WORDS)
+    words = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= COMMON_WORDS).drop("rank")
     by: dict[str, dict] = {}
-    for lang, kind, item, seen, _ in top.orderBy(F.desc("total"), "lang", "kind", F.desc("seen"), "item").limit(MOST_LANGUAGES * (COMMON_WORDS + CLASSES + 1)).collect():
-        if lang in by or len(by) < MOST_LANGUAGES:
-            by.setdefault(lang, {"class": {}, "word": {}, "words": {}})[kind][item] = seen
+    for lang, kind, item, seen in words.union(sums.filter("kind <> 'word'")).join(langs, "lang").select("lang", "kind", "item", "seen").collect():
+        by.setdefault(lang, {"class": {}, "word": {}, "words": {}})[kind][item] = seen
     out = References([], np.zeros((0, CLASSES)), [], [])
     for lang in sorted(by):
         c, w, total = by[lang]["class"], by[lang]["word"], by[lang]["words"].get(0, 0)
@@ -255,8 +259,9 @@ RESULT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_rep
 def judge(docs: DataFrame, ref: References, rules: Rules = Rules()) -> DataFrame:
     """All columns of docs (text, ...) with the counts, both distances and the verdict `kept`, for every row.
 
-    A null or empty text has no words, fails the base rules and is not kept. A column of docs with
-    one of the result's names is replaced.
+    A null or empty text has no words, fails the base rules and is not kept. Texts are read whole, however
+    long; repeated rows get the same counts each; an empty table gives no rows. A column of docs with one of
+    the result's names is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(ref)
     new = [x.split()[0] for x in RESULT.split(", ")]
