@@ -30,10 +30,12 @@ from .wordhash import mix
 _U = np.uint64
 PREFIXES = (4, 5)
 #: Labelled documents of each class that the model is fitted on, at most.
-TRAIN_DOCS = 400
+TRAIN_DOCS = 800
 #: Clean documents for each toxic one in the sample.
 CLEAN_TIMES = 3
 MOST_FEATURES = 5_000
+#: Bytes of text whose tokens are worked on at a time in fitting, about.
+FIT_BYTES = 1 << 18
 #: Share of the toxic documents, and of all documents, that a telling or any feature is found in at least.
 TELLING_SHARE, FEATURE_SHARE = 0.02, 0.004
 
@@ -186,7 +188,7 @@ class _Block:
 def _sample_blocks(texts: list[str]) -> Iterator[tuple[int, int, Tokens]]:
     """Whole texts in blocks of bounded size, so that only one block's features are held at a time."""
     raw, off = wordhash.column_buffers(pa.array(texts, pa.large_string()))
-    for i, j in wordhash.blocks(raw, off):
+    for i, j in wordhash.blocks(raw, off, FIT_BYTES):
         yield i, j, tokenize(raw, off[i : j + 1])
 
 
@@ -261,16 +263,15 @@ def fit(texts: list[str], labels: list[int], steps: int = 30) -> Model:
 def without_near_copies(texts: list[str], labels: list[int]) -> tuple[list[str], list[int]]:
     """The first of each label's documents that share one of four minima of their shingles' hashes."""
     raw, off = wordhash.column_buffers(pa.array(texts, pa.large_string()))
-    if not len(texts):
-        return texts, labels
-    h, doc, _, _ = wordhash.words(raw, off, True)
     seen: set[tuple[int, int, int]] = set()
     keep = []
-    for i, s in enumerate(wordhash.shingles(h, doc, len(texts), 4)):
-        mine = {(labels[i], k, int(mix(s ^ _U(0x1234567 * (k + 1))).min())) for k in range(4)} if len(s) else {(labels[i], -1, 0)}
-        if not mine & seen:
-            keep.append(i)
-        seen |= mine
+    for a, b in wordhash.blocks(raw, off, FIT_BYTES):
+        h, doc, _, _ = wordhash.words(raw, off[a : b + 1], True)
+        for i, s in enumerate(wordhash.shingles(h, doc, b - a, 4), a):
+            mine = {(labels[i], k, int(mix(s ^ _U(0x1234567 * (k + 1))).min())) for k in range(4)} if len(s) else {(labels[i], -1, 0)}
+            if not mine & seen:
+                keep.append(i)
+            seen |= mine
     return [texts[i] for i in keep], [labels[i] for i in keep]
 
 

@@ -74,11 +74,11 @@ def column_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.n
     return raw[off[0] : off[-1]], off - off[0]
 
 
-def blocks(raw: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of documents of about BLOCK_BYTES together."""
+def blocks(raw: np.ndarray, off: np.ndarray, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of documents of about `size` bytes together."""
     i, n = 0, len(off) - 1
     while i < n:
-        j = int(np.searchsorted(off, off[i] + BLOCK_BYTES, "right")) - 1
+        j = int(np.searchsorted(off, off[i] + size, "right")) - 1
         j = min(n, max(j, i + 1))
         yield i, j
         i = j
