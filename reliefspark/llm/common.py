@@ -14,15 +14,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .wordhash import mix
+
 _made: list[tuple[SparkSession, str]] = []
 _own_folder: str | None = None
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor and the driver see: spark.checkpoint.dir, else one of our own (tests)."""
+    """The folder every executor and the driver see: spark.checkpoint.dir; in local mode, where it is unset, one of our own (tests)."""
     global _own_folder
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if _own_folder is None:
             _own_folder = tempfile.mkdtemp(prefix="reliefspark-")
         base = _own_folder
@@ -117,6 +121,65 @@ class Forest:
         return np.array([self.root(x) for x in range(len(self.up))], dtype=np.int64)
 
 
+#: Bits of a sieve, at most (it is broadcast).
+SIEVE_BITS = 1 << 27
+
+
+def _sieve_parts(key: str, bits: int):
+    """(chunk, bits) of the keys of a task, and of chunks of several tasks their union."""
+    chunk = min(bits, 1 << 18)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(bits, bool)
+        for batch in batches:
+            seen[_place(batch.column(key), bits)] = True
+        for c in range(bits // chunk):
+            own = seen[c * chunk : (c + 1) * chunk]
+            if own.any():
+                yield pa.RecordBatch.from_arrays([pa.array([c], pa.int64()), pa.array([np.packbits(own).tobytes()], pa.binary())], ["chunk", "bits"])
+
+    def union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for c, b in zip(batch.column("chunk").to_pylist(), batch.column("bits").to_pylist(), strict=True):
+                b = np.frombuffer(b, np.uint8)
+                found[c] = found[c] | b if c in found else b
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([b.tobytes() for b in found.values()], pa.binary())], ["chunk", "bits"])
+
+    return mark, union
+
+
+def _place(keys: pa.Array, bits: int) -> np.ndarray:
+    return (mix(keys.to_numpy(zero_copy_only=False).view(np.uint64)) & np.uint64(bits - 1)).astype(np.int64)
+
+
+def sieve(keys: DataFrame, key: str):
+    """A broadcast bit table of the non-null long column `key`, built by the executors: SIEVE_BITS at most, whatever the number of keys."""
+    n = keys.count()
+    bits = min(SIEVE_BITS, max(1 << 16, 1 << (16 * n).bit_length()))
+    mark, union = _sieve_parts(key, bits)
+    table = np.zeros(bits // 8, np.uint8)
+    step = min(bits, 1 << 18) // 8
+    for c, b in keys.select(key).mapInArrow(mark, "chunk long, bits binary").repartition("chunk").mapInArrow(union, "chunk long, bits binary").collect():
+        table[c * step : (c + 1) * step] = np.frombuffer(b, np.uint8)
+    return keys.sparkSession.sparkContext.broadcast(table)
+
+
+def marked(df: DataFrame, key: str, table, name: str) -> DataFrame:
+    """df with the boolean `name`: false only if the row's non-null long `key` is none of the sieve's; true for all its keys and a few others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = table.value
+        for batch in batches:
+            p = _place(batch.column(key), 8 * len(bits))
+            found = (bits[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.astype(bool))], [*batch.schema.names, name])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    return df.mapInArrow(run, f"{schema}, `{name}` boolean")
+
+
 def join_rows(label: np.ndarray, i: int, others: np.ndarray) -> None:
     """Merges the components of i and of others; label: of each member, the smallest of its component."""
     found = np.unique(label[others])

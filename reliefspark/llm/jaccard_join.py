@@ -43,8 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import wordhash
-from .common import Forest, connected_components, discard, join_rows, store, stream_groups, workspace
-from .wordhash import mix
+from .common import Forest, connected_components, discard, join_rows, marked, sieve, store, stream_groups, workspace
 
 _U = np.uint64
 #: Bits of a parity bitmap, by set size, at most.
@@ -56,8 +55,6 @@ BLOCK_SETS, BLOCK_SHINGLES = 1024, 1_000_000  # of each of the two blocks in a t
 PIVOTS = 4
 #: A prefix is extended by one in so many of a set's shingles.
 SLACK = 50
-#: Bits of the sieve that keeps texts without candidates from being shuffled, at most (it is broadcast).
-SIEVE_BITS = 1 << 27
 
 
 def _allowed_missing(n: int, num: int, den: int) -> int:
@@ -321,52 +318,6 @@ def _forests(num: int, den: int):
     return run
 
 
-def _sieve_parts(bits: int):
-    """(chunk, bits) of the keys of a task, and of chunks of several tasks their union."""
-    chunk = min(bits, 1 << 18)
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(bits, bool)
-        for batch in batches:
-            seen[(mix(batch.column("key").to_numpy().view(_U)) & _U(bits - 1)).astype(np.int64)] = True
-        for c in range(bits // chunk):
-            own = seen[c * chunk : (c + 1) * chunk]
-            if own.any():
-                yield pa.RecordBatch.from_arrays([pa.array([c], pa.int64()), pa.array([np.packbits(own).tobytes()], pa.binary())], ["chunk", "bits"])
-
-    def union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for c, b in zip(batch.column("chunk").to_pylist(), batch.column("bits").to_pylist(), strict=True):
-                b = np.frombuffer(b, np.uint8)
-                found[c] = found[c] | b if c in found else b
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([b.tobytes() for b in found.values()], pa.binary())], ["chunk", "bits"])
-
-    return mark, union
-
-
-def _sifted(texts: DataFrame, members: DataFrame) -> DataFrame:
-    """The rows of texts whose key is one of members', and a few others: a sieve of SIEVE_BITS at most is broadcast."""
-    n = members.count()
-    bits = min(SIEVE_BITS, max(1 << 16, 1 << (16 * n).bit_length()))
-    mark, union = _sieve_parts(bits)
-    schema = "chunk long, bits binary"
-    table = np.zeros(bits // 8, np.uint8)
-    step = min(bits, 1 << 18) // 8
-    for c, b in members.select("key").mapInArrow(mark, schema).repartition("chunk").mapInArrow(union, schema).collect():
-        table[c * step : (c + 1) * step] = np.frombuffer(b, np.uint8)
-    shared = texts.sparkSession.sparkContext.broadcast(table)
-
-    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p = (mix(batch.column("key").to_numpy().view(_U)) & _U(bits - 1)).astype(np.int64)
-            ok = (shared.value[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1
-            yield batch.filter(pa.array(ok.astype(bool)))
-
-    return texts.mapInArrow(sift, texts.schema)
-
-
 def block_links(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
     """The root of each set in the forest of this block's links (all pairs, in column slabs)."""
     n = len(sets)
@@ -435,7 +386,8 @@ def _candidates(shared: DataFrame, nodes: DataFrame, at: str, num: int, den: int
 
 def _compared(rows: DataFrame, texts: DataFrame, width: int, fold: bool, num: int, den: int) -> DataFrame:
     """Edges (a, b) of the links within each task; rows: cluster, left, right, node and doc_id and key of a row with its text."""
-    own = _sifted(texts, rows).withColumnRenamed("doc_id", "id").withColumnRenamed("key", "own_key")
+    # Texts without candidates are not shuffled.
+    own = marked(texts, "key", sieve(rows, "key"), "near").filter("near").select(F.col("doc_id").alias("id"), F.col("key").alias("own_key"), "text")
     task = ["cluster", "left", "right"]
     met = rows.join(own, (F.col("key") == F.col("own_key")) & F.col("doc_id").eqNullSafe(F.col("id"))).select(*task, "node", "text")
     return met.repartition(*task).sortWithinPartitions(*task).mapInArrow(_verify(width, fold, num, den), "a long, b long")
@@ -501,10 +453,11 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
         if total > frequent:
             break
         least = step
-    top = sums.filter(F.col("step") >= least).select("shingle", "seen").toPandas()
-    table = top["shingle"].to_numpy(np.int64).view(_U)
+    top = sums.filter(F.col("step") >= least).select("shingle", "seen").toArrow()
+    table = top["shingle"].to_numpy().view(_U)
     order = np.argsort(table)
-    shared_table = spark.sparkContext.broadcast((table[order], top["seen"].to_numpy(np.int64)[order]))
+    shared_table = spark.sparkContext.broadcast((table[order], top["seen"].to_numpy()[order]))
+    del top, table, order
 
     # Each entry's sets, then each set's second prefix. A set can come from several tasks.
     entries = texts.select("doc_id", "text").mapInArrow(_index(width, fold, num, den, shared_table), "entry long, node long, k int")
