@@ -37,7 +37,24 @@ COMPLETES = {"short": ("access", "endpoint"), "endpoint": ("access", "assign"),
 SHORT_LEAST = 4
 
 
-def _found(text: Column, kind: int, pattern: str, group: int, least: int) -> Column:
+def _gates(text: Column) -> dict[str, Column]:
+    """What a text must hold, by plain search, for a kind's pattern to be tried at all.
+
+    Weak kinds count beside a complement only: a random string or an endpoint needs an identifier, an endpoint or an assignment.
+    """
+    sign, access, endpoint = text.contains(":") | text.contains("="), text.contains("AKIA"), text.contains("://")
+    return {"assign": sign, "access": access, "hex": F.lit(True), "endpoint": endpoint, "random": access | endpoint}
+
+
+def _any_span(text: Column) -> Column:
+    """False only for texts without spans: there is a base kind's or a short assignment's match, or an endpoint with a random string."""
+    gate, pattern = _gates(text), {k: p for k, p, _, _ in (*BASE, *WEAK)}
+    alone = [gate[k] & text.rlike(pattern[k]) for k in ("access", "assign", "hex")]
+    both = gate["endpoint"] & text.rlike(pattern["endpoint"]) & text.rlike(pattern["random"])
+    return F.coalesce(alone[0] | alone[1] | alone[2] | both, F.lit(False))
+
+
+def _found(text: Column, gate: Column, kind: int, pattern: str, group: int, least: int) -> Column:
     """Of one pattern: array of (kind, n, gap before, length, counted length); the gap of row n follows match n - 1."""
     p = F.lit(pattern)
     matches = F.regexp_extract_all(text, p, F.lit(0))
@@ -48,18 +65,22 @@ def _found(text: Column, kind: int, pattern: str, group: int, least: int) -> Col
         lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("n"), F.length(x["g"]).alias("gap"), F.length(x["m"]).alias("size"), F.length(x["c"]).alias("counted")),
     )
     # Without a match the text is not split a second time.
-    return F.when(text.rlike(pattern), rows).otherwise(F.array().cast("array<struct<kind:int,n:int,gap:int,size:int,counted:int>>"))
+    return F.when(gate & text.rlike(pattern), rows).otherwise(F.array().cast("array<struct<kind:int,n:int,gap:int,size:int,counted:int>>"))
 
 
 def spans(docs: DataFrame, keys: list[str]) -> DataFrame:
     """One row per row of docs (keys..., text): keys..., spans = array of (start, kind number, kind, end, base, link).
 
     link: for a weak span, the start of the part before or behind it that completes it.
-    A null or empty text has no spans; repeated rows keep a row each.
+    A null or empty text has no spans; repeated rows keep a row each, whatever the keys' names. Spans of equal
+    starts are ordered by kind; texts are read whole, however long; an empty table gives no rows.
     """
+    names, own = keys, [f"key_{k}" for k in range(len(keys))]
+    docs = docs.select(*[F.col(k).alias(x) for k, x in zip(names, own, strict=True)], "text")
+    keys = own
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    patterns = [(KINDS.index(k), p, g, n) for k, p, g, n in (*BASE, *WEAK)]
-    found = F.concat(*[_found(F.col("text"), *p) for p in patterns])
+    gates = _gates(F.col("text"))
+    found = F.concat(*[_found(F.col("text"), gates[k], KINDS.index(k), p, g, n) for k, p, g, n in (*BASE, *WEAK)])
     # The row number is fixed by the input's partitions, so a repeated task numbers alike.
     rows = docs.select(F.monotonically_increasing_id().alias("row"), *keys, text.alias("text")).select("row", *keys, F.explode_outer(found).alias("f")).select("row", *keys, "f.*")
     rows = rows.repartition("row")
@@ -87,7 +108,7 @@ def spans(docs: DataFrame, keys: list[str]) -> DataFrame:
     keep = F.col("kind").isNotNull() & (base | (F.col("link").isNotNull() & ~F.col("covered")))
     name = F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1)
     span = F.when(keep, F.struct("start", F.col("kind").alias("number"), name.alias("kind"), "end", base.alias("base"), "link"))
-    return rows.groupBy("row").agg(*[F.first(k).alias(k) for k in keys], F.sort_array(F.collect_list(span)).alias("spans")).drop("row")
+    return rows.groupBy("row").agg(*[F.first(k).alias(k) for k in keys], F.sort_array(F.collect_list(span)).alias("spans")).select(*[F.col(k).alias(x) for k, x in zip(own, names, strict=True)], "spans")
 
 
 def _joined(found: Column) -> Column:
@@ -106,12 +127,16 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def mask(docs: DataFrame) -> DataFrame:
-    """docs with every span of `text` overwritten by as many asterisks; columns and rows stay."""
-    # Equal texts have equal spans: one row for each text that has any, found by its digest.
-    keyed = docs.withColumn("__text_key", F.sha2(F.col("text").cast("string").cast("binary"), 256))
-    hit = F.lit(False)
-    for _, p, _, _ in (*BASE, *WEAK):
-        hit = hit | F.coalesce(F.col("text").rlike(p), F.lit(False))
-    found = spans(keyed.filter(hit).select("__text_key", "text"), ["__text_key"]).filter(F.size("spans") > 0).groupBy("__text_key").agg(F.first("spans").alias("__spans"))
-    masked = F.aggregate("__spans", F.col("text").cast("string"), lambda t, s: F.overlay(t, F.repeat(F.lit("*"), (s["end"] - s["start"]).cast("int")), (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))
-    return keyed.join(found, "__text_key", "left").withColumn("text", F.when(F.col("__spans").isNotNull(), masked).otherwise(F.col("text"))).select(*docs.columns)
+    """docs with every span of `text` overwritten by as many asterisks; columns and rows stay, in no order.
+
+    A null, empty or clean text stays as it is, and repeated rows stay; no column's name clashes. An empty table gives no rows.
+    """
+    key, found_spans = (f"__{name}{len(docs.columns)}_{max(map(len, docs.columns), default=0)}" for name in ("key", "spans"))
+    text = F.col("text").cast("string")
+    hit = _any_span(text)
+    # Only texts that a pattern matches are shuffled. Equal texts have equal spans: one row for each, found by its digest.
+    keyed = docs.filter(hit).withColumn(key, F.sha2(text.cast("binary"), 256))
+    found = spans(keyed.select(key, "text"), [key]).filter(F.size("spans") > 0).groupBy(key).agg(F.first("spans").alias(found_spans))
+    masked = F.aggregate(found_spans, text, lambda t, s: F.overlay(t, F.repeat(F.lit("*"), (s["end"] - s["start"]).cast("int")), (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))
+    changed = keyed.join(found, key, "left").withColumn("text", F.when(F.col(found_spans).isNotNull(), masked).otherwise(text))
+    return docs.filter(~hit).withColumn("text", text).unionByName(changed.select(*docs.columns))
