@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reliefspark.llm import jaccard_join, packing, quality, secrets, toxicity
-from reliefspark.llm.common import store, workspace
+from reliefspark.llm.common import marked, sieve, store, workspace
 
 
 def _plain(docs: DataFrame, *used: str) -> DataFrame:
@@ -20,14 +20,14 @@ def _plain(docs: DataFrame, *used: str) -> DataFrame:
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below 0.5; the model is learned from the labels of `docs`."""
+    """Documents scored below 0.5; the model is learned from the labels of `docs`. Null and empty texts stay, as repeated rows do."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     rows = _plain(docs, "text")
     return toxicity.tag(rows, model).filter("toxicity < 0.5").select(*rows.columns).toDF(*docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; the references are counted over `docs`."""
+    """Documents that the quality rules keep; the references are counted over `docs`. Null and empty texts go; repeated rows are judged alike."""
     rows = _plain(docs, "text")
     return quality.judge(rows, quality.references(docs)).filter("kept").select(*rows.columns).toDF(*docs.columns)
 
@@ -45,22 +45,22 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     members = component.select(F.col("doc_id").alias(key), "component_id").distinct().join(more, "component_id")
     members = store(keyed.select(F.col("doc_id").cast("long").alias("id"), key).distinct().join(members, key), at, "members")
     first = members.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", key)).alias("first")).select(F.col(f"first.{key}").alias(key))
-    dropped = members.join(first, key, "left_anti").select(key)
-    kept = keyed.join(dropped, key, "left_anti")
+    dropped = store(members.join(first, key, "left_anti").select(key), at, "dropped")
     twice = component.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias(key))
-    if twice.isEmpty():
-        return kept.select(*docs.columns)
-    once = kept.join(twice, key, "left_anti").select(*docs.columns)
-    return once.unionByName(kept.join(twice, key, "left_semi").dropDuplicates([key]).select(*docs.columns))
+    # Rows that surely stay, most of them, are not shuffled; the others are joined with the keys that go.
+    doubt = f"__doubt{len(docs.columns)}"
+    sure = marked(keyed, key, sieve(dropped.union(twice), key), doubt)
+    some = sure.filter(doubt).drop(doubt).join(dropped, key, "left_anti").dropDuplicates([key])
+    return sure.filter(~F.col(doubt)).select(*docs.columns).unionByName(some.select(*docs.columns))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets and linked credential parts overwritten; n_chars stays true, as lengths do."""
+    """All documents, secrets and linked credential parts overwritten; n_chars stays true, as lengths do. Null texts and repeated rows stay."""
     return secrets.mask(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 1024 tokens and their places in sequences."""
+    """Pieces of at most 1024 tokens and their places in sequences. A null text is empty: one piece of the end id; repeated rows are packed each."""
     import public_tokenizers
 
     return packing.best_fit_sequences(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
