@@ -6,15 +6,18 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own: str | None = None
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, else a folder of our own (one machine only)."""
+    """spark.checkpoint.dir; in local mode, where it is unset, a folder of our own."""
     global _own
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         _own = _own or tempfile.mkdtemp(prefix="reliefspark-")
         base = _own
     return base if ":" in base.split("/")[0] else f"file://{base}"
@@ -24,4 +27,30 @@ def cut(df: DataFrame) -> DataFrame:
     """df written as Parquet and read again: later rounds start from files, whatever executor is lost."""
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/rounds/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._relief_path = path
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Deletes a table of cut() that nothing reads any more."""
+    path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._relief_path)
+    path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
+    """df with `name`: 0, 1, ... in ascending order of the column `order` (no two equal).
+
+    Rows are dealt out by ranges and numbered in their partitions; the partitions' row counts, one small row
+    each, give the offsets, so that no task sees all rows. One written table fixes the ranges.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, order).sortWithinPartitions(order).withColumn("__at", F.monotonically_increasing_id())
+    ranged = cut(ranged.withColumns({"__part": F.shiftright("__at", 33), "__at": F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))}))
+    total, offsets = 0, []
+    for part, rows in sorted(map(tuple, ranged.groupBy("__part").count().collect())):
+        offsets.append((part, total))
+        total += rows
+    # One row a partition.
+    before = F.broadcast(df.sparkSession.createDataFrame(offsets, "__part long, __before long"))
+    return ranged.join(before, "__part").withColumn(name, F.col("__at") + F.col("__before")).drop("__part", "__at", "__before")

@@ -27,8 +27,10 @@ def compact(vertices: DataFrame, triangles: DataFrame) -> tuple[DataFrame, DataF
 def with_corners(vertices: DataFrame, triangles: DataFrame) -> DataFrame:
     """(tid, p0, p1, p2): each triangle's positions as structs; one join over unpivoted corners."""
     c = triangles.select("tid", F.posexplode(F.array("i0", "i1", "i2")).alias("k", "vid"))
-    j = c.join(vertices.select("vid", F.struct("x", "y", "z").alias("p")), "vid")
-    return j.groupBy("tid").agg(*[F.max(F.when(F.col("k") == k, F.col("p"))).alias(f"p{k}") for k in range(3)])
+    j = c.join(vertices.select("vid", "x", "y", "z"), "vid")
+    # Plain numbers are aggregated by hash; a struct's maximum would sort all corners.
+    flat = j.groupBy("tid").agg(*[F.max(F.when(F.col("k") == k, F.col(a))).alias(f"{a}{k}") for k in range(3) for a in "xyz"])
+    return flat.select("tid", *[F.struct(*[F.col(f"{a}{k}").alias(a) for a in "xyz"]).alias(f"p{k}") for k in range(3)])
 
 
 def recut(vertices: DataFrame, triangles: DataFrame, shift_x: float, shift_y: float) -> DataFrame:

@@ -1,10 +1,12 @@
-"""Flight lines recovered per scan source: two aggregations with map-side combine, no sort."""
+"""Flight lines recovered per scan source: aggregations of plain numbers with map-side combine, no sort."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..lineage import cut
+
 
 def source_stats(points: DataFrame) -> DataFrame:
     """Count and ranges of angle and time of each source; angle bounds start at 90 and -90."""
@@ -37,16 +39,23 @@ def flight_lines(points: DataFrame, scale: tuple[float, float] = (1.0, 1.0), ang
     along = F.abs(F.col("scan_angle") - F.col("repr_angle")) <= angle_tolerance
     middle, tolerance = (F.col("max_gps") + F.col("min_gps")) / F.lit(2.0), (F.col("max_gps") - F.col("min_gps")) / F.lit(100.0)
     across = F.abs(F.col("gps_time") - middle) <= tolerance
-    at, angle = F.struct("x", "y"), F.col("scan_angle")
-    first = F.struct("gps_time", "pid")
-    last = F.struct(F.col("gps_time"), -F.col("pid"))
-    ends = joined.groupBy("source_id").agg(
-        F.first("n").alias("n"),
-        F.min_by(at, F.when(along, first)).alias("p0"),
-        F.max_by(at, F.when(along, last)).alias("p1"),
-        F.min_by(at, F.when(across & (angle < 90), F.struct("scan_angle", "pid"))).alias("p2"),
-        F.max_by(at, F.when(across & (angle > -90), F.struct(angle, -F.col("pid")))).alias("p3"),
-    )
+    angle = F.col("scan_angle")
+    # Least and greatest keys of the four ends first, then the few points that have them, then the first row of equals.
+    roles = {
+        "p0": (along, "gps_time", F.min),
+        "p1": (along, "gps_time", F.max),
+        "p2": (across & (angle < 90), "scan_angle", F.min),
+        "p3": (across & (angle > -90), "scan_angle", F.max),
+    }
+    keys = joined.groupBy("source_id").agg(F.max("n").alias("n"), *[f(F.when(c, F.col(k))).alias(f"{p}_key") for p, (c, k, f) in roles.items()])
+    keys = cut(keys)
+    met = joined.drop("n").join(keys, "source_id")
+    has = {p: F.coalesce(c & (F.col(k) == F.col(f"{p}_key")), F.lit(False)) for p, (c, k, _) in roles.items()}
+    met = cut(met.select("source_id", "pid", "x", "y", *[h.alias(p) for p, h in has.items()]).filter("p0 OR p1 OR p2 OR p3"))
+    chosen = met.groupBy("source_id").agg(*[F.min(F.when(F.col(p), F.col("pid"))).alias(f"{p}_pid") for p in roles])
+    ends = met.join(chosen, "source_id").groupBy("source_id").agg(*[F.max(F.when(F.col(p) & (F.col("pid") == F.col(f"{p}_pid")), F.col(c))).alias(f"{p}_{c}") for p in roles for c in "xy"])
+    ends = keys.select("source_id", "n").join(ends, "source_id", "left")
+    ends = ends.select("source_id", "n", *[F.when(F.col(f"{p}_x").isNotNull(), F.struct(F.col(f"{p}_x").alias("x"), F.col(f"{p}_y").alias("y"))).alias(p) for p in roles])
 
     def azimuth(a: str, b: str):
         return F.atan2((F.col(f"{b}.y") - F.col(f"{a}.y")) * F.lit(scale[1]), (F.col(f"{b}.x") - F.col(f"{a}.x")) * F.lit(scale[0]))

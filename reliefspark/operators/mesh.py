@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..lineage import cut
+from ..lineage import cut, drop, numbered
 
 
 def half_edges(triangles: DataFrame) -> DataFrame:
@@ -49,32 +53,87 @@ def boundary_vertices(triangles: DataFrame, both_ends: bool = False) -> DataFram
     return (out.union(e.select(F.col("dst").alias("vid"))) if both_ends else out).distinct()
 
 
-def label_components(links: DataFrame) -> DataFrame:
-    """(node, component) of the ends of links (a, b): component is the smallest node reached.
+#: Edges that a task joins at a time.
+HELD_EDGES = 2_000_000
 
-    Large-star and small-star rounds; each round is one written table, so lineage stays short.
-    """
-    now = cut(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+
+def _roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes, the smallest node that each reaches) of the edges a - b: hooking to smaller labels and halving of paths."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    p, q = ends[: len(a)], ends[len(a) :]
+    label = np.arange(len(nodes))
+    while len(p):
+        low, high = np.minimum(label[p], label[q]), np.maximum(label[p], label[q])
+        apart = low != high
+        if not apart.any():
+            break
+        p, q = p[apart], q[apart]
+        np.minimum.at(label, high[apart], low[apart])
+        while (label != label[label]).any():
+            label = label[label]
+    return nodes, nodes[label]
+
+
+def _local_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, root) of each node of a task's edges (a, b): the smallest node that it reaches by them."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        if held:
+            nodes, root = _roots(np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held]))
+            for k in range(0, len(nodes), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[k : k + 100_000]), pa.array(root[k : k + 100_000])], ["node", "root"])
+            held.clear()
+
+    for batch in batches:
+        held.append((batch.column("a").to_numpy(), batch.column("b").to_numpy()))
+        size += batch.num_rows
+        if size >= HELD_EDGES:
+            yield from flush()
+            size = 0
+    yield from flush()
+
+
+def _stars(links: DataFrame) -> DataFrame:
+    """(node, component) of the ends of links (a, b), a > b: rounds of large and small stars, each a written table."""
+    now = cut(links.distinct())
     last = None
     while True:
         state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if state["n"] == 0 or state == last:
             break
-        last = state
+        last, old = state, now
         for large in (True, False):
             e = now.select("a", "b")
             if large:
                 e = e.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
             low = e.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
             j = e.join(low, "a")
-            now = (j.filter("b > a") if large else j).select(F.col("b").alias("a"), F.col("m").alias("b"))
+            stars = (j.filter("b > a") if large else j).select(F.col("b").alias("a"), F.col("m").alias("b"))
             if not large:
-                now = now.union(low.select("a", F.col("m").alias("b")))
-            now = now.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        now = cut(now)
+                stars = stars.union(low.select("a", F.col("m").alias("b")))
+            now = cut(stars.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+            drop(old)
+            old = now
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
 
 
+def label_components(links: DataFrame) -> DataFrame:
+    """(node, component) of the ends of links (a, b): component is the smallest node reached.
+
+    Links are dealt out by ranges of their first end, and each task joins its own at once. Only the local roots of
+    nodes that several tasks met go through the star rounds, so that the rounds work on the seams between tasks.
+    """
+    n = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = links.filter("a <> b").select(F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b")).repartitionByRange(n, "a")
+    forest = cut(ranged.mapInArrow(_local_forest, "node long, root long"))
+    low = forest.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    seams = forest.join(low.filter("low < high").select("node", "low"), "node").filter("root > low").select(F.col("root").alias("a"), F.col("low").alias("b"))
+    joined = _stars(seams).select(F.col("node").alias("low"), "component")
+    return low.join(joined, "low", "left").select("node", F.coalesce("component", "low").alias("component"))
+
+
 def components(triangles: DataFrame) -> DataFrame:
     """(tid, component): connected through shared edges, numbered by their lowest triangle.
 
@@ -83,8 +142,8 @@ def components(triangles: DataFrame) -> DataFrame:
     adj = adjacency(triangles).filter("opposite is not null").select(F.col("tid").alias("a"), F.expr("opposite div 3").alias("b"))
     root = label_components(adj)
     named = triangles.select("tid").join(root, F.col("tid") == F.col("node"), "left").select("tid", F.coalesce("component", "tid").alias("root"))
-    roots = named.select("root").distinct().withColumn("component", F.row_number().over(Window.orderBy("root")) - 1)
-    return named.join(roots, "root").select("tid", "component")
+    named = cut(named)
+    return named.join(numbered(named.select("root").distinct(), "root", "component"), "root").select("tid", "component")
 
 
 def component_sizes(parts: DataFrame) -> DataFrame:

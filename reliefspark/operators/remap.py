@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..lineage import numbered
+
 
 def dedup(vertices: DataFrame, *attributes: str) -> DataFrame:
     """(vid, remap): the first vertex with equal attributes (x, y, z by default)."""
@@ -23,8 +25,7 @@ def dense(vertices: DataFrame, triangles: DataFrame, *attributes: str) -> DataFr
     keys = list(attributes or ("x", "y", "z"))
     used = corners(triangles).groupBy("vid").agg(F.min("position").alias("position"))
     seen = vertices.join(used, "vid").groupBy(*keys).agg(F.min("position").alias("position"))
-    # The one global numbering: rows are the distinct vertices with their positions only.
-    number = seen.withColumn("remap", F.row_number().over(Window.orderBy("position")) - 1).drop("position")
+    number = numbered(seen, "position", "remap").drop("position")
     named = vertices.join(used.select("vid"), "vid", "left_semi").select("vid", *keys).join(number, keys)
     return vertices.select("vid").join(named.select("vid", "remap"), "vid", "left")
 
@@ -54,7 +55,7 @@ def join_referenced(vertices: DataFrame, triangles: DataFrame) -> tuple[DataFram
 def join_all(vertices: DataFrame, triangles: DataFrame) -> tuple[DataFrame, DataFrame]:
     """UNION DISTINCT by vertex: ids by first appearance among the vertices, unreferenced ones too."""
     first = vertices.groupBy("x", "y", "z").agg(F.min("vid").alias("first"))
-    first = first.withColumn("remap", F.row_number().over(Window.orderBy("first")) - 1)
+    first = numbered(first, "first", "remap")
     remap = vertices.join(first, ["x", "y", "z"]).select("vid", "remap")
     return first.select(F.col("remap").alias("vid"), "x", "y", "z"), apply(triangles, remap)
 
@@ -62,3 +63,11 @@ def join_all(vertices: DataFrame, triangles: DataFrame) -> tuple[DataFrame, Data
 def compose(first: DataFrame, second: DataFrame) -> DataFrame:
     """(vid, remap) of one remap after another: child vertex to parent vertex."""
     return first.join(second.select(F.col("vid").alias("remap"), F.col("remap").alias("__to")), "remap").select("vid", F.col("__to").alias("remap"))
+
+
+def copy_unique(vertices: DataFrame, wanted: DataFrame, *attributes: str) -> tuple[DataFrame, DataFrame]:
+    """(copies (vid, attributes...), remap (vid, remap)) of the vertices that `wanted` (place, vid) lists: equal ones once, numbered by first place."""
+    keys = list(attributes or ("x", "y", "z"))
+    taken = wanted.groupBy("vid").agg(F.min("place").alias("place")).join(vertices.select("vid", *keys), "vid")
+    first = numbered(taken.groupBy(*keys).agg(F.min("place").alias("place")), "place", "remap")
+    return first.select(F.col("remap").alias("vid"), *keys), taken.select("vid", *keys).join(first.select("remap", *keys), keys).select("vid", "remap")

@@ -34,7 +34,10 @@ def voxel_points(vertices: DataFrame, n: int) -> DataFrame:
     g = grid_cells(vertices, n)
     mean = g.groupBy("gx", "gy", "gz").agg(*[F.avg(c).alias(f"m{c}") for c in "xyz"])
     d = sum(((F.col(c) - F.col(f"m{c}")) * (F.col(c) - F.col(f"m{c}")) for c in "xyz"), F.lit(0.0))
-    return g.join(mean, ["gx", "gy", "gz"]).groupBy("gx", "gy", "gz").agg(F.min_by("vid", F.struct(F.round(d, 9), "vid")).alias("vid")).select("vid")
+    cell = ["gx", "gy", "gz"]
+    off = g.join(mean, cell).select(*cell, "vid", F.round(d, 9).alias("off"))
+    least = off.groupBy(*cell).agg(F.min("off").alias("least"))
+    return off.join(least, cell).filter("off = least").groupBy(*cell).agg(F.min("vid").alias("vid")).select("vid")
 
 
 def snap_to_grid(vertices: DataFrame, triangles: DataFrame, n: int) -> DataFrame:
