@@ -73,6 +73,75 @@ def dequantize_cell(q: Column, shift: Column, div: int) -> Column:
     return (q - 16384) / F.lit(32768.0 * div) + shift
 
 
+#: Steps of z in a tile's width, and of quantized z.
+Z_STEPS, SCALE_Z = 100_000, 2
+
+
+def cells2d(vertices: DataFrame, triangles: DataFrame, sublevels: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A tile of the unit square in 2^sublevels x 2^sublevels cells: (cells, vertices, triangles), each with lod 0, nx, ny.
+
+    A triangle goes to the cell of its barycentre (those outside to the nearest). Vertices are quantized in their
+    cell, equal ones are one, numbered by first use; triangles that degenerate go. cells: counts, shift_z and scale_z
+    and the box of the quantized vertices. Every cell has its own shift_z.
+    """
+    n = 1 << sublevels
+    corner = clean.with_corners(vertices, triangles)
+
+    def cell(a: str) -> Column:
+        mid = (F.col(f"p0.{a}") + F.col(f"p1.{a}") + F.col(f"p2.{a}")) / F.lit(3.0)
+        return F.least(F.lit(n - 1), F.greatest(F.lit(0), F.floor(mid * n))).cast("int")
+
+    key = ["nx", "ny"]
+    c = corner.select("tid", cell("x").alias("nx"), cell("y").alias("ny"), F.posexplode(F.array("p0", "p1", "p2")).alias("k", "p")).select("tid", "k", *key, "p.x", "p.y", "p.z")
+    shift = c.groupBy(*key).agg((SCALE_Z * F.floor(Z_STEPS * F.min("z") / SCALE_Z)).cast("long").alias("shift_z"))
+    c = c.join(shift, key)
+    q = c.select("tid", "k", *key, "shift_z", *[quantize_cell(F.col(a), F.col(m) / F.lit(float(n)), n).alias(f"u{a}") for a, m in (("x", "nx"), ("y", "ny"))], F.floor((Z_STEPS * F.col("z") - F.col("shift_z")) / SCALE_Z).cast("int").alias("uz"))
+    place = ["ux", "uy", "uz"]
+    first = q.groupBy(*key, "shift_z", *place).agg(F.min(F.col("tid") * 3 + F.col("k")).alias("first"))
+    own = first.withColumn("vid", F.row_number().over(Window.partitionBy(*key).orderBy("first")).cast("long") - 1)
+    v = own.select(F.lit(0).alias("lod"), *key, "vid", *place, "shift_z", F.lit(SCALE_Z).alias("scale_z"))
+    t = q.join(own.select(*key, *place, "vid"), [*key, *place]).groupBy(*key, "tid").agg(*[F.max(F.when(F.col("k") == k, F.col("vid"))).alias(f"i{k}") for k in range(3)])
+    t = clean.skip_degenerate(t).select(F.lit(0).alias("lod"), *key, "tid", "i0", "i1", "i2")
+    box = v.groupBy("lod", *key, "shift_z", "scale_z").agg(F.count("*").alias("vtx_count"), *[f(u).alias(f"{m}_{u}") for u in place for m, f in (("min", F.min), ("max", F.max))])
+    count = t.groupBy(*key).agg((3 * F.count("*")).alias("idx_count"))
+    return box.join(count, key, "left").withColumn("idx_count", F.coalesce("idx_count", F.lit(0).cast("long"))), v, t
+
+
+def level_counts(cells: DataFrame) -> DataFrame:
+    """(lod, cells, triangles, vertices) of cells (lod, triangles, vertices)."""
+    return cells.groupBy("lod").agg(F.count("*").alias("cells"), F.sum("triangles").alias("triangles"), F.sum("vertices").alias("vertices"))
+
+
+def children(parents: DataFrame, cells: DataFrame) -> DataFrame:
+    """(lod, cx, cy, cz of the parent, k, vx, vy, vz of the child): the up to eight cells below each parent, by an equi-join on the child's own half coordinates."""
+    kid = cells.select((F.col("lod") + 1).alias("lod"), *[F.floor(F.col(f"c{a}") / 2).alias(f"c{a}") for a in "xyz"], *[F.col(f"c{a}").alias(f"v{a}") for a in "xyz"])
+    k = sum((F.pmod(F.col(f"v{a}"), F.lit(2)) * (1 << i) for i, a in enumerate("xyz")), F.lit(0)).cast("int")
+    return parents.select("lod", "cx", "cy", "cz").join(kid, ["lod", "cx", "cy", "cz"]).withColumn("k", k)
+
+
+def _exponent(c: Column) -> Column:
+    """The binary exponent of a positive number, exact where log2 rounds across a power of two."""
+    e = F.floor(F.log2(c))
+    two = F.lit(2.0)
+    return F.when(c >= F.pow(two, e + 1), e + 1).when(c < F.pow(two, e), e - 1).otherwise(e)
+
+
+def half(c: Column) -> Column:
+    """The bits of the nearest half-precision number (halves away from zero; below 2^-14 zero, from 2^16 on infinity)."""
+    a = F.abs(c)
+    e = _exponent(a)
+    bits = (e + 15) * 1024 + F.floor(a * F.pow(F.lit(2.0), 10 - e) + F.lit(0.5)) - 1024
+    size = F.when(F.isnan(c), 0x7E00).when(a < F.lit(2.0**-14), 0).when(a >= F.lit(2.0**16), 0x7C00).otherwise(bits)
+    return (size + F.when(c < 0, 0x8000).otherwise(0)).cast("int")
+
+
+def short_mantissa(c: Column, bits: int) -> Column:
+    """The nearest number with `bits` bits of mantissa (halves away from zero); below the least normal single 0."""
+    a = F.abs(c)
+    step = F.pow(F.lit(2.0), _exponent(a) - bits)
+    return F.when(a < F.lit(2.0**-126), F.lit(0.0)).otherwise(F.floor(a / step + F.lit(0.5)) * step * F.when(c < 0, -1.0).otherwise(1.0))
+
+
 def unorm(c: Column, bits: int) -> Column:
     top = (1 << bits) - 1
     return F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1.0), c)) * top + F.lit(0.5)).cast("int")

@@ -18,19 +18,62 @@ AXES = ("x", "y", "z")
 
 
 def distance(metric: str, a: list[Column], b: list[Column]) -> Column:
-    """Comparable distance: `l2` squared, `l1` the sum of differences, `so2` the turn between angles (one axis)."""
+    """Comparable distance: `l2` squared, `l1` the sum of differences."""
     if metric == "l2":
         return sum(((p - q) * (p - q) for p, q in zip(a, b, strict=True)), F.lit(0.0))
     if metric == "l1":
         return sum((F.abs(p - q) for p, q in zip(a, b, strict=True)), F.lit(0.0))
-    if metric == "so2":
-        turn = F.abs(a[0] - b[0])
-        return F.least(turn, F.lit(6.283185307179586) - turn)
-    if metric == "so3":  # unit quaternions x, y, z, w: 1 - |cosine|
-        return F.lit(1.0) - F.abs(sum((p * q for p, q in zip(a, b, strict=True)), F.lit(0.0)))
     raise ValueError(metric)
 
 
+#: A whole turn.
+TURN = 6.283185307179586
+
+
+def within_turn(queries: DataFrame, points: DataFrame, radius: float) -> DataFrame:
+    """(pid, nbr, d): angles (pid, angle in -pi to pi) less than `radius` apart, the short way round.
+
+    Cells are equal parts of the turn, at least a radius wide and numbered round, so that the first and last are neighbours.
+    """
+    if radius <= 0:
+        raise ValueError("the radius must be positive")
+    parts = max(1, int(TURN / radius))
+    cell = F.least(F.lit(parts - 1), F.floor((F.col("angle") + TURN / 2) / TURN * parts)).cast("long")
+    steps = sorted({k % parts for k in (-1, 0, 1)})
+    q = queries.select("pid", "angle", F.explode(F.array(*[F.pmod(cell + k, F.lit(parts)) for k in steps])).alias("cell"))
+    p = points.select(F.col("pid").alias("nbr"), F.col("angle").alias("other"), cell.alias("cell"))
+    apart = F.abs(F.col("angle") - F.col("other"))
+    return q.join(p, "cell").withColumn("d", F.least(apart, F.lit(TURN) - apart)).filter(F.col("d") < radius).select("pid", "nbr", "d")
+
+
+def within_rotation(queries: DataFrame, points: DataFrame, radius: float) -> DataFrame:
+    """(pid, nbr, d): quaternions (pid, x, y, z, w) whose squared distance d is below the squared radius: cells in x, y, z, then all four parts."""
+    q = _around(_cells(queries.select("pid", *AXES, "w"), radius, ""))
+    p = _cells(points.select(F.col("pid").alias("nbr"), *[F.col(a).alias(f"n{a}") for a in (*AXES, "w")]), radius, "n")
+    d = distance("l2", [F.col(a) for a in (*AXES, "w")], [F.col(f"n{a}") for a in (*AXES, "w")])
+    return q.join(p, ["cx", "cy", "cz"]).withColumn("d", d).filter(F.col("d") < radius * radius).select("pid", "nbr", "d")
+
+
+def changed(points: DataFrame, added: DataFrame | None = None, removed: DataFrame | None = None) -> DataFrame:
+    """The points searched after adding some and removing others (pid): searches build their cells anew, so there is no tree to mend."""
+    out = points if removed is None else points.join(removed.select("pid"), "pid", "left_anti")
+    return out if added is None else out.unionByName(added.select(*out.columns))
+
+
+def save_cells(points: DataFrame, radius: float, folder: str) -> None:
+    """Writes points (pid, x, y, z) with their cells, dealt out by cell: an index for searches within `radius`."""
+    cells = _cells(points.select("pid", *AXES), radius, "").withColumn("radius", F.lit(float(radius)))
+    cells.repartition("cx", "cy", "cz").sortWithinPartitions("cx", "cy", "cz").write.parquet(folder)
+
+
+def within_saved(queries: DataFrame, folder: str, radius: float) -> DataFrame:
+    """within() against an index of save_cells() of the same radius."""
+    p = queries.sparkSession.read.parquet(folder).filter(F.col("radius") == radius).select("cx", "cy", "cz", F.col("pid").alias("nbr"), *[F.col(a).alias(f"n{a}") for a in AXES])
+    q = _around(_cells(queries.select("pid", *AXES), radius, ""))
+    d = distance("l2", [F.col(a) for a in AXES], [F.col(f"n{a}") for a in AXES])
+    return q.join(p, ["cx", "cy", "cz"]).withColumn("d", d).filter(F.col("d") < radius * radius).select("pid", "nbr", "d")
+
+
 def _cells(df: DataFrame, h: float, prefix: str) -> DataFrame:
     return df.withColumns({f"c{a}": F.floor(F.col(f"{prefix}{a}") / F.lit(h)) for a in AXES})
 

@@ -148,18 +148,27 @@ def _zigzag(a: np.ndarray) -> np.ndarray:
 
 
 def encode_indices(tri: np.ndarray) -> bytes:
-    """Differences of successive indices as zigzag varints, deflated."""
-    z = _zigzag(np.diff(tri.ravel(), prepend=0)).astype(np.uint64)
+    """Triangles as encode_sequence() of their corners."""
+    return encode_sequence(tri.ravel())
+
+
+def decode_indices(data: bytes) -> np.ndarray:
+    return decode_sequence(data).reshape(-1, 3)
+
+
+def encode_sequence(values: np.ndarray) -> bytes:
+    """Differences of successive numbers as zigzag varints, deflated, behind their count."""
+    z = _zigzag(np.diff(values, prepend=0)).astype(np.uint64)
     out = bytearray()
     for v in z.tolist():
         while v >= 128:
             out.append(v & 127 | 128)
             v >>= 7
         out.append(v)
-    return struct.pack("<Q", len(tri)) + zlib.compress(bytes(out), 6)
+    return struct.pack("<Q", len(values)) + zlib.compress(bytes(out), 6)
 
 
-def decode_indices(data: bytes) -> np.ndarray:
+def decode_sequence(data: bytes) -> np.ndarray:
     n = struct.unpack_from("<Q", data)[0]
     values, v, shift = [], 0, 0
     for b in zlib.decompress(data[8:]):
@@ -168,7 +177,9 @@ def decode_indices(data: bytes) -> np.ndarray:
         if b < 128:
             values.append((v >> 1) ^ -(v & 1))
             v, shift = 0, 0
-    return np.cumsum(np.array(values, np.int64)).reshape(n, 3)
+    if len(values) != n:
+        raise ValueError("the data are cut short")
+    return np.cumsum(np.array(values, np.int64))
 
 
 def encode_vertices(columns: np.ndarray) -> bytes:

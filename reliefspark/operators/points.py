@@ -18,6 +18,11 @@ def in_box(box: tuple[float, float, float, float], scale: float = 0.01, offset:
     return world("x", scale, offset).between(box[0], box[1]) & world("y", scale, offset).between(box[2], box[3])
 
 
+def pass_all(points: DataFrame) -> DataFrame:
+    """Every point: the filter of readers that take all."""
+    return points
+
+
 def filter_ground(points: DataFrame, box: tuple[float, float, float, float], scale: float = 0.01, offset: float = 0.0, high: float = 2200.0) -> DataFrame:
     """Points in the box: ground and water below `high` metres, any class up to 9 above it."""
     z = world("z", scale, offset)
@@ -149,3 +154,11 @@ def spatial_order(points: DataFrame, x: str = "x", y: str = "y", z: str = "z") -
     scale = F.when(extent > 0, F.lit(1.0) / extent).otherwise(F.lit(0.0))
     j = points.join(F.broadcast(box))  # one row
     return j.withColumn("code", morton(*[(F.col(c) - F.col(f"__lo_{a}")) * scale for a, c in zip("xyz", (x, y, z), strict=True)])).select(*points.columns, "code")
+
+
+def triangle_morton(vertices: DataFrame, triangles: DataFrame) -> DataFrame:
+    """(tid, code): triangles by the Morton code of their centroids, ten bits an axis over the centroids' box scaled by its largest side."""
+    from . import clean
+
+    c = clean.with_corners(vertices, triangles).select("tid", *[((F.col(f"p0.{a}") + F.col(f"p1.{a}") + F.col(f"p2.{a}")) / F.lit(3.0)).alias(a) for a in "xyz"])
+    return spatial_order(c).select("tid", "code")

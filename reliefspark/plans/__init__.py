@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["point_queries", "mesh_queries", "cloud_queries", "file_queries", "flow_queries"]
+MODULES = ["point_queries", "mesh_queries", "cloud_queries", "file_queries", "flow_queries", "format_queries", "search_queries"]
 
 
 def load() -> None:

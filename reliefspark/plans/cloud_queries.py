@@ -203,15 +203,6 @@ def unorm_snorm(spark, d):
     return j.select("pid", grid.unorm(F.col("x"), 10).alias("u"), grid.snorm(F.col("vx") * 4, 8).alias("s"))
 
 
-@query("octahedral_round_trip", f"WITH {A.V} SELECT pid, true AS near FROM v")
-def octahedral_round_trip(spark, d):
-    n = vec.normalized(vec.vec("x", "y", "z"))
-    b = A.v(spark, d).select("pid", *[e.alias(c) for e, c in zip(n, ("a", "b", "c"), strict=True)])
-    u, w = grid.octahedral(F.col("a"), F.col("b"), F.col("c"), 12)
-    x, y, z = grid.decode_octahedral(u, w, 12)
-    return b.select("pid", (x * F.col("a") + y * F.col("b") + z * F.col("c") > 0.99999).alias("near"))
-
-
 _PAIR = "p AS (SELECT a.pid, a.x AS ax, a.y AS ay, a.z AS az, b.x AS bx, b.y AS by_, b.z AS bz FROM v a JOIN v b ON b.pid = a.pid + 1)"
 
 
@@ -255,12 +246,12 @@ def great_circle(spark, d):
     return p.select("pid", F.round(q[0], 9).alias("qx"), F.round(q[1], 9).alias("qy"), F.round(q[3], 9).alias("qw"))
 
 
-@query("ray_plane", f"WITH {A.V}, {_PAIR} SELECT pid, round(az * ax + (0.5 - 0) * 0 + 0, 9) AS px, round(alpha * bz + beta * az, 9) AS pz, round(alpha, 9) AS pw FROM (SELECT *, az AS alpha, 0.5 - bz AS beta FROM p)")
+@query("ray_plane", f"WITH {A.V}, {_PAIR} SELECT pid, round(alpha * bx + beta * ax, 9) AS px, round(alpha * by_ + beta * ay, 9) AS py, round(alpha * bz + beta * az, 9) AS pz, round(alpha, 9) AS pw FROM (SELECT *, az AS alpha, 0.5 - bz AS beta FROM p)")
 def ray_plane(spark, d):
     p, a, b = _pair(spark, d)
     pl = vec.plane(vec.lift(vec.Z_AXIS), vec.lift((0, 0, 0.5)))
     h = vec.ray_plane(b, a, pl)
-    return p.select("pid", F.round(a[2] * a[0], 9).alias("px"), F.round(h[2], 9).alias("pz"), F.round(h[3], 9).alias("pw"))
+    return p.select("pid", *[F.round(c, 9).alias(n) for c, n in zip(h, ("px", "py", "pz", "pw"), strict=True)])
 
 
 @query("triangle_normals", f"WITH {A.V}, {_PAIR} SELECT pid, round((ay * bz - az * by_) / sqrt((ay * bz - az * by_) ** 2 + (az * bx - ax * bz) ** 2 + (ax * by_ - ay * bx) ** 2), 9) AS nx FROM p")
@@ -283,16 +274,3 @@ def position_hash(spark, d):
 @query("mix_hash", f"WITH {A.PTS}, b AS (SELECT pid, (z * 1540483477) & 4294967295 AS k FROM pts), c AS (SELECT pid, (xor(k, k >> 24) * 1540483477) & 4294967295 AS k FROM b) SELECT pid, xor((pid * 1540483477) & 4294967295, k) AS hash FROM c")
 def mix_hash(spark, d):
     return A.pts(spark, d).select("pid", hashing.mix32(F.col("pid"), F.col("z")).alias("hash"))
-
-
-@query("number_codecs", f"WITH {A.V} SELECT pid, true AS exponent_near, true AS quaternion_near FROM v")
-def number_codecs(spark, d):
-    v = A.v(spark, d)
-    m, e = hashing.encode_exponent(F.col("x"))
-    n = F.sqrt(F.col("x") * F.col("x") + F.col("y") * F.col("y") + F.col("z") * F.col("z") + F.lit(0.01))
-    v = v.withColumns({"a": F.col("x") / n, "b": F.col("y") / n, "c": F.col("z") / n, "e": F.lit(0.1) / n})
-    q = tuple(F.col(c) for c in "abce")
-    at, *rest = hashing.encode_quaternion(q)
-    back = hashing.decode_quaternion(at, tuple(rest))
-    same = sum((p * r for p, r in zip(q, back, strict=True)), F.lit(0.0))
-    return v.select("pid", (F.abs(hashing.decode_exponent(m, e) - F.col("x")) <= F.abs("x") / 8192).alias("exponent_near"), (F.abs(same) > 0.99999).alias("quaternion_near"))

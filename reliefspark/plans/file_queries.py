@@ -19,8 +19,8 @@ def _folder(spark, name: str) -> str:
 @query("las_roundtrip", f"WITH {A.PTS} SELECT x, y, z, classification, scan_angle, source_id, gps_time FROM pts")
 def las_roundtrip(spark, d):
     at = _folder(spark, "las")
-    las.write(A.pts(spark, d).repartition(4, "pid"), at).collect()  # one row a file
-    return las.read(spark, at, records=2000).select("x", "y", "z", "classification", "scan_angle", "source_id", "gps_time")
+    made = [r["uri"] for r in las.write(A.pts(spark, d).repartition(4, "pid"), at).collect()]  # one row a file
+    return las.read(spark, made, records=20_000).select("x", "y", "z", "classification", "scan_angle", "source_id", "gps_time")
 
 
 @query("las_headers", f"WITH {A.PTS} SELECT CAST(count(*) AS BIGINT) AS points, min(x) * CAST(0.01 AS DOUBLE) AS min_x, max(y) * CAST(0.01 AS DOUBLE) AS max_y FROM pts")
@@ -43,8 +43,7 @@ def _trip(spark, d, kind):
     """Area-free summary: each triangle by its corner positions, which survive renumbering."""
     at = _folder(spark, kind)
     v, t = _parts(spark, d)
-    meshes.write(v, t, at, kind).collect()  # one row a mesh
-    rv, rt = meshes.read(spark, at, kind)
+    rv, rt = meshes.read(spark, [r["uri"] for r in meshes.write(v, t, at, kind).collect()], kind)  # one row a mesh
     c = rt.select("path", "tid", F.posexplode(F.array("i0", "i1", "i2")).alias("k", "vid")).join(rv.select("path", "vid", "x", "y", "z"), ["path", "vid"])
     one = c.groupBy("path", "tid").agg(*[F.max(F.when(F.col("k") == k, F.col(a))).alias(f"{a}{k}") for k in range(3) for a in "xyz"])
     return one.drop("path", "tid")

@@ -15,10 +15,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..lineage import cut
 from . import files
 
+#: Files whose metadata one task reads, about; tasks, at most.
+FILES_PER_TASK, MOST_TASKS = 64, 20_000
+
 #: Byte offsets of the two record layouts (formats 1 and 3; 6, 7 and 8).
 _OLD = {"x": (0, "<i4"), "y": (4, "<i4"), "z": (8, "<i4"), "intensity": (12, "<u2"), "returns": (14, "u1"), "classification": (15, "u1"), "angle": (16, "i1"), "source": (18, "<u2"), "gps_time": (20, "<f8")}
 _NEW = {"x": (0, "<i4"), "y": (4, "<i4"), "z": (8, "<i4"), "intensity": (12, "<u2"), "returns": (14, "u1"), "flags": (15, "u1"), "classification": (16, "u1"), "angle": (18, "<i2"), "source": (20, "<u2"), "gps_time": (22, "<f8")}
@@ -119,12 +124,29 @@ class LasSource(DataSource):
         return _Reader(self.options)
 
 
-def read(spark: SparkSession, path: str, **options: object) -> DataFrame:
-    spark.dataSource.register(LasSource)
-    r = spark.read.format("las").option("path", path)
-    for k, v in options.items():
-        r = r.option(k, str(v))
-    return r.load()
+def read(spark: SparkSession, path: str | list[str], records: int = 1_000_000, minx: float | None = None, maxx: float | None = None, miny: float | None = None, maxy: float | None = None) -> DataFrame:
+    """The records of a file, of a folder's files or of the files listed; as the data source `las`, but the headers are read by the executors.
+
+    A list of files is read as given, so that what a failed task left in a folder is not read.
+    """
+    uris = path if isinstance(path, list) else files.listing(path, (".las",))
+    h = headers(spark, uris)
+    for bound, column, above in ((minx, "max_x", True), (maxx, "min_x", False), (miny, "max_y", True), (maxy, "min_y", False)):
+        if bound is not None:
+            h = h.filter(F.col(column) >= bound if above else F.col(column) <= bound)
+    parts = F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0), F.floor((F.col("count") - 1) / records)))
+    ranges = cut(h.select("path", "at", "count", "format", "record", "compressed", F.explode(parts).alias("part")).filter("count > 0"))
+    n = min(MOST_TASKS, max(1, ranges.count()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                if r["compressed"]:
+                    raise ValueError(f"{r['path']} is compressed")
+                first = r["part"] * records
+                yield from _Reader({}).read(_Range(r["path"], r["at"] + first * r["record"], first, min(records, r["count"] - first), r["format"], r["record"]))
+
+    return ranges.repartition(n, "path", "part").mapInArrow(run, SCHEMA)
 
 
 def headers(spark: SparkSession, uris: list[str]) -> DataFrame:
@@ -135,44 +157,143 @@ def headers(spark: SparkSession, uris: list[str]) -> DataFrame:
             rows = []
             for uri in b.column("path").to_pylist():
                 h = parse_header(files.read_at(uri, 0, 600))
-                rows.append({"path": uri, "version": f"{h.version[0]}.{h.version[1]}", "format": h.format, "compressed": h.compressed, "copc": h.copc, "count": h.count} | {f"{n}_{c}": v for n, t in (("scale", h.scale), ("offset", h.offset), ("min", h.low), ("max", h.high)) for c, v in zip("xyz", t, strict=True)})
+                rows.append({"path": uri, "version": f"{h.version[0]}.{h.version[1]}", "format": h.format, "record": h.record, "at": h.points_at, "compressed": h.compressed, "copc": h.copc, "count": h.count} | {f"{n}_{c}": v for n, t in (("scale", h.scale), ("offset", h.offset), ("min", h.low), ("max", h.high)) for c, v in zip("xyz", t, strict=True)})
             yield pa.RecordBatch.from_pylist(rows)
 
     boxes = ", ".join(f"{n}_{c} double" for n in ("scale", "offset", "min", "max") for c in "xyz")
-    return spark.createDataFrame([(u,) for u in uris], "path string").mapInArrow(run, f"path string, version string, format long, compressed boolean, copc boolean, count long, {boxes}")
+    return _listed(spark, uris).mapInArrow(run, f"path string, version string, format long, record long, at long, compressed boolean, copc boolean, count long, {boxes}")
+
+
+def _listed(spark: SparkSession, uris: list[str]) -> DataFrame:
+    """(path) of the files, dealt out to tasks of about FILES_PER_TASK."""
+    n = min(MOST_TASKS, max(1, -(-len(uris) // FILES_PER_TASK)))
+    return spark.createDataFrame([(u,) for u in uris], "path string").repartition(n)
+
+
+def _vlr_rows(uri: str) -> Iterator[dict]:
+    h = parse_header(files.read_at(uri, 0, 600))
+    at = h.header_size
+    extended_at, extended = struct.unpack("<QI", files.read_at(uri, 235, 12)) if h.version >= (1, 4) and h.header_size >= 375 else (0, 0)
+    for wide, place, n in ((False, at, h.vlrs), (True, extended_at, extended)):
+        for _ in range(n):
+            head = files.read_at(uri, place, 60 if wide else 54)
+            user, record = head[2:18].split(b"\0")[0].decode("latin-1"), struct.unpack_from("<H", head, 18)[0]
+            length = struct.unpack_from("<Q" if wide else "<H", head, 20)[0]
+            text = head[28 if wide else 22 :][:32].split(b"\0")[0].decode("latin-1")
+            yield {"path": uri, "extended": wide, "user_id": user, "record_id": record, "length": length, "description": text, "data": files.read_at(uri, place + len(head), length)}
+            place += len(head) + length
+
+
+def vlrs(spark: SparkSession, uris: list[str]) -> DataFrame:
+    """(path, extended, user_id, record_id, length, description, data) of all variable-length records of the files."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.schema([("path", pa.string()), ("extended", pa.bool_()), ("user_id", pa.string()), ("record_id", pa.int64()), ("length", pa.int64()), ("description", pa.string()), ("data", pa.binary())])
+        for b in batches:
+            for uri in b.column("path").to_pylist():
+                for row in _vlr_rows(uri):
+                    yield pa.RecordBatch.from_pylist([row], kind)
+
+    return _listed(spark, uris).mapInArrow(run, "path string, extended boolean, user_id string, record_id long, length long, description string, data binary")
 
 
-def encode(columns: dict[str, np.ndarray], scale: float = 0.01) -> bytes:
-    """A LAS 1.2 file of format 1."""
-    n = len(columns["x"])
-    a = np.zeros(n, np.dtype({"names": list(_OLD), "formats": [f for _, f in _OLD.values()], "offsets": [o for o, _ in _OLD.values()], "itemsize": 28}))
+def _vlr(user_id: str, record_id: int, data: bytes, extended: bool = False) -> bytes:
+    head = bytearray(60 if extended else 54)
+    head[2 : 2 + len(user_id)] = user_id.encode()
+    struct.pack_into("<HQ" if extended else "<HH", head, 18, record_id, len(data))
+    return bytes(head) + data
+
+
+def _box(columns: dict[str, np.ndarray], scale: float) -> list[float]:
+    return [f(columns[c]) * scale if len(columns[c]) else 0.0 for c in "xyz" for f in (np.max, np.min)]
+
+
+def encode(columns: dict[str, np.ndarray], scale: float = 0.01, fmt: int = 1, vlrs: list[tuple[str, int, bytes]] = (), evlrs: list[tuple[str, int, bytes]] = ()) -> bytes:
+    """A LAS file: version 1.2 for formats 1 and 3, 1.4 for formats 6 to 8 (angles in steps of 0.006 degrees, `channel` in the flags)."""
+    n, new = len(columns["x"]), fmt >= 6
+    layout, size = (_NEW, {6: 30, 7: 36, 8: 38}[fmt]) if new else (_OLD, {1: 28, 3: 34}[fmt])
+    a = np.zeros(n, np.dtype({"names": list(layout), "formats": [f for _, f in layout.values()], "offsets": [o for o, _ in layout.values()], "itemsize": size}))
     for c in ("x", "y", "z", "classification", "gps_time"):
         a[c] = columns[c]
-    a["angle"], a["source"] = columns["scan_angle"], columns["source_id"]
-    a["intensity"] = columns.get("intensity", 0)
-    a["returns"] = (columns.get("return_number", np.ones(n, int)) & 7) | (columns.get("number_of_returns", np.ones(n, int)) & 7) << 3
-    head = bytearray(227)
-    head[:4], head[24], head[25] = b"LASF", 1, 2
-    struct.pack_into("<HII", head, 94, 227, 227, 0)
-    struct.pack_into("<BHI5I", head, 104, 1, 28, n, n, 0, 0, 0, 0)
-    box = [f(columns[c]) * scale if n else 0.0 for c in "xyz" for f in (np.max, np.min)]
-    struct.pack_into("<12d", head, 131, scale, scale, scale, 0.0, 0.0, 0.0, *box)
-    return bytes(head) + a.tobytes()
-
-
-def write(points: DataFrame, folder: str) -> DataFrame:
-    """One file a partition below `folder`; returns (uri, count) of the committed tasks' files."""
-    cols = ["x", "y", "z", "classification", "scan_angle", "source_id", "gps_time"]
+    one = np.ones(n, int)
+    returns, total = columns.get("return_number", one), columns.get("number_of_returns", one)
+    a["returns"] = (returns & 15) | (total & 15) << 4 if new else (returns & 7) | (total & 7) << 3
+    a["intensity"], a["source"] = columns.get("intensity", 0), columns["source_id"]
+    if new:
+        a["angle"] = np.round(np.asarray(columns["scan_angle"]) / 0.006)
+        a["flags"] = (np.asarray(columns.get("channel", np.zeros(n, int))) & 3) << 4
+    else:
+        a["angle"] = columns["scan_angle"]
+    head_size = 375 if new else 227
+    extra = b"".join(_vlr(*v) for v in vlrs)
+    head = bytearray(head_size)
+    head[:4], head[24], head[25] = b"LASF", 1, 4 if new else 2
+    struct.pack_into("<HII", head, 94, head_size, head_size + len(extra), len(vlrs))
+    struct.pack_into("<BHI5I", head, 104, fmt, size, 0 if new else n, 0 if new else n, 0, 0, 0, 0)
+    struct.pack_into("<12d", head, 131, scale, scale, scale, 0.0, 0.0, 0.0, *_box(columns, scale))
+    if new:
+        struct.pack_into("<QIQ", head, 235, head_size + len(extra) + n * size if evlrs else 0, len(evlrs), n)
+    elif evlrs:
+        raise ValueError("extended records need a format of version 1.4")
+    return bytes(head) + extra + a.tobytes() + b"".join(_vlr(*v, True) for v in evlrs)
+
+
+def encode_copc(centre: tuple[float, float, float], half: float, cells: list[tuple[int, int, int, int, int]], points: int, page: int = 64) -> bytes:
+    """A COPC file's header, info record and hierarchy (level, x, y, z, point count; counts positive), without the cells' compressed points.
+
+    Pages hold at most `page` entries; the first one points to the others.
+    """
+    parts = [cells[k : k + page] for k in range(0, len(cells), page)] or [[]]
+    body = 375 + 54 + 160
+    rest, places = parts[1:], []
+    at = body + 32 * (len(parts[0]) + len(rest))
+    for p in rest:
+        places.append((at, 32 * len(p)))
+        at += 32 * len(p)
+
+    def entry(c: tuple[int, int, int, int, int]) -> bytes:
+        return struct.pack("<4iQIi", *c[:4], 0, 0, c[4])
+
+    first = b"".join(map(entry, parts[0])) + b"".join(struct.pack("<4iQIi", *p[0][:4], where, size, -1) for p, (where, size) in zip(rest, places, strict=True))
+    info = bytearray(160)
+    struct.pack_into("<5d2Q2d", info, 0, *centre, half, half / 128, body, len(first), 0.0, 0.0)
+    head = bytearray(375)
+    head[:4], head[24], head[25] = b"LASF", 1, 4
+    struct.pack_into("<HII", head, 94, 375, at, 1)
+    struct.pack_into("<BH", head, 104, 6 | 0x80, 30)
+    struct.pack_into("<12d", head, 131, 0.01, 0.01, 0.01, 0.0, 0.0, 0.0, *(v for c in centre for v in (c + half, c - half)))
+    struct.pack_into("<Q", head, 247, points)
+    return bytes(head) + _vlr("copc", 1, bytes(info)) + first + b"".join(b"".join(map(entry, p)) for p in rest)
+
+
+def write(points: DataFrame, folder: str, fmt: int = 1, records: int = 5_000_000) -> DataFrame:
+    """Files of at most `records` points below `folder`, one or more a partition; returns (uri, count) of the committed tasks' files.
+
+    Read back the files listed, not the folder: a task that failed or ran twice leaves files that nothing lists.
+    """
+    cols = ["x", "y", "z", "classification", "scan_angle", "source_id", "gps_time", *[c for c in ("intensity", "return_number", "number_of_returns", "channel") if c in points.columns]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if held:
+        c = TaskContext.get()
+        held, size, made = [], 0, 0
+
+        def put() -> Iterator[pa.RecordBatch]:
             t = pa.Table.from_batches(held)
-            c = TaskContext.get()
-            uri = f"{folder}/{c.partitionId():06d}-{c.taskAttemptId()}.las"
-            files.write(uri, encode({k: t[k].to_numpy() for k in cols}))
+            uri = f"{folder}/{c.partitionId():06d}-{c.taskAttemptId()}-{made}.las"
+            files.write(uri, encode({k: t[k].to_numpy() for k in cols}, fmt=fmt))
             yield pa.RecordBatch.from_pylist([{"uri": uri, "count": t.num_rows}])
 
+        for b in batches:
+            for k in range(0, b.num_rows, records):
+                part = b.slice(k, records)
+                if held and size + part.num_rows > records:
+                    yield from put()
+                    held, size, made = [], 0, made + 1
+                held.append(part)
+                size += part.num_rows
+        if size:
+            yield from put()
+
     return points.select(*cols).mapInArrow(run, "uri string, count long")
 
 
@@ -200,11 +321,29 @@ def copc_cells(uri: str) -> tuple[tuple[float, ...], list[tuple]]:
     return info[:4], rows
 
 
+def copc_table(spark: SparkSession, uris: list[str]) -> DataFrame:
+    """(path, centre_x, centre_y, centre_z, half, level, x, y, z, offset, byte_size, point_count) of all cells of COPC files, walked by the executors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["path", "centre_x", "centre_y", "centre_z", "half", "level", "x", "y", "z", "offset", "byte_size", "point_count"]
+        for b in batches:
+            for uri in b.column("path").to_pylist():
+                cube, rows = copc_cells(uri)
+                for k in range(0, len(rows), 50_000):
+                    part = rows[k : k + 50_000]
+                    yield pa.RecordBatch.from_arrays([pa.array([v] * len(part)) for v in (uri, *cube)] + [pa.array(c, pa.int64()) for c in zip(*part, strict=True)], names)
+
+    return _listed(spark, uris).mapInArrow(run, "path string, centre_x double, centre_y double, centre_z double, half double, level long, x long, y long, z long, offset long, byte_size long, point_count long")
+
+
+def bound_inside(cells: DataFrame, centre: tuple[float, float, float], half: float, box: tuple[float, float, float, float, float, float]) -> DataFrame:
+    """(points): at most so many points lie in the box, the points of all cells that meet it."""
+    return cells_inside(cells, centre, half, box).agg(F.coalesce(F.sum("point_count"), F.lit(0)).alias("points"))
+
+
 def cells_inside(cells: DataFrame, centre: tuple[float, float, float], half: float, box: tuple[float, float, float, float, float, float]) -> DataFrame:
     """Cells (level, x, y, z) whose cube meets the box (touching counts): each cell's cube is arithmetic on its key,
     and a cell inside the box has all its ancestors inside, so no walk from the root is needed."""
-    from pyspark.sql import functions as F
-
     width = F.lit(2.0 * half) / F.pow(F.lit(2.0), F.col("level"))
     ok = F.lit(True)
     for k, c in enumerate("xyz"):

@@ -10,9 +10,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..lineage import cut
 from . import files
 
 #: PLY type names and their numpy codes.
@@ -24,9 +27,39 @@ ATTRIBUTES = ("x", "y", "z", "nx", "ny", "nz", "u", "v", "r", "g", "b")
 Mesh = tuple[dict[str, np.ndarray], np.ndarray]
 
 
-def triangulate(polygon: list[int]) -> list[tuple[int, int, int]]:
-    """A fan around the first corner; fewer than three corners give nothing."""
-    return [(polygon[0], polygon[k], polygon[k + 1]) for k in range(1, len(polygon) - 1)]
+def triangulate(polygon: list[int], pos: np.ndarray | None = None) -> list[tuple[int, int, int]]:
+    """Triangles of a polygon by clipping ears where positions are given, else a fan; fewer than three corners give nothing.
+
+    An ear is a convex corner whose triangle holds no other corner, in the plane of the polygon's area vector;
+    where rounding leaves none, the corner of the largest turn is clipped.
+    """
+    n = len(polygon)
+    if n <= 3 or pos is None:
+        return [(polygon[0], polygon[k], polygon[k + 1]) for k in range(1, n - 1)]
+    p = pos[polygon]
+    area = np.cross(p - p[0], np.roll(p, -1, 0) - p[0]).sum(0)
+    drop = int(np.abs(area).argmax())
+    flat = np.delete(p, drop, 1) * (1 if (area[drop] > 0) ^ (drop == 1) else np.array([-1, 1]))
+
+    def turn(a: int, b: int, c: int) -> float:
+        (ax, ay), (bx, by), (cx, cy) = flat[a], flat[b], flat[c]
+        return (bx - ax) * (cy - ay) - (by - ay) * (cx - ax)
+
+    left, out = list(range(n)), []
+    while len(left) > 3:
+        best = None
+        for k in (*range(1, len(left)), 0):  # convex polygons become fans around their first corner
+            a, b, c = left[k - 1], left[k], left[(k + 1) % len(left)]
+            t = turn(a, b, c)
+            clear = t > 0 and not any(min(turn(a, b, d), turn(b, c, d), turn(c, a, d)) >= 0 for d in left if d not in (a, b, c))
+            if best is None or (clear, t) > best[0]:
+                best = (clear, t), k
+            if clear:
+                break
+        k = best[1]
+        out.append((left[k - 1], left[k], left[(k + 1) % len(left)]))
+        del left[k]
+    return [tuple(polygon[i] for i in t) for t in [*out, tuple(left)]]
 
 
 def parse_ply(data: bytes, positions_only: bool = False) -> Mesh:
@@ -74,7 +107,8 @@ def parse_ply(data: bytes, positions_only: bool = False) -> Mesh:
             attrs = {PLY_NAMES[k]: np.asarray(v, float) for k, v in table.items() if k in PLY_NAMES}
         elif name == "face":
             key = next((k for k in ("vertex_indices", "vertex_index") if k in table), None)
-            tri = [t for polygon in table[key] for t in triangulate(polygon)] if key else []
+            pos = np.stack([attrs[c] for c in "xyz"], 1) if all(c in attrs for c in "xyz") else None
+            tri = [t for polygon in table[key] for t in triangulate(polygon, pos)] if key else []
     keep = ("x", "y", "z") if positions_only else ATTRIBUTES
     return {k: v for k, v in attrs.items() if k in keep}, np.array(tri, np.int64).reshape(-1, 3)
 
@@ -93,7 +127,7 @@ def format_ply(attrs: dict[str, np.ndarray], tri: np.ndarray) -> bytes:
 
 
 def parse_obj(data: bytes) -> Mesh:
-    """v, vt, vn and f statements; equal (position, texture, normal) corners are one vertex; polygons as fans."""
+    """v, vt, vn and f statements; equal (position, texture, normal) corners are one vertex; polygons are cut by ears."""
     pos, tex, nml, seen, tri = [], [], [], {}, []
     for line in data.decode("utf-8", "replace").splitlines():
         w = line.split()
@@ -106,12 +140,14 @@ def parse_obj(data: bytes) -> Mesh:
         elif w[0] == "vn":
             nml.append(tuple(map(float, w[1:4])))
         elif w[0] == "f":
-            polygon = []
+            polygon, corner = [], []
             for c in w[1:]:
                 parts = [int(x) if x else 0 for x in c.split("/")] + [0, 0]
                 take = [(t[k - 1] if k > 0 else t[k]) if k else None for t, k in zip((pos, tex, nml), parts, strict=False)]
                 polygon.append(seen.setdefault(tuple(take), len(seen)))
-            tri += triangulate(polygon)
+                corner.append(take[0])
+            local = triangulate(list(range(len(polygon))), np.array(corner, float) if len(polygon) > 3 else None)
+            tri += [tuple(polygon[k] for k in t) for t in local]
     rows = list(seen) or [(p, None, None) for p in pos]
     attrs = {c: np.array([r[0][k] for r in rows], float) for k, c in enumerate("xyz")}
     if rows and all(r[2] is not None for r in rows):
@@ -163,30 +199,30 @@ def format_inria(attrs: dict[str, np.ndarray], tri: np.ndarray) -> bytes:
 FORMATS: dict[str, tuple[Callable[[bytes], Mesh], Callable[..., bytes]]] = {"ply": (parse_ply, format_ply), "obj": (parse_obj, format_obj), "mesh": (parse_inria, format_inria)}
 
 
-def read(spark: SparkSession, path: str, kind: str) -> tuple[DataFrame, DataFrame]:
-    """(vertices (path, vid, attributes), triangles (path, tid, i0, i1, i2)) of all files of a kind in a folder."""
+def read(spark: SparkSession, path: str | list[str], kind: str) -> tuple[DataFrame, DataFrame]:
+    """(vertices (path, vid, attributes), triangles (path, tid, i0, i1, i2)) of all files of a kind in a folder, or of the files listed.
+
+    Each file is parsed once, into one written table of both row kinds.
+    """
     parse = FORMATS[kind][0]
     raw = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{kind}").load(path).select("path", "content")
+    names = ["path", "vid", *ATTRIBUTES, "tid", "i0", "i1", "i2"]
 
-    def vertices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for p, c in zip(b["path"], b["content"], strict=True):
-                attrs = parse(bytes(c))[0]
-                n = len(attrs.get("x", ()))
-                yield pd.DataFrame({"path": [p] * n, "vid": np.arange(n)} | {a: attrs.get(a, np.full(n, np.nan)) for a in ATTRIBUTES})
-
-    def triangles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for p, c in zip(b["path"], b["content"], strict=True):
-                t = parse(bytes(c))[1]
-                yield pd.DataFrame({"path": [p] * len(t), "tid": np.arange(len(t)), "i0": t[:, 0], "i1": t[:, 1], "i2": t[:, 2]})
+            for p, c in zip(b.column("path").to_pylist(), b.column("content").to_pylist(), strict=True):
+                attrs, t = parse(c)
+                n, m = len(attrs.get("x", ())), len(t)
+                none = pa.nulls(n, pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array([p] * n, pa.string()), pa.array(np.arange(n)), *(pa.array(np.asarray(attrs[a], float)) if a in attrs else pa.nulls(n, pa.float64()) for a in ATTRIBUTES), none, none, none, none], names)
+                yield pa.RecordBatch.from_arrays([pa.array([p] * m, pa.string()), pa.nulls(m, pa.int64()), *(pa.nulls(m, pa.float64()) for _ in ATTRIBUTES), pa.array(np.arange(m)), *(pa.array(np.ascontiguousarray(t[:, k])) for k in range(3))], names)
 
-    v = raw.mapInPandas(vertices, "path string, vid long, " + ", ".join(f"{a} double" for a in ATTRIBUTES))
-    return v, raw.mapInPandas(triangles, "path string, tid long, i0 long, i1 long, i2 long")
+    rows = cut(raw.mapInArrow(run, "path string, vid long, " + ", ".join(f"{a} double" for a in ATTRIBUTES) + ", tid long, i0 long, i1 long, i2 long"))
+    return rows.filter("vid IS NOT NULL").select("path", "vid", *ATTRIBUTES), rows.filter("tid IS NOT NULL").select("path", "tid", "i0", "i1", "i2")
 
 
 def write(vertices: DataFrame, triangles: DataFrame, folder: str, kind: str) -> DataFrame:
-    """One file a mesh_id; rows (mesh_id, uri). Vertices (mesh_id, vid, x, y, z[, nx, ny, nz]) are numbered by vid."""
+    """One file a mesh_id and task attempt; rows (mesh_id, uri) of the committed ones, to be read as listed. Vertices (mesh_id, vid, x, y, z[, nx, ny, nz]) are numbered by vid."""
     form = FORMATS[kind][1]
     attrs = [c for c in ATTRIBUTES if c in vertices.columns]
 
@@ -194,7 +230,7 @@ def write(vertices: DataFrame, triangles: DataFrame, folder: str, kind: str) ->
         v = v.sort_values("vid", kind="stable")
         t = t.sort_values("tid", kind="stable")
         at = np.searchsorted(v["vid"].to_numpy(), t[["i0", "i1", "i2"]].to_numpy())
-        uri = f"{folder}/mesh-{key[0]}.{kind}"
+        uri = f"{folder}/mesh-{key[0]}-{TaskContext.get().taskAttemptId()}.{kind}"
         files.write(uri, form({c: v[c].to_numpy() for c in attrs}, at.reshape(-1, 3)))
         return pd.DataFrame({"mesh_id": [key[0]], "uri": [uri]})
 

@@ -35,6 +35,43 @@ def _lzw(data: bytes) -> bytes:
         width = max(9, min(12, (len(table) + 1).bit_length()))
 
 
+def _restored(raw: bytes, rows: int, w: int, e: str, predictor: int) -> np.ndarray:
+    """A block's values; predictor 2: differences of the words along a row, 3: of its byte planes, the most significant first."""
+    if predictor == 3:
+        planes = np.cumsum(np.frombuffer(raw, np.uint8).reshape(rows, 4 * w), axis=1, dtype=np.uint8).reshape(rows, 4, w)
+        return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(">f4").reshape(rows, w)
+    if predictor == 2:
+        return np.cumsum(np.frombuffer(raw, e + "u4").reshape(rows, w), axis=1, dtype=np.uint32).astype(e + "u4").view(e + "f4")
+    return np.frombuffer(raw, e + "f4").reshape(rows, w)
+
+
+def encode(a: np.ndarray, predictor: int = 1, rows: int = 16) -> bytes:
+    """A little-endian float32 raster in deflated strips of `rows` rows."""
+    ny, nx = a.shape
+    strips = []
+    for y in range(0, ny, rows):
+        part = np.ascontiguousarray(a[y : y + rows], "<f4")
+        if predictor == 3:
+            planes = part.astype(">f4").view(np.uint8).reshape(len(part), nx, 4).transpose(0, 2, 1).reshape(len(part), 4 * nx)
+            raw = np.diff(planes, axis=1, prepend=np.uint8(0)).astype(np.uint8).tobytes()
+        elif predictor == 2:
+            raw = np.diff(part.view("<u4"), axis=1, prepend=np.uint32(0)).astype("<u4").tobytes()
+        else:
+            raw = part.tobytes()
+        strips.append(zlib.compress(raw))
+    n = len(strips)
+    tags = [(256, 4, 1, nx), (257, 4, 1, ny), (258, 3, 1, 32), (259, 3, 1, 8), (262, 3, 1, 1), (273, 4, n, None), (277, 3, 1, 1), (278, 4, 1, rows), (279, 4, n, None), (317, 3, 1, predictor), (339, 3, 1, 3)]
+    body = 8 + 2 + 12 * len(tags) + 4
+    places = body + 8 * n + np.concatenate([[0], np.cumsum([len(s) for s in strips])])[:-1]
+    lists = {273: places.tolist(), 279: [len(s) for s in strips]}
+    out = bytearray(struct.pack("<2sHIH", b"II", 42, 8, len(tags)))
+    for tag, kind, count, value in tags:
+        if tag in lists:
+            value = lists[tag][0] if n == 1 else body + (0 if tag == 273 else 4 * n)
+        out += struct.pack("<HHII", tag, kind, count, value)
+    return bytes(out) + struct.pack("<I", 0) + struct.pack(f"<{2 * n}I", *lists[273], *lists[279]) + b"".join(strips)
+
+
 def parse(data: bytes) -> np.ndarray:
     """The first band as rows of float32."""
     e = "<" if data[:2] == b"II" else ">"
@@ -51,8 +88,9 @@ def parse(data: bytes) -> np.ndarray:
     nx, ny, how = tags[256][0], tags[257][0], tags.get(259, (1,))[0]
     if tags.get(258, (32,))[0] != 32 or tags.get(339, (3,))[0] != 3:
         raise ValueError("only float32 rasters are read")
-    if tags.get(317, (1,))[0] != 1:
-        raise ValueError("predictors are not read")
+    how_before = tags.get(317, (1,))[0]
+    if how_before not in (1, 2, 3):
+        raise ValueError(f"predictor {how_before} is not read")
     unpack = {1: bytes, 5: _lzw, 8: zlib.decompress, 32946: zlib.decompress}[how]
     out = np.zeros((ny, nx), np.float32)
     tiled = 322 in tags
@@ -62,7 +100,7 @@ def parse(data: bytes) -> np.ndarray:
     for k, (s, n) in enumerate(zip(starts, sizes, strict=True)):
         y, x = k // across * h, k % across * w
         rows = h if tiled else min(h, ny - y)
-        block = np.frombuffer(unpack(data[s : s + n]), e + "f4", rows * w).reshape(rows, w)
+        block = _restored(unpack(data[s : s + n])[: 4 * rows * w], rows, w, e, how_before)
         out[y : y + rows, x : x + w] = block[: ny - y, : nx - x]
     return out
 
