@@ -25,7 +25,7 @@ from .wordhash import mix
 _U = np.uint64
 COMMON_WORDS = 64
 #: Words that a task holds before it passes on their counts.
-HELD_WORDS = 2_000_000
+HELD_WORDS = 500_000
 #: Words of a language, at least, for it to have a reference: one or two documents say nothing of a language.
 LEAST_WORDS = 1000
 #: A language with a reference has one word in so many of all, at least; hence there are no more languages than this.

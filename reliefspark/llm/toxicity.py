@@ -34,8 +34,8 @@ TRAIN_DOCS = 800
 #: Clean documents for each toxic one in the sample.
 CLEAN_TIMES = 3
 MOST_FEATURES = 5_000
-#: Bytes of text whose tokens are worked on at a time in fitting, about.
-FIT_BYTES = 1 << 18
+#: Bytes of text whose tokens are worked on at a time, about.
+WORK_BYTES = 1 << 19
 #: Share of the toxic documents, and of all documents, that a telling or any feature is found in at least.
 TELLING_SHARE, FEATURE_SHARE = 0.02, 0.004
 
@@ -188,7 +188,7 @@ class _Block:
 def _sample_blocks(texts: list[str]) -> Iterator[tuple[int, int, Tokens]]:
     """Whole texts in blocks of bounded size, so that only one block's features are held at a time."""
     raw, off = wordhash.column_buffers(pa.array(texts, pa.large_string()))
-    for i, j in wordhash.blocks(raw, off, FIT_BYTES):
+    for i, j in wordhash.blocks(raw, off, WORK_BYTES):
         yield i, j, tokenize(raw, off[i : j + 1])
 
 
@@ -265,7 +265,7 @@ def without_near_copies(texts: list[str], labels: list[int]) -> tuple[list[str],
     raw, off = wordhash.column_buffers(pa.array(texts, pa.large_string()))
     seen: set[tuple[int, int, int]] = set()
     keep = []
-    for a, b in wordhash.blocks(raw, off, FIT_BYTES):
+    for a, b in wordhash.blocks(raw, off, WORK_BYTES):
         h, doc, _, _ = wordhash.words(raw, off[a : b + 1], True)
         for i, s in enumerate(wordhash.shingles(h, doc, b - a, 4), a):
             mine = {(labels[i], k, int(mix(s ^ _U(0x1234567 * (k + 1))).min())) for k in range(4)} if len(s) else {(labels[i], -1, 0)}
@@ -329,7 +329,7 @@ def tag(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             raw, off = wordhash.column_buffers(batch.column("text"))
             score, tokens, spans = [], [], []
-            for i, j in wordhash.blocks(raw, off):
+            for i, j in wordhash.blocks(raw, off, WORK_BYTES):
                 t = tokenize(raw, off[i : j + 1])
                 p = m.marginals(t)
                 a = aggregates(p, t.doc, j - i)

@@ -18,7 +18,7 @@ _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bytes handled at a time; one longer document is handled alone.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 17
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
