@@ -145,23 +145,46 @@ def collapse(pos: np.ndarray, tri: np.ndarray, target: int, most_error: float) -
     return np.array([f for f in faces if f is not None], np.int64).reshape(-1, 3), remap_
 
 
-def collapse_blocks(vertices: DataFrame, triangles: DataFrame, keys: list[str], ratio: float = 0.25, most_error: float = 1e30) -> DataFrame:
+#: Triangles that one collapse works on, at most.
+MOST_TRIANGLES = 200_000
+
+
+def strips(pos: np.ndarray, tri: np.ndarray) -> list[np.ndarray]:
+    """The triangles in parts of at most MOST_TRIANGLES, cut by their centroids along the longest side."""
+    n = -(-len(tri) // MOST_TRIANGLES)
+    if n <= 1:
+        return [tri]
+    mid = pos[tri].mean(1)
+    side = int(np.argmax(mid.max(0) - mid.min(0)))
+    return np.array_split(tri[np.argsort(mid[:, side], kind="stable")], n)
+
+
+def collapse_blocks(vertices: DataFrame, triangles: DataFrame, keys: list[str], ratio: float = 0.25, most_error: float = 1e30, with_remap: bool = False) -> DataFrame:
     """(keys..., i0, i1, i2): each block's triangles (keys, tid, i0, i1, i2) simplified on their own, block borders kept.
 
-    A block must fit one task; blocks are grid cells, so their size is the cell's, not the data's.
+    with_remap: (keys..., vid, remap) instead, the vertex that each of a block's vertices became.
+    A block must fit one task; blocks are grid cells, so their size is the cell's, not the data's. A block of more
+    than MOST_TRIANGLES is cut into strips along its longest side first, whose borders stay too.
     """
     c = triangles.select(*keys, "tid", F.posexplode(F.array("i0", "i1", "i2")).alias("k", "vid"))
     rows = c.join(vertices.select("vid", "x", "y", "z"), "vid")
     types = dict(triangles.dtypes)
-    schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", i0 long, i1 long, i2 long"
+    names = ["vid", "remap"] if with_remap else ["i0", "i1", "i2"]
+    schema = ", ".join(f"{k} {types[k]}" for k in keys) + "".join(f", {n} long" for n in names)
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["tid", "k"], kind="stable")
         ids, first, at = np.unique(pdf["vid"].to_numpy(), return_index=True, return_inverse=True)
         pos = pdf[["x", "y", "z"]].to_numpy()[first]
         tri = at.reshape(-1, 3)
-        out, _ = collapse(pos, tri, max(1, int(len(tri) * ratio)), most_error)
-        res = pd.DataFrame(ids[out], columns=["i0", "i1", "i2"])
+        parts, to = [], np.arange(len(ids))
+        for own in strips(pos, tri):
+            used, local = np.unique(own, return_inverse=True)
+            out, remap_ = collapse(pos[used], local.reshape(-1, 3), max(1, int(len(own) * ratio)), most_error)
+            parts.append(used[out])
+            moved = remap_ != np.arange(len(used))
+            to[used[moved]] = used[remap_[moved]]
+        res = pd.DataFrame(np.stack([ids, ids[to]], 1) if with_remap else ids[np.concatenate(parts)], columns=names)
         for k, v in zip(reversed(keys), reversed(key), strict=True):
             res.insert(0, k, v)
         return res

@@ -59,14 +59,28 @@ def plane_fit_det(spark, d):
     return normals.fit_determinant(_cov(spark, d)).select("pid", *[F.round(c, 6).alias(c) for c in ("nx", "ny", "nz")])
 
 
-@query("plane_fit_eig")
+# Eigenvalues in closed form; with e the least, the adjugate of the matrix less e is a multiple of n n^T.
+_EIG = f"""{_COV}, e0 AS (SELECT *, (xx + yy + zz) / 3 AS q FROM cov), e1 AS (SELECT *, sqrt(((xx - q) ** 2 + (yy - q) ** 2 + (zz - q) ** 2 + 2 * (xy ** 2 + xz ** 2 + yz ** 2)) / 6) AS p FROM e0),
+ e2 AS (SELECT *, acos(greatest(-1, least(1, ((xx - q) * ((yy - q) * (zz - q) - yz * yz) - xy * (xy * (zz - q) - yz * xz) + xz * (xy * yz - (yy - q) * xz)) / (2 * p * p * p)))) / 3 AS f FROM e1),
+ e3 AS (SELECT *, q + 2 * p * cos(f) AS top, q + 2 * p * cos(f + 2 * pi() / 3) AS low FROM e2), e4 AS (SELECT *, 3 * q - top - low AS mid, xx - low AS a, yy - low AS b, zz - low AS c FROM e3),
+ e5 AS (SELECT *, b * c - yz * yz AS axx, a * c - xz * xz AS ayy, a * b - xy * xy AS azz, xz * yz - xy * c AS axy, xy * yz - b * xz AS axz, xy * xz - a * yz AS ayz FROM e4),
+ e6 AS (SELECT e5.*, axx + ayy + azz AS t, v.x - bx AS dx, v.y - by_ AS dy, v.z - bz AS dz FROM e5 JOIN v USING (pid)),
+ eig AS (SELECT pid, axx / t AS nxx, axy / t AS nxy, azz / t AS nzz, 1 - low / mid AS one, greatest(1 - low * top / (mid * mid), 0) AS flat, greatest(1 - 3 * (axx * dx * dx + ayy * dy * dy + azz * dz * dz + 2 * (axy * dx * dy + axz * dx * dz + ayz * dy * dz)) / t / top, 0) AS near FROM e6)"""
+
+
+def _squares():
+    """A normal's products, which do not depend on its sign."""
+    return [F.round(F.col(a) * F.col(b), 5).alias(n) for a, b, n in (("nx", "nx", "nxx"), ("nx", "ny", "nxy"), ("nz", "nz", "nzz"))]
+
+
+@query("plane_fit_eig", f"WITH {_KNN}, {_EIG} SELECT pid, round(nxx, 5) AS nxx, round(nxy, 5) AS nxy, round(nzz, 5) AS nzz, round(flat * near, 5) AS qual FROM eig")
 def plane_fit_eig(spark, d):
-    return normals.fit_planes(_cov(spark, d), A.v(spark, d))
+    return normals.fit_planes(_cov(spark, d), A.v(spark, d)).select("pid", *_squares(), F.round("qual", 5).alias("qual"))
 
 
-@query("plane_fit_split")
+@query("plane_fit_split", f"WITH {_KNN}, {_EIG} SELECT pid, round(nxx, 5) AS nxx, round(nxy, 5) AS nxy, round(nzz, 5) AS nzz, round(one, 5) AS qual, round(near, 5) AS qual2 FROM eig")
 def plane_fit_split(spark, d):
-    return normals.fit_planes(_cov(spark, d), A.v(spark, d), split=True)
+    return normals.fit_planes(_cov(spark, d), A.v(spark, d), split=True).select("pid", *_squares(), F.round("qual", 5).alias("qual"), F.round("qual2", 5).alias("qual2"))
 
 
 _ST = "st AS (SELECT pid, x / sqrt(x * x + y * y + z * z) AS nx, y / sqrt(x * x + y * y + z * z) AS ny, z / sqrt(x * x + y * y + z * z) AS nz, CAST(0.9 AS DOUBLE) + (pid % 11) / CAST(110 AS DOUBLE) AS qual, CASE WHEN pid % 4 = 0 THEN 6 ELSE 1 END AS orient, CAST((pid * 31) % 61 - 30 AS INTEGER) AS scan_angle, pid % 5 <> 0 AS is_valid, (pid % 628) / CAST(100 AS DOUBLE) AS theta FROM v)"
@@ -106,8 +120,8 @@ def orient_progress(spark, d):
     return normals.progress(_st(spark, d))
 
 
-# Two meshes that meet: the last and first columns of 20-row strips, the second shifted.
-_STITCH = f"{A.VTX}, a AS (SELECT vid, y, z / 100000 AS z FROM vtx WHERE vid % 100 = 99 AND vid < 15000), b AS (SELECT vid, y + CAST(0.37 AS DOUBLE) AS y, z / 100000 AS z FROM vtx WHERE vid % 100 = 0 AND vid % 300 <> 0 AND vid < 15000)"
+# Two meshes that meet: the last and first columns of the grid, the second shifted.
+_STITCH = f"{A.VTX}, a AS (SELECT vid, y, z / 100000 AS z FROM vtx WHERE vid % 100 = 99), b AS (SELECT vid, y + CAST(0.37 AS DOUBLE) AS y, z / 100000 AS z FROM vtx WHERE vid % 100 = 0 AND vid % 300 <> 0)"
 _NN = "(SELECT {p}.vid AS p, {q}.vid AS q, row_number() OVER (PARTITION BY {p}.vid ORDER BY ({p}.y - {q}.y) * ({p}.y - {q}.y) + ({p}.z - {q}.z) * ({p}.z - {q}.z), {q}.vid) AS r FROM {p}, {q})"
 
 
@@ -126,12 +140,6 @@ def _stitched(v):
 
 @query("nearest_stitch", f"WITH {_STITCH}, n10 AS (SELECT p AS v1, q AS v0 FROM {_NN.format(p='b', q='a')} WHERE r = 1), n01 AS (SELECT p AS v0, q AS v1 FROM {_NN.format(p='a', q='b')} WHERE r = 1), via AS (SELECT n01.v0 AS vid, n10.v0 AS t FROM n01 JOIN n10 USING (v1) WHERE n01.v0 NOT IN (SELECT v0 FROM n10)) SELECT 0 AS mesh, a.vid, coalesce(t.y, a.y) AS y, coalesce(t.z, a.z) AS z FROM a LEFT JOIN via ON a.vid = via.vid LEFT JOIN a t ON via.t = t.vid UNION ALL SELECT 1, b.vid, t.y, t.z FROM b JOIN n10 ON b.vid = v1 JOIN a t ON v0 = t.vid")
 def nearest_stitch(spark, d):
-    return _stitched(A.vertices(spark, d).filter("vid < 15000"))
-
-
-# The whole seam, where all pairs are too slow for an SQL twin.
-@query("full_nearest_stitch")
-def full_nearest_stitch(spark, d):
     return _stitched(A.vertices(spark, d))
 
 
@@ -158,10 +166,32 @@ def grid_snap_simplify(spark, d):
     return simplify.snap_to_grid(_zv(spark, d), A.triangles(spark, d), 32)
 
 
-@query("qem_simplify")
+def _blocks(spark, d):
+    return A.triangles(spark, d).select(F.expr("i0 % 100 div 25").alias("cx"), F.expr("i0 div 2500").alias("cy"), "tid", "i0", "i1", "i2")
+
+
+_QB = "qt AS (SELECT i0 % 100 // 25 AS cx, i0 // 2500 AS cy, * FROM tri), qh AS (SELECT cx, cy, i0 AS src, i1 AS dst FROM qt UNION ALL SELECT cx, cy, i1, i2 FROM qt UNION ALL SELECT cx, cy, i2, i0 FROM qt), qb AS (SELECT * FROM qh a WHERE NOT EXISTS (SELECT 1 FROM qh b WHERE b.cx = a.cx AND b.cy = a.cy AND b.src = a.dst AND b.dst = a.src))"
+
+
+@query("qem_simplify", f"WITH {A.VTX}, {A.TRI}, {_QB} SELECT cx, cy, src, dst FROM qb")
 def qem_simplify(spark, d):
-    t = A.triangles(spark, d).select(F.expr("i0 % 100 div 25").alias("cx"), F.expr("i0 div 2500").alias("cy"), "tid", "i0", "i1", "i2")
-    return simplify.collapse_blocks(_zv(spark, d), t, ["cx", "cy"])
+    """The border half-edges of each simplified block: collapses leave the border as it was."""
+    t = simplify.collapse_blocks(_zv(spark, d), _blocks(spark, d), ["cx", "cy"])
+    h = t.select("cx", "cy", F.explode(F.array(*[F.struct(F.col(a).alias("src"), F.col(b).alias("dst")) for a, b in (("i0", "i1"), ("i1", "i2"), ("i2", "i0"))])).alias("h")).select("cx", "cy", "h.src", "h.dst")
+    return h.join(h.select("cx", "cy", F.col("dst").alias("src"), F.col("src").alias("dst")), ["cx", "cy", "src", "dst"], "left_anti")
+
+
+@query("qem_remap", f"WITH {A.VTX}, {A.TRI}, {_QB}, u AS (SELECT DISTINCT cx, cy, src AS vid FROM qh), f AS (SELECT DISTINCT cx, cy, src AS vid FROM qb UNION SELECT cx, cy, dst FROM qb) SELECT u.cx, u.cy, count(*) AS vertices, count(f.vid) AS border, count(f.vid) AS fixed_border, 0 AS astray FROM u LEFT JOIN f ON f.cx = u.cx AND f.cy = u.cy AND f.vid = u.vid GROUP BY 1, 2")
+def qem_remap(spark, d):
+    """Of each block: vertices in the remap, border ones, those of them that stay and remaps to a vertex that does not stay itself."""
+    t = _blocks(spark, d)
+    r = simplify.collapse_blocks(_zv(spark, d), t, ["cx", "cy"], with_remap=True)
+    h = t.select("cx", "cy", F.explode(F.array(*[F.struct(F.col(a).alias("src"), F.col(b).alias("dst")) for a, b in (("i0", "i1"), ("i1", "i2"), ("i2", "i0"))])).alias("h")).select("cx", "cy", "h.src", "h.dst")
+    edge = h.join(h.select("cx", "cy", F.col("dst").alias("src"), F.col("src").alias("dst")), ["cx", "cy", "src", "dst"], "left_anti")
+    border = edge.select("cx", "cy", F.explode(F.array("src", "dst")).alias("vid")).distinct().withColumn("edge", F.lit(True))
+    own = r.select("cx", "cy", "vid", "remap").join(border, ["cx", "cy", "vid"], "left")
+    astray = r.filter("remap <> vid").select("cx", "cy", F.col("remap").alias("vid")).distinct().join(r.filter("remap = vid").select("cx", "cy", "vid"), ["cx", "cy", "vid"], "left_anti").groupBy("cx", "cy").agg(F.count("*").alias("lost"))
+    return own.groupBy("cx", "cy").agg(F.count("*").alias("vertices"), F.count("edge").alias("border"), F.sum(F.when(F.col("edge") & (F.col("remap") == F.col("vid")), 1).otherwise(0)).alias("fixed_border")).join(astray, ["cx", "cy"], "left").select("cx", "cy", "vertices", "border", "fixed_border", F.coalesce("lost", F.lit(0)).cast("int").alias("astray"))
 
 
 _UQ = "w AS (SELECT pid, (x + 10000) / CAST(120000 AS DOUBLE) AS x, (y + 10000) / CAST(120000 AS DOUBLE) AS y, z / CAST(50000 AS DOUBLE) AS z FROM pts)"

@@ -51,16 +51,49 @@ def encoded_sizes(spark, d):
     return order.encoded(_meshes(spark, d)).agg(F.sum("triangles").alias("triangles"), (F.sum(F.length("data")) / F.sum("triangles")).alias("bytes_per_triangle"))
 
 
-@query("cache_analysis")
+def _fifo(name: str, source: str, most: int) -> str:
+    """SQL: `name` (mesh_id, k, q, miss) walks `source` (mesh_id, k, v) through a queue of the `most` newest numbers."""
+    return f"{name}(mesh_id, k, q, miss) AS (SELECT mesh_id, k, [v], 1 FROM {source} WHERE k = 1 UNION ALL SELECT r.mesh_id, s.k, CASE WHEN list_contains(r.q, s.v) THEN r.q ELSE list_append(r.q, s.v)[-{most}:] END, r.miss + CASE WHEN list_contains(r.q, s.v) THEN 0 ELSE 1 END FROM {name} r JOIN {source} s ON s.mesh_id = r.mesh_id AND s.k = r.k + 1)"
+
+
+_WALK = f"WITH RECURSIVE {A.TRI}, mt AS (SELECT i0 // 500 AS mesh_id, * FROM tri), c AS (SELECT mesh_id, 3 * tid AS p, i0 AS v FROM mt UNION ALL SELECT mesh_id, 3 * tid + 1, i1 FROM mt UNION ALL SELECT mesh_id, 3 * tid + 2, i2 FROM mt), s AS MATERIALIZED (SELECT mesh_id, v, row_number() OVER (PARTITION BY mesh_id ORDER BY p) AS k FROM c), l AS (SELECT mesh_id, p, unnest(range(v * 12 // 64, (v * 12 + 11) // 64 + 1)) AS v FROM c), t AS MATERIALIZED (SELECT mesh_id, v, row_number() OVER (PARTITION BY mesh_id ORDER BY p, v) AS k FROM l)"
+
+
+@query("cache_analysis", f"{_WALK}, {_fifo('fv', 's', 16)}, {_fifo('fl', 't', 128)}, a AS (SELECT mesh_id, max(miss) AS miss FROM fv GROUP BY 1), b AS (SELECT mesh_id, max(miss) AS lines FROM fl GROUP BY 1), n AS (SELECT mesh_id, count(*) // 3 AS triangles, count(DISTINCT v) AS vertices FROM c GROUP BY 1) SELECT mesh_id, miss / triangles AS acmr, miss / vertices AS atvr, 64 * lines / (12 * vertices) AS overfetch FROM a JOIN b USING (mesh_id) JOIN n USING (mesh_id)")
 def cache_analysis(spark, d):
     return order.analyzed(_meshes(spark, d))
 
 
-@query("meshlets")
+@query("meshlets", f"WITH RECURSIVE {A.TRI}, mt AS (SELECT i0 // 500 AS mesh_id, * FROM tri), o AS MATERIALIZED (SELECT mesh_id, i0, [i0, i1, i2] AS t, row_number() OVER (PARTITION BY mesh_id ORDER BY tid) AS k FROM mt), r(mesh_id, k, meshlet, used, n, i0) AS (SELECT mesh_id, k, 0, t, 1, i0 FROM o WHERE k = 1 UNION ALL SELECT mesh_id, k, CASE WHEN len(more) > 64 OR n >= 124 THEN meshlet + 1 ELSE meshlet END, CASE WHEN len(more) > 64 OR n >= 124 THEN t ELSE more END, CASE WHEN len(more) > 64 OR n >= 124 THEN 1 ELSE n + 1 END, i0 FROM (SELECT o.mesh_id, o.k, r.meshlet, r.n, o.t, o.i0, list_distinct(list_concat(r.used, o.t)) AS more FROM r JOIN o ON o.mesh_id = r.mesh_id AND o.k = r.k + 1)) SELECT mesh_id, CAST(meshlet AS BIGINT) AS meshlet, i0 FROM r")
 def meshlets(spark, d):
     return order.per_mesh(_meshes(spark, d), lambda t: pd.DataFrame({"meshlet": order.meshlets(t), "i0": t[:, 0]}), "meshlet long, i0 long")
 
 
+_CB = f"WITH {A.VTX}, {A.TRI}, zv AS (SELECT vid, x, y, round(z / 4096) AS z FROM vtx), mt AS (SELECT i0 // 500 AS mesh_id, * FROM tri), u AS (SELECT DISTINCT mesh_id, unnest([i0, i1, i2]) AS vid FROM mt), b AS (SELECT mesh_id, (min(x) + max(x)) / 2 AS cx, (min(y) + max(y)) / 2 AS cy, (min(z) + max(z)) / 2 AS cz FROM u JOIN zv USING (vid) GROUP BY 1), rd AS (SELECT mesh_id, sqrt(max((x - cx) ** 2 + (y - cy) ** 2 + (z - cz) ** 2)) AS radius FROM u JOIN zv USING (vid) JOIN b USING (mesh_id) GROUP BY 1), e AS (SELECT mesh_id, b.x - a.x AS ax, b.y - a.y AS ay, b.z - a.z AS az, c.x - a.x AS bx, c.y - a.y AS by_, c.z - a.z AS bz FROM mt JOIN zv a ON i0 = a.vid JOIN zv b ON i1 = b.vid JOIN zv c ON i2 = c.vid), n AS (SELECT mesh_id, ay * bz - az * by_ AS x, az * bx - ax * bz AS y, ax * by_ - ay * bx AS z FROM e), un AS (SELECT mesh_id, x / sqrt(x * x + y * y + z * z) AS x, y / sqrt(x * x + y * y + z * z) AS y, z / sqrt(x * x + y * y + z * z) AS z FROM n), s AS (SELECT mesh_id, sum(x) AS x, sum(y) AS y, sum(z) AS z FROM un GROUP BY 1), ax AS (SELECT mesh_id, x / sqrt(x * x + y * y + z * z) AS ax, y / sqrt(x * x + y * y + z * z) AS ay, z / sqrt(x * x + y * y + z * z) AS az FROM s), co AS (SELECT mesh_id, min(x * ax + y * ay + z * az) AS cosine FROM un JOIN ax USING (mesh_id) GROUP BY 1)"
+
+
+@query("cluster_bounds", f"{_CB} SELECT mesh_id, cx, cy, cz, round(radius, 6) AS radius, round(ax, 6) AS ax, round(ay, 6) AS ay, round(az, 6) AS az, round(cosine, 6) AS cosine FROM b JOIN rd USING (mesh_id) JOIN ax USING (mesh_id) JOIN co USING (mesh_id)")
+def cluster_bounds(spark, d):
+    v = A.vertices(spark, d).select("vid", "x", "y", F.round(F.col("z") / 4096).alias("z"))
+    names = ["cx", "cy", "cz", "radius", "ax", "ay", "az", "cosine"]
+    out = order.with_positions(_meshes(spark, d), v, lambda pos, tri: pd.DataFrame([order.cluster_bounds(pos, tri)]), ", ".join(f"{n} double" for n in names))
+    return out.select("mesh_id", *names[:3], *[F.round(n, 6).alias(n) for n in names[3:]])
+
+
+@query("overdraw_clusters")
+def overdraw_clusters(spark, d):
+    """Clusters of each mesh in drawing order, with the pixels shaded over those covered before and after."""
+    v = A.vertices(spark, d).select("vid", "x", "y", F.round(F.col("z") / 4096).alias("z"))
+
+    def f(pos: np.ndarray, tri: np.ndarray) -> pd.DataFrame:
+        cluster = order.meshlets(tri)
+        o = order.overdraw_order(pos, tri, cluster)
+        first = pd.unique(cluster[o])
+        return pd.DataFrame({"place": np.arange(len(first)), "cluster": first, "before": order.overdraw(pos, tri), "after": order.overdraw(pos, tri[o])})
+
+    return order.with_positions(_meshes(spark, d), v, f, "place long, cluster long, before double, after double")
+
+
 _HF = f"{A.PTS}, hv AS (SELECT CAST(floor(x / 2000.0::DOUBLE) AS BIGINT) AS gx, CAST(floor(y / 2000.0::DOUBLE) AS BIGINT) AS gy, avg(z) AS z, count(*) AS n FROM pts GROUP BY 1, 2)"
 
 

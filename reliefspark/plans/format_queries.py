@@ -28,6 +28,39 @@ def las_formats(spark, d):
     return out
 
 
+@query("laz_roundtrip", f"WITH {A.PTS}, fp AS (SELECT *, 6 AS f FROM pts) SELECT x, y, z, classification, {_ANGLE} AS scan_angle, (((pid % 4) << 14) | source_id) & 65535 AS source_id, gps_time, CAST(z % 1000 AS INTEGER) AS intensity, CAST(1 + pid % 3 AS INTEGER) AS return_number FROM fp")
+def laz_roundtrip(spark, d):
+    """Compressed files, read a chunk at a time."""
+    p = A.pts(spark, d).selectExpr("*", "cast(z % 1000 as int) intensity", "cast(1 + pid % 3 as int) return_number", "cast(3 as int) number_of_returns", "cast(pid % 4 as int) channel")
+    made = [r["uri"] for r in las.write(p.repartition(4, "pid"), _folder(spark, "laz"), compressed=True).collect()]
+    return las.read(spark, made).select("x", "y", "z", "classification", F.col("scan_angle").cast("int").alias("scan_angle"), "source_id", "gps_time", "intensity", F.col("return_number").cast("int").alias("return_number"))
+
+
+_INSIDE = (20000.0, 5000.0, 0.0, 40000.0, 30000.0, 20000.0)
+
+
+@query("copc_load_inside", f"WITH {A.PTS}, lp AS (SELECT *, CAST(pid % 5 AS INTEGER) AS level FROM pts), b AS (SELECT *, 131072 / power(2, level) AS w, floor((x + 10000) * power(2, level) / 131072) AS cx, floor((y + 10000) * power(2, level) / 131072) AS cy, floor(z * power(2, level) / 131072) AS cz FROM lp) SELECT x, y, z, gps_time, classification FROM b WHERE cx * w - 10000 <= 40000 AND (cx + 1) * w - 10000 >= 20000 AND cy * w - 10000 <= 30000 AND (cy + 1) * w - 10000 >= 5000 AND cz * w <= 20000 AND (cz + 1) * w >= 0")
+def copc_load_inside(spark, d):
+    """The points of all cells that meet a box, from COPC files that hold each point at one level."""
+    at = _folder(spark, "copc")
+    p = A.pts(spark, d).withColumn("level", F.expr("cast(pid % 5 as int)"))
+    f = F.pow(F.lit(2.0), F.col("level")) / 131072
+    p = p.withColumns({"cx": F.floor((F.col("x") + 10000) * f), "cy": F.floor((F.col("y") + 10000) * f), "cz": F.floor(F.col("z") * f), "file": F.col("pid") % 3})
+
+    def put(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        cells, chunks = [], []
+        for cell, own in rows.groupby(["level", "cx", "cy", "cz"], sort=True):
+            cells.append((*map(int, cell), len(own)))
+            chunks.append({c: own[c].to_numpy() for c in ("x", "y", "z", "classification", "scan_angle", "source_id", "gps_time")})
+        uri = f"{at}/{key[0]}-{TaskContext.get().taskAttemptId()}.copc.laz"
+        files.write(uri, las.encode_copc((55536.0, 55536.0, 65536.0), 65536.0, cells, len(rows), chunks=chunks))
+        return pd.DataFrame({"uri": [uri]})
+
+    uris = [r["uri"] for r in p.groupBy("file").applyInPandas(put, "uri string").collect()]
+    cells = las.cells_inside(las.copc_table(spark, uris), (55536.0, 55536.0, 65536.0), 65536.0, _INSIDE)
+    return las.read_cells(cells).select("x", "y", "z", "gps_time", "classification")
+
+
 @query("las_vlrs", f"WITH {A.TILES}, r AS (SELECT tile_x, tile_y, min(area) AS area FROM tiles GROUP BY ALL) SELECT CAST(tile_x * 10 + tile_y AS BIGINT) AS record_id, 'area' AS user_id, false AS extended, CAST(strlen(area) AS BIGINT) AS length, area AS text FROM r UNION ALL SELECT CAST(tile_x * 10 + tile_y AS BIGINT), 'tile', false, CAST(strlen(concat(tile_x, '_', tile_y)) AS BIGINT), concat(tile_x, '_', tile_y) FROM r UNION ALL SELECT CAST(tile_x * 10 + tile_y AS BIGINT), 'long', true, CAST(1000 * strlen(area) AS BIGINT), area FROM r")
 def las_vlrs(spark, d):
     at = _folder(spark, "vlr")
@@ -72,7 +105,7 @@ def copc_hierarchy(spark, d):
 
 @query("copc_bound_inside", f"WITH {_COPC}, b AS (SELECT *, 131072 / power(2, level) AS w FROM cc) SELECT CAST(sum(point_count) AS BIGINT) AS points FROM b WHERE x * w - 10000 <= 40000 AND (x + 1) * w - 10000 >= 20000 AND y * w - 10000 <= 30000 AND (y + 1) * w - 10000 >= 5000 AND z * w <= 20000 AND (z + 1) * w >= 0")
 def copc_bound_inside(spark, d):
-    return las.bound_inside(las.copc_table(spark, _copc(spark, d)), (55536.0, 55536.0, 65536.0), 65536.0, (20000.0, 5000.0, 0.0, 40000.0, 30000.0, 20000.0))
+    return las.bound_inside(las.copc_table(spark, _copc(spark, d)), (55536.0, 55536.0, 65536.0), 65536.0, _INSIDE)
 
 
 @query("las_detection", f"WITH {A.PTS} SELECT true AS copc, true AS compressed, '1.4' AS version, CAST(6 AS BIGINT) AS format, CAST(5 * count(*) AS BIGINT) AS points FROM pts UNION ALL SELECT false, false, '1.2', 1, count(*) FROM pts UNION ALL SELECT false, false, '1.4', 7, count(*) FROM pts")

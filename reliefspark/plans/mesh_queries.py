@@ -70,49 +70,26 @@ def boundary_vertices_both(spark, d):
     return mesh.boundary_vertices(_t(spark, d), both_ends=True)
 
 
-# Components on a fixed number of label rounds would be wrong; the recursion walks reachable pairs of a strip.
-_STRIP = "strip AS (SELECT * FROM tri WHERE i0 < 1000)"
-_CC = f"""WITH RECURSIVE {A.VTX}, {A.TRI}, {_STRIP},
- e AS (SELECT tid, least(i0, i1) AS a, greatest(i0, i1) AS b FROM strip UNION ALL SELECT tid, least(i1, i2), greatest(i1, i2) FROM strip UNION ALL SELECT tid, least(i2, i0), greatest(i2, i0) FROM strip),
- n AS (SELECT p.tid AS a, q.tid AS b FROM e p JOIN e q ON p.a = q.a AND p.b = q.b AND p.tid <> q.tid),
- reach(tid, root) AS (SELECT tid, tid FROM strip UNION SELECT n.b, reach.root FROM reach JOIN n ON n.a = reach.tid WHERE reach.root < n.b),
- low AS (SELECT tid, min(root) AS root FROM reach GROUP BY 1),
- parts AS (SELECT tid, dense_rank() OVER (ORDER BY root) - 1 AS component FROM low)"""
+# The recursion keeps one row a triangle, its lowest root so far, and goes on with those that fell.
+_CC = f"""WITH RECURSIVE {A.VTX}, {A.TRI},
+ e AS (SELECT tid, least(i0, i1) AS a, greatest(i0, i1) AS b FROM tri UNION ALL SELECT tid, least(i1, i2), greatest(i1, i2) FROM tri UNION ALL SELECT tid, least(i2, i0), greatest(i2, i0) FROM tri),
+ n AS MATERIALIZED (SELECT p.tid AS a, q.tid AS b FROM e p JOIN e q ON p.a = q.a AND p.b = q.b AND p.tid <> q.tid),
+ reach(tid, root) USING KEY (tid) AS (SELECT tid, tid FROM tri UNION SELECT n.b, min(reach.root) FROM reach JOIN n ON n.a = reach.tid JOIN recurring.reach k ON k.tid = n.b WHERE reach.root < k.root GROUP BY n.b),
+ parts AS (SELECT tid, dense_rank() OVER (ORDER BY root) - 1 AS component FROM reach)"""
 
 
-def _strip(spark, d):
-    return _t(spark, d).filter("i0 < 1000")
-
-
-@query("connected_components", f"{_CC} SELECT tid, component FROM parts")
-def connected_components(spark, d):
-    return mesh.components(_strip(spark, d))
-
-
-@query("component_sizes", f"{_CC} SELECT component, count(*) AS size FROM parts GROUP BY 1")
-def component_sizes(spark, d):
-    return mesh.component_sizes(mesh.components(_strip(spark, d)))
-
-
-@query("principal_component", f"{_CC}, s AS (SELECT component FROM parts GROUP BY 1 ORDER BY count(*) DESC, component LIMIT 1) SELECT strip.* FROM strip JOIN parts USING (tid) JOIN s USING (component)")
-def principal_component(spark, d):
-    t = _strip(spark, d)
-    return mesh.principal_component(t, mesh.components(t))
-
-
-@query("full_mesh_components")
+@query("full_mesh_components", f"{_CC} SELECT tid, component FROM parts")
 def full_mesh_components(spark, d):
     return mesh.components(_t(spark, d))
 
 
-# The whole mesh, where the recursion is too slow for SQL twins.
-@query("full_component_sizes")
-def full_component_sizes(spark, d):
+@query("component_sizes", f"{_CC} SELECT component, count(*) AS size FROM parts GROUP BY 1")
+def component_sizes(spark, d):
     return mesh.component_sizes(mesh.components(_t(spark, d)))
 
 
-@query("full_principal_component")
-def full_principal_component(spark, d):
+@query("principal_component", f"{_CC}, s AS (SELECT component FROM parts GROUP BY 1 ORDER BY count(*) DESC, component LIMIT 1) SELECT tri.* FROM tri JOIN parts USING (tid) JOIN s USING (component)")
+def principal_component(spark, d):
     t = _t(spark, d)
     return mesh.principal_component(t, mesh.components(t))
 
@@ -264,11 +241,6 @@ def _levels(spark, d):
     return out
 
 
-@query("lod_counts", f"WITH {_LEVELS} SELECT lod, count(*) AS cells FROM lv GROUP BY 1")
-def lod_counts(spark, d):
-    return _levels(spark, d).groupBy("lod").agg(F.count("*").alias("cells"))
-
-
 _W = "(power(CAST(2 AS DOUBLE), lod) * 2500)"
 _RATIO = f"greatest(0, cx - 20000 / {_W}, 20000 / {_W} - cx - 1, cy - 30000 / {_W}, 30000 / {_W} - cy - 1, cz - 5000 / {_W}, 5000 / {_W} - cz - 1)"
 

@@ -44,14 +44,15 @@ def build_pyramid(vertices: DataFrame, triangles: DataFrame, base: tuple[float,
     triangle goes to the parent that holds its barycentre. One written table a level.
     """
     cells = grid.partition(vertices, triangles, base, step)
-    now = cut(triangles.join(cells, "tid").select(F.lit(0).alias("lod"), "cx", "cy", "cz", "i0", "i1", "i2"))
-    out = now
+    now = cut(triangles.join(cells, "tid").select(F.lit(0).alias("lod"), "cx", "cy", "cz", "tid", "i0", "i1", "i2"))
+    out = now.drop("tid")
     for lod in range(1, levels + 1):
-        parents = now.select(*grid.parent("cx", "cy", "cz"), "i0", "i1", "i2").withColumnsRenamed({"pcx": "cx", "pcy": "cy", "pcz": "cz"})
-        blocks = parents.select(*grid.block_base("cx", "cy", "cz"), F.xxhash64("i0", "i1", "i2").alias("tid"), "i0", "i1", "i2")
+        parents = now.select(*grid.parent("cx", "cy", "cz"), "tid", "i0", "i1", "i2").withColumnsRenamed({"pcx": "cx", "pcy": "cy", "pcz": "cz"})
+        blocks = parents.select(*grid.block_base("cx", "cy", "cz"), "tid", "i0", "i1", "i2")
         small = simplify.collapse_blocks(vertices, blocks, ["bcx", "bcy", "bcz"], ratio).select("i0", "i1", "i2")
-        small = cut(small.withColumn("tid", F.xxhash64("i0", "i1", "i2")))
+        # Ids of their own, fixed by the written table: blocks may hold equal triangles.
+        small = cut(small.withColumn("tid", F.monotonically_increasing_id()))
         cells = grid.partition(vertices, small, base, step * 2**lod)
-        now = cut(small.join(cells, "tid").select(F.lit(lod).alias("lod"), "cx", "cy", "cz", "i0", "i1", "i2"))
-        out = out.unionByName(now)
+        now = cut(small.join(cells, "tid").select(F.lit(lod).alias("lod"), "cx", "cy", "cz", "tid", "i0", "i1", "i2"))
+        out = out.unionByName(now.drop("tid"))
     return out

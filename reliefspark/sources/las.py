@@ -1,4 +1,4 @@
-"""LAS point files: a splittable data source (`las`), a writer, headers and COPC cell tables.
+"""LAS and LAZ point files: a splittable data source (`las`), readers, writers, headers and COPC cells.
 
 Records have a fixed width, so a file is read as ranges of records, each a partition of its
 own.  Options: `path` (file or folder); `minx`, `maxx`, `miny`, `maxy` (world units) skip
@@ -10,6 +10,7 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..lineage import cut
-from . import files
+from . import files, laz
 
 #: Files whose metadata one task reads, about; tasks, at most.
 FILES_PER_TASK, MOST_TASKS = 64, 20_000
@@ -125,28 +126,80 @@ class LasSource(DataSource):
 
 
 def read(spark: SparkSession, path: str | list[str], records: int = 1_000_000, minx: float | None = None, maxx: float | None = None, miny: float | None = None, maxy: float | None = None) -> DataFrame:
-    """The records of a file, of a folder's files or of the files listed; as the data source `las`, but the headers are read by the executors.
+    """The records of a file, of a folder's files or of the files listed; as the data source `las`, but the headers are read by the executors, and compressed files are read too, a chunk at a time.
 
     A list of files is read as given, so that what a failed task left in a folder is not read.
     """
-    uris = path if isinstance(path, list) else files.listing(path, (".las",))
-    h = headers(spark, uris)
-    for bound, column, above in ((minx, "max_x", True), (maxx, "min_x", False), (miny, "max_y", True), (maxy, "min_y", False)):
-        if bound is not None:
-            h = h.filter(F.col(column) >= bound if above else F.col(column) <= bound)
-    parts = F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0), F.floor((F.col("count") - 1) / records)))
-    ranges = cut(h.select("path", "at", "count", "format", "record", "compressed", F.explode(parts).alias("part")).filter("count > 0"))
+    uris = path if isinstance(path, list) else files.listing(path, (".las", ".laz"))
+    box = (minx, maxx, miny, maxy)
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for uri in b.column("path").to_pylist():
+                h = parse_header(files.read_at(uri, 0, 600))
+                if any(v is not None and (h.high[k // 2] < v if k % 2 == 0 else h.low[k // 2] > v) for k, v in enumerate(box)):
+                    continue
+                rows = [(uri, at, size, first, n, h.format, h.record, h.compressed) for at, size, first, n in _ranges(uri, h, records)]
+                for k in range(0, len(rows), 50_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[k : k + 50_000], strict=True)], _RANGE)
+
+    found = cut(_listed(spark, uris).mapInArrow(ranges, "path string, at long, size long, first long, count long, format long, record long, compressed boolean"))
+    return read_ranges(found)
+
+
+_RANGE = ["path", "at", "size", "first", "count", "format", "record", "compressed"]
+
+
+def _ranges(uri: str, h: Header, records: int) -> Iterator[tuple[int, int, int, int]]:
+    """(place, bytes, number of the first point, points) of ranges of records, or of a compressed file's chunks."""
+    if not h.compressed:
+        for k in range(0, h.count, records):
+            yield h.points_at + k * h.record, min(records, h.count - k) * h.record, k, min(records, h.count - k)
+        return
+    packed = next((v["data"] for v in _vlr_rows(uri) if (v["user_id"], v["record_id"]) == laz.LASZIP), None)
+    if packed is None or struct.unpack_from("<H", packed)[0] != 3:
+        raise ValueError(f"{uri} is not compressed in layered chunks")
+    table = struct.unpack("<q", files.read_at(uri, h.points_at, 8))[0]
+    n = struct.unpack("<I", files.read_at(uri, table + 4, 4))[0]
+    at, first = h.points_at + 8, 0
+    for points, size in laz.chunk_table(files.read_at(uri, table, 64 + 16 * n), h.count, struct.unpack_from("<I", packed, 12)[0]):
+        yield at, size, first, points
+        at, first = at + size, first + points
+
+
+def read_ranges(ranges: DataFrame) -> DataFrame:
+    """The records of ranges (path, at, size, first, count, format, record, compressed), one or a few ranges a task."""
     n = min(MOST_TASKS, max(1, ranges.count()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in b.to_pylist():
-                if r["compressed"]:
-                    raise ValueError(f"{r['path']} is compressed")
-                first = r["part"] * records
-                yield from _Reader({}).read(_Range(r["path"], r["at"] + first * r["record"], first, min(records, r["count"] - first), r["format"], r["record"]))
+                for k in range(0, r["count"], r["count"] if r["compressed"] else 100_000):
+                    m = min(100_000, r["count"] - k) if not r["compressed"] else r["count"]
+                    if r["compressed"]:
+                        c = decode(laz.read_chunk(files.read_at(r["path"], r["at"], r["size"]), r["format"], r["record"], m).tobytes(), 6, 30)
+                    else:
+                        c = decode(files.read_at(r["path"], r["at"] + k * r["record"], m * r["record"]), r["format"], r["record"])
+                    yield pa.RecordBatch.from_arrays([pa.array([r["path"]] * m), pa.array(np.arange(r["first"] + k, r["first"] + k + m)), *map(pa.array, c.values())], ["path", "rid", *c])
 
-    return ranges.repartition(n, "path", "part").mapInArrow(run, SCHEMA)
+    return ranges.repartition(n, "path", "first").mapInArrow(run, SCHEMA)
+
+
+def read_cells(cells: DataFrame) -> DataFrame:
+    """The points of COPC cells (path, offset, byte_size, point_count): each cell is one compressed chunk; empty cells give nothing."""
+
+    def about(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, Header] = {}
+        for b in batches:
+            rows = []
+            for uri, at, size, n in zip(*(b.column(c).to_pylist() for c in ("path", "offset", "byte_size", "point_count")), strict=True):
+                h = known.get(uri) or known.setdefault(uri, parse_header(files.read_at(uri, 0, 600)))
+                rows.append((uri, at, size, at, n, h.format, h.record, True))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], _RANGE)
+
+    wanted = cells.filter("point_count > 0").select("path", F.col("offset").cast("long").alias("offset"), F.col("byte_size").cast("long").alias("byte_size"), F.col("point_count").cast("long").alias("point_count"))
+    return read_ranges(cut(wanted.mapInArrow(about, "path string, at long, size long, first long, count long, format long, record long, compressed boolean"))).drop("rid")
 
 
 def headers(spark: SparkSession, uris: list[str]) -> DataFrame:
@@ -238,11 +291,34 @@ def encode(columns: dict[str, np.ndarray], scale: float = 0.01, fmt: int = 1, vl
     return bytes(head) + extra + a.tobytes() + b"".join(_vlr(*v, True) for v in evlrs)
 
 
-def encode_copc(centre: tuple[float, float, float], half: float, cells: list[tuple[int, int, int, int, int]], points: int, page: int = 64) -> bytes:
-    """A COPC file's header, info record and hierarchy (level, x, y, z, point count; counts positive), without the cells' compressed points.
+def _records(columns: dict[str, np.ndarray]) -> np.ndarray:
+    """Columns as records of format 6."""
+    plain = encode(columns, fmt=6)
+    return np.frombuffer(plain, laz._RECORD, offset=struct.unpack_from("<I", plain, 96)[0])
+
+
+def encode_laz(columns: dict[str, np.ndarray], scale: float = 0.01, chunk: int = 50_000) -> bytes:
+    """A compressed LAS 1.4 file of format 6 in chunks of `chunk` points."""
+    rows = _records(columns)
+    extra = _vlr(*laz.LASZIP, laz.compressor_record(chunk))
+    head = bytearray(encode({c: v[:0] for c, v in columns.items()}, scale, 6))
+    struct.pack_into("<HII", head, 94, 375, 375 + len(extra), 1)
+    head[104] |= 0x80
+    struct.pack_into("<12d", head, 131, scale, scale, scale, 0.0, 0.0, 0.0, *_box(columns, scale))
+    struct.pack_into("<Q", head, 247, len(rows))
+    parts = [laz.write_chunk(rows[k : k + chunk]) for k in range(0, len(rows), chunk)]
+    table = laz.write_table([(min(chunk, len(rows) - k * chunk), len(p)) for k, p in enumerate(parts)], False)
+    at = 375 + len(extra) + 8 + sum(map(len, parts))
+    return bytes(head) + extra + struct.pack("<q", at) + b"".join(parts) + table
+
+
+def encode_copc(centre: tuple[float, float, float], half: float, cells: list[tuple[int, int, int, int, int]], points: int, page: int = 64, chunks: list[dict[str, np.ndarray]] | None = None) -> bytes:
+    """A COPC file's header, info record and hierarchy (level, x, y, z, point count), and the cells' compressed points where given.
 
     Pages hold at most `page` entries; the first one points to the others.
     """
+    data = [laz.write_chunk(_records(c)) if len(c["x"]) else b"" for c in chunks] if chunks else [b""] * len(cells)
+    where = dict(zip(cells, zip(accumulate(map(len, data), initial=0), map(len, data)), strict=False))
     parts = [cells[k : k + page] for k in range(0, len(cells), page)] or [[]]
     body = 375 + 54 + 160
     rest, places = parts[1:], []
@@ -252,7 +328,7 @@ def encode_copc(centre: tuple[float, float, float], half: float, cells: list[tup
         at += 32 * len(p)
 
     def entry(c: tuple[int, int, int, int, int]) -> bytes:
-        return struct.pack("<4iQIi", *c[:4], 0, 0, c[4])
+        return struct.pack("<4iQIi", *c[:4], at + where[c][0], where[c][1], c[4])
 
     first = b"".join(map(entry, parts[0])) + b"".join(struct.pack("<4iQIi", *p[0][:4], where, size, -1) for p, (where, size) in zip(rest, places, strict=True))
     info = bytearray(160)
@@ -263,11 +339,11 @@ def encode_copc(centre: tuple[float, float, float], half: float, cells: list[tup
     struct.pack_into("<BH", head, 104, 6 | 0x80, 30)
     struct.pack_into("<12d", head, 131, 0.01, 0.01, 0.01, 0.0, 0.0, 0.0, *(v for c in centre for v in (c + half, c - half)))
     struct.pack_into("<Q", head, 247, points)
-    return bytes(head) + _vlr("copc", 1, bytes(info)) + first + b"".join(b"".join(map(entry, p)) for p in rest)
+    return bytes(head) + _vlr("copc", 1, bytes(info)) + first + b"".join(b"".join(map(entry, p)) for p in rest) + b"".join(data)
 
 
-def write(points: DataFrame, folder: str, fmt: int = 1, records: int = 5_000_000) -> DataFrame:
-    """Files of at most `records` points below `folder`, one or more a partition; returns (uri, count) of the committed tasks' files.
+def write(points: DataFrame, folder: str, fmt: int = 1, records: int = 5_000_000, compressed: bool = False) -> DataFrame:
+    """Files (compressed ones of format 6) of at most `records` points below `folder`, one or more a partition; returns (uri, count) of the committed tasks' files.
 
     Read back the files listed, not the folder: a task that failed or ran twice leaves files that nothing lists.
     """
@@ -279,8 +355,9 @@ def write(points: DataFrame, folder: str, fmt: int = 1, records: int = 5_000_000
 
         def put() -> Iterator[pa.RecordBatch]:
             t = pa.Table.from_batches(held)
-            uri = f"{folder}/{c.partitionId():06d}-{c.taskAttemptId()}-{made}.las"
-            files.write(uri, encode({k: t[k].to_numpy() for k in cols}, fmt=fmt))
+            uri = f"{folder}/{c.partitionId():06d}-{c.taskAttemptId()}-{made}.{'laz' if compressed else 'las'}"
+            columns = {k: t[k].to_numpy() for k in cols}
+            files.write(uri, encode_laz(columns) if compressed else encode(columns, fmt=fmt))
             yield pa.RecordBatch.from_pylist([{"uri": uri, "count": t.num_rows}])
 
         for b in batches:

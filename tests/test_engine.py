@@ -104,10 +104,10 @@ def test_whole_mesh_components(spark, wide):
     size = [0] * len(number)
     for r in root.values():
         size[number[r]] += 1
-    assert {r["component"]: r["size"] for r in QUERIES["full_component_sizes"](spark, at).collect()} == dict(enumerate(size))
+    assert {r["component"]: r["size"] for r in QUERIES["component_sizes"](spark, at).collect()} == dict(enumerate(size))
     best = size.index(max(size))
     want = {(t, *tri[t]) for t, r in root.items() if number[r] == best}
-    assert {(r["tid"], r["i0"], r["i1"], r["i2"]) for r in QUERIES["full_principal_component"](spark, at).collect()} == want
+    assert {(r["tid"], r["i0"], r["i1"], r["i2"]) for r in QUERIES["principal_component"](spark, at).collect()} == want
 
 
 def test_whole_stitch(spark, wide):
@@ -123,7 +123,7 @@ def test_whole_stitch(spark, wide):
     to0 = {q[0]: nearest(q, a) for q in b}
     hit = {p[0] for p in to0.values()}
     want = {(1, k): p[1:] for k, p in to0.items()} | {(0, p[0]): (p if p[0] in hit else to0[nearest(p, b)[0]])[1:] for p in a}
-    got = {(r["mesh"], r["vid"]): (r["y"], r["z"]) for r in QUERIES["full_nearest_stitch"](spark, at).collect()}
+    got = {(r["mesh"], r["vid"]): (r["y"], r["z"]) for r in QUERIES["nearest_stitch"](spark, at).collect()}
     assert got == want and max(vid for _, vid in got) > 15000
 
 
@@ -303,3 +303,145 @@ def test_catalogue_and_transform_text(spark, tmp_path):
     assert [tuple(r) for r in left.collect()] == [(651, 6536)]
     t = spark.createDataFrame([(0.123456789, 0.0, -12345.678)], "scale double, shift_xy double, shift_z double")
     assert tuple(catalogue.rounded(t).first()) == (0.123457, 0.0, -12345.7)
+
+
+def point_records(rng, n, kind):
+    """Points of every field's whole range (2), of four channels with jumping times (1), or of one steady scanner (0)."""
+    from reliefspark.sources import laz
+
+    r = np.zeros(n, laz._RECORD)
+    r["x"], r["y"], r["z"] = np.cumsum(rng.integers(-50, 50, n)), np.cumsum(rng.integers(-50, 50, n)), rng.integers(0, 5000, n)
+    r["intensity"], r["classification"], r["source"] = rng.integers(0, 3000, n), rng.integers(0, 20, n), 60000 + rng.integers(0, 5, n)
+    r["returns"] = rng.integers(1, 6, n) << 4 | rng.integers(1, 6, n)
+    r["flags"] = rng.integers(0, 2, n) * 5 | (rng.integers(0, 4, n) if kind else 0) << 4 | rng.integers(0, 4, n) << 6
+    r["angle"] = rng.integers(-5000, 5000, n) if kind else np.arange(n) // 100 - 50
+    r["time"] = 1e8 + (np.arange(n) // 3 * 1e-5 if kind == 0 else np.cumsum(rng.choice([0, 1e-5, 2e-5, 1e-3, 5, -1e-5, -1], n)))
+    if kind == 2:
+        r["time"] = rng.choice([1e8, -5.0, 3e3, 7e9], n) + rng.random(n) * rng.choice([0, 1e-6, 1e-3], n)
+        for c, bits in (("x", 32), ("y", 32), ("z", 32), ("angle", 16)):
+            r[c] = rng.integers(-(2 ** (bits - 1)), 2 ** (bits - 1), n)
+        for c in ("intensity", "source"):
+            r[c] = rng.integers(0, 65536, n)
+        r["returns"], r["classification"] = rng.integers(0, 256, n), rng.integers(0, 256, n)
+    return r
+
+
+@pytest.mark.parametrize("kind", [0, 1, 2])
+def test_compressed_chunks(kind):
+    from reliefspark.sources import laz
+
+    rng = np.random.default_rng(kind)
+    for n in (1, 2, 3, 50, 3000):
+        r = point_records(rng, n, kind)
+        packed = laz.write_chunk(r)
+        assert (laz.read_chunk(packed, 6, 30, n) == r).all()
+        # A layer of a format with colours and an extra byte is skipped.
+        if n > 1:
+            head, sizes, rest = packed[:30], struct.unpack_from("<10I", packed, 30), packed[70:]
+            wide = head + bytes(7) + struct.pack("<12I", *sizes, 5, 3) + rest + bytes(8)
+            assert (laz.read_chunk(wide, 7, 37, n) == r).all()
+    assert len(laz.write_chunk(point_records(rng, 3000, 0))) < 3000 * 30 / 3
+
+
+def test_chunk_tables():
+    from reliefspark.sources import laz
+
+    chunks = [(50000, 1234), (50000, 99999), (17, 2**31), (3, 20)]
+    assert laz.chunk_table(laz.write_table(chunks, True), 0, laz.VARYING) == chunks
+    fixed = [(50000, 1234), (50000, 99999), (3, 20)]
+    assert laz.chunk_table(laz.write_table(fixed, False), 100003, 50000) == fixed
+
+
+def test_return_contexts():
+    """The contexts of return counts: symmetric, the published first rows, six values."""
+    from reliefspark.sources import laz
+
+    table = [[laz._return_class(n, r) for r in range(16)] for n in range(16)]
+    assert table == [list(c) for c in zip(*table, strict=True)]
+    assert table[0][:9] == [0, 1, 2, 3, 4, 5, 3, 4, 4] and table[1][:4] == [1, 0, 1, 3] and table[2][:4] == [2, 1, 2, 4]
+    assert {v for row in table for v in row} == set(range(6)) and all(table[k][k] == 5 for k in range(3, 16))
+
+
+def test_plans_of_large_inputs(spark):
+    """No window over all rows, no sorting aggregation."""
+    from reliefspark.plans.registry import QUERIES
+
+    for name in ("dense_remap", "mesh_join_all", "full_mesh_components", "flight_lines", "vertex_normals", "recut_mesh", "voxel_simplify", "cell_stats"):
+        plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan, name
+        assert "Window" not in plan or "SinglePartition" not in plan, name
+
+
+def test_numbering_by_ranges(spark):
+    from reliefspark.lineage import numbered
+
+    df = spark.range(0, 5000, 1, 7).selectExpr("(id * 7919) % 100003 AS place")
+    got = sorted((r["place"], r["n"]) for r in numbered(df, "place", "n").collect())
+    assert [n for _, n in got] == list(range(5000)) and len({p for p, _ in got}) == 5000
+
+
+def test_components_across_tasks(spark):
+    """A long chain and a star, cut over all tasks."""
+    from reliefspark.operators.mesh import label_components
+
+    edges = [(k, k + 1) for k in range(999)] + [(2000, 2000 + k) for k in range(1, 300)] + [(5000, 5001)]
+    rng = np.random.default_rng(2)
+    rng.shuffle(edges)
+    df = spark.createDataFrame([(int(a), int(b)) for a, b in edges], "a long, b long").repartition(6)
+    got = {r["node"]: r["component"] for r in label_components(df).collect()}
+    assert got == {**{k: 0 for k in range(1000)}, **{2000 + k: 2000 for k in range(300)}, 5000: 5000, 5001: 5000}
+
+
+def test_overdraw_order_and_analysis(spark):
+    from reliefspark.operators import order
+    from reliefspark.plans.registry import QUERIES
+
+    # Two parallel squares facing up: seen from above the lower one drawn first shades every pixel twice.
+    pos = np.array([[x, y, z] for z in (0.0, 5.0) for y in (0.0, 9.0) for x in (0.0, 9.0)])
+    low, high = [[0, 1, 2], [1, 3, 2]], [[4, 5, 6], [5, 7, 6]]
+    first, last = order.overdraw(pos, np.array(high + low)), order.overdraw(pos, np.array(low + high))
+    assert first < last and abs(last - 2) < 0.1 and abs(first - 1) < 0.1
+    o = order.overdraw_order(pos, np.array(low + high), np.array([0, 0, 1, 1]))
+    assert o.tolist() == [2, 3, 0, 1]
+    rows = QUERIES["overdraw_clusters"](spark, DATA).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["mesh_id"], []).append((r["place"], r["cluster"]))
+        assert r["before"] >= 1 and r["after"] >= 1
+    assert all(sorted(c for _, c in v) == list(range(len(v))) for v in by.values())
+
+
+def test_propagation_and_pyramid(spark):
+    """All passes against plain loops; every level's triangles are real and fewer."""
+    from reliefspark.plans.cloud_queries import _nbrs, _st
+    from reliefspark.plans.registry import QUERIES
+
+    near = {}
+    for r in _nbrs(spark, DATA).collect():
+        near.setdefault(r["pid"], []).append(r["nbr"])
+    state = {r["pid"]: [np.array([r["nx"], r["ny"], r["nz"]]), r["qual"], r["orient"]] for r in _st(spark, DATA).collect()}
+    before = -1
+    for _ in range(99):
+        unset = sum(s[2] < 3 for s in state.values())
+        if unset in (0, before):
+            break
+        before, won = unset, {}
+        for p, (n, q, o) in state.items():
+            if o in (1, 2):
+                d = [(n @ state[k][0]) for k in near[p] if state[k][2] >= 3 and abs(n @ state[k][0]) > 0.85 + 0.15 * (1 - q * state[k][1])]
+                major = sum(np.sign(d))
+                if major and abs(major) >= len(d) // 2:
+                    won[p] = major
+        seen = {k for p in won for k in near[p]}
+        for p, s in state.items():
+            if p in won:
+                s[0], s[2] = (-s[0] if won[p] < 0 else s[0]), 4
+            elif s[2] < 2:
+                s[2] = 1 if p in seen else 0
+    got = {r["pid"]: (round(r["nx"], 9), r["orient"]) for r in QUERIES["orient_propagate"](spark, DATA).collect()}
+    assert got == {p: (round(float(n[0]), 9), o) for p, (n, _, o) in state.items()}
+    levels = {}
+    for r in QUERIES["lod_pyramid"](spark, DATA).collect():
+        assert len({r["i0"], r["i1"], r["i2"]}) == 3
+        levels[r["lod"]] = levels.get(r["lod"], 0) + 1
+    assert sorted(levels) == [0, 1, 2] and levels[0] > levels[1] > levels[2]
