@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,3 +57,33 @@ def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
     # One row a partition.
     before = F.broadcast(df.sparkSession.createDataFrame(offsets, "__part long, __before long"))
     return ranged.join(before, "__part").withColumn(name, F.col("__at") + F.col("__before")).drop("__part", "__at", "__before")
+
+
+class StageTimes:
+    """Wall-clock seconds of named stages; a stage that runs again adds up."""
+
+    def __init__(self) -> None:
+        self.seconds: dict[str, float] = {}
+
+    @contextmanager
+    def stage(self, name: str) -> Iterator[None]:
+        began = time.perf_counter()
+        try:
+            yield
+        finally:
+            self.seconds[name] = self.seconds.get(name, 0.0) + time.perf_counter() - began
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(stage, seconds, percent) in order of first use."""
+        total = sum(self.seconds.values()) or 1.0
+        return spark.createDataFrame([(n, s, 100 * s / total) for n, s in self.seconds.items()], "stage string, seconds double, percent double")
+
+
+def clean(spark: SparkSession, *folders: str) -> list[str]:
+    """Deletes the folders of intermediate stages that are there; returns those."""
+    gone = []
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True):
+            gone.append(folder)
+    return gone

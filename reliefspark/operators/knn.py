@@ -93,21 +93,23 @@ def cell_width(points: DataFrame, k: int) -> tuple[float, float]:
     return max((extent * max(sides[1], extent * 1e-3) * k / r["n"]) ** 0.5, extent * 1e-6), extent
 
 
-def knn(queries: DataFrame, points: DataFrame, k: int = 15, width: float | None = None) -> DataFrame:
+def knn(queries: DataFrame, points: DataFrame, k: int = 15, width: float | None = None, key: str | None = None) -> DataFrame:
     """(pid, nbr, d2, rank) of each query (pid, x, y, z) among points (pid, x, y, z), itself included if there.
 
+    key: a column of both, such as a tile, within which neighbours are sought; pids are unique over all keys.
     Fewer than k points give fewer rows. Each round is one equi-join on cells and one
     window with its group limit; only unsettled queries go on, from a written table.
     """
     auto, extent = cell_width(points, k)
     h = width or auto
-    p = points.select(F.col("pid").alias("nbr"), *[F.col(a).alias(f"n{a}") for a in AXES])
-    left = queries.select("pid", *AXES)
+    own = [key] if key else []
+    p = points.select(*own, F.col("pid").alias("nbr"), *[F.col(a).alias(f"n{a}") for a in AXES])
+    left = queries.select(*own, "pid", *AXES)
     out: DataFrame | None = None
     while True:
         final = h > extent
         q = _around(_cells(left, h, ""))
-        j = q.join(_cells(p, h, "n"), ["cx", "cy", "cz"]).withColumn("d2", distance("l2", [F.col(a) for a in AXES], [F.col(f"n{a}") for a in AXES]))
+        j = q.join(_cells(p, h, "n"), [*own, "cx", "cy", "cz"]).withColumn("d2", distance("l2", [F.col(a) for a in AXES], [F.col(f"n{a}") for a in AXES]))
         w = Window.partitionBy("pid").orderBy("d2", "nbr")
         top = j.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
         edge = F.least(*[F.least(F.col(a) - (F.floor(F.col(a) / F.lit(h)) - 1) * F.lit(h), (F.floor(F.col(a) / F.lit(h)) + 2) * F.lit(h) - F.col(a)) for a in AXES])

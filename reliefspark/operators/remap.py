@@ -15,6 +15,16 @@ def dedup(vertices: DataFrame, *attributes: str) -> DataFrame:
     return vertices.select("vid", F.min("vid").over(Window.partitionBy(*keys)).alias("remap"))
 
 
+def dedup_streams(*streams: DataFrame) -> DataFrame:
+    """(vid, remap) over several streams (vid, attributes...): the first vertex that is equal in all of them."""
+    whole, names = streams[0].select("vid"), []
+    for k, s in enumerate(streams):
+        own = [c for c in s.columns if c != "vid"]
+        whole = whole.join(s.select("vid", *[F.col(c).alias(f"s{k}_{c}") for c in own]), "vid")
+        names += [f"s{k}_{c}" for c in own]
+    return dedup(whole, *names)
+
+
 def corners(triangles: DataFrame) -> DataFrame:
     """(position, vid): the index buffer, three rows a triangle."""
     return triangles.selectExpr("stack(3, 3*tid, i0, 3*tid+1, i1, 3*tid+2, i2) AS (position, vid)")

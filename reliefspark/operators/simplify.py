@@ -190,3 +190,30 @@ def collapse_blocks(vertices: DataFrame, triangles: DataFrame, keys: list[str],
         return res
 
     return rows.groupBy(*keys).applyInPandas(run, schema)
+
+
+def clusterize(vertices: DataFrame, radius: float, probes: int = 10, key: str = "mesh_id") -> DataFrame:
+    """(key, vid, remap): by rising vid, a vertex that is in no cluster yet founds one and takes its `probes` nearest within the radius.
+
+    A later founder takes vertices over from an earlier one, which is why a mesh is walked in one task; its neighbours
+    come from the distributed search. Vertices: key, vid, x, y, z, vids unique over all meshes.
+    """
+    from . import knn
+
+    p = vertices.select(key, F.col("vid").alias("pid"), "x", "y", "z")
+    near = knn.knn(p, p, probes, key=key).filter(F.col("d2") <= radius * radius)
+    rows = near.join(p.select(key, "pid"), "pid").select(key, "pid", "nbr", "rank")
+    kind = dict(vertices.dtypes)[key]
+
+    def run(k: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["pid", "rank"], kind="stable")
+        ids, first = np.unique(pdf["pid"].to_numpy(), return_index=True)
+        nbr = pdf["nbr"].to_numpy()
+        to: dict[int, int] = {}
+        for i, group in zip(ids.tolist(), np.split(nbr, first[1:]), strict=True):
+            if i not in to:
+                to[i] = i
+                to.update(dict.fromkeys(group.tolist(), i))
+        return pd.DataFrame({key: k[0], "vid": ids, "remap": [to[i] for i in ids.tolist()]})
+
+    return rows.groupBy(key).applyInPandas(run, f"{key} {kind}, vid long, remap long")

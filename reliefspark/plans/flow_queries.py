@@ -112,6 +112,25 @@ def oriented_points(spark, d):
     return pipelines.oriented_points(A.pts(spark, d))
 
 
+def _region(spark, d):
+    """Points dealt out over 3 x 3 tiles, thinly, with ids of their own in each tile."""
+    p = A.pts(spark, d).withColumns({"tile_x": F.expr("cast(pid % 3 as int)"), "tile_y": F.expr("cast(pid div 3 % 3 as int)"), "pid": F.expr("pid div 9")})
+    return p.withColumns({"x": F.pmod("x", F.lit(100000)), "y": F.pmod("y", F.lit(100000)), "classification": F.lit(2)})
+
+
+_REGION = f"{A.PTS}, rp AS (SELECT CAST(pid % 3 AS INTEGER) AS tile_x, CAST(pid // 3 % 3 AS INTEGER) AS tile_y, pid // 9 AS pid, (x + 100000) % 100000 AS x, (y + 100000) % 100000 AS y, z FROM pts), st AS (SELECT a.i AS dx, b.i AS dy FROM (SELECT unnest([-1, 0, 1]) AS i) a, (SELECT unnest([-1, 0, 1]) AS i) b), hl AS (SELECT tile_x - dx AS tile_x, tile_y - dy AS tile_y, pid, x + 100000 * dx AS x, y + 100000 * dy AS y, dx = 0 AND dy = 0 AS own FROM rp, st)"
+
+
+@query("region_halo", f"WITH {_REGION} SELECT tile_x, tile_y, pid, x, y, own FROM hl WHERE (own OR (x > -10000 AND x < 110000 AND y > -10000 AND y < 110000)) AND tile_x BETWEEN 0 AND 2 AND tile_y BETWEEN 0 AND 2")
+def region_halo(spark, d):
+    return pipelines.with_halo(_region(spark, d)).select("tile_x", "tile_y", "pid", "x", "y", "own")
+
+
+@query("region_points")
+def region_points(spark, d):
+    return pipelines.region_points(_region(spark, d))
+
+
 @query("finished_mesh")
 def finished_mesh(spark, d):
     return pipelines.finished_mesh(A.pts(spark, d), 2000.0)[1]

@@ -301,3 +301,42 @@ def pass_all(spark, d):
     return points.pass_all(A.pts(spark, d)).select("pid", "x", "z")
 
 
+
+
+def _obj_files(spark, d):
+    """An OBJ file with groups and materials, and its material file, for each 2000 vertices."""
+    at = _folder(spark, "obj")
+
+    def put(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        m, out = int(key[0]), [f"mtllib {int(key[0])}.mtl"]
+        rows = rows.sort_values("tid")
+        low = int(rows["i0"].min())
+        out += [f"v {v % 100} {v // 100} 0" for v in range(low, int(rows[["i0", "i1", "i2"]].to_numpy().max()) + 1)]
+        last = None
+        for t, a, b, c in zip(rows["tid"], rows["i0"], rows["i1"], rows["i2"], strict=True):
+            if (a // 500, t % 2) != last:
+                last = a // 500, t % 2
+                out += [f"g row {a // 500}", f"usemtl m{t % 2}"]
+            out.append(f"f {a - low + 1} {b - low + 1} {c - low + 1}")
+        stem = f"{at}/{m}-{TaskContext.get().taskAttemptId()}"
+        files.write(f"{stem}.obj", "\n".join(out).encode())
+        files.write(f"{stem}.mtl", "".join(f"newmtl m{k}\n# a colour\nKd 0.{k + 1} 0.5 {m}\nNs {10 * m + k}\nTr 0.25\nmap_Kd -s 1 1 1 t{m}_{k}.png\n" for k in (0, 1)).encode())
+        return pd.DataFrame({"obj": [f"{stem}.obj"], "mtl": [f"{stem}.mtl"]})
+
+    made = A.triangles(spark, d).withColumn("mesh_id", F.expr("i0 div 2000")).groupBy("mesh_id").applyInPandas(put, "obj string, mtl string").collect()
+    return [r["obj"] for r in made], [r["mtl"] for r in made]
+
+
+_FILE = r"/(\d+)-\d+\.\w+$"
+
+
+@query("obj_groups", f"WITH {A.TRI} SELECT i0 // 2000 AS mesh_id, concat('row ', i0 // 500) AS \"group\", concat('m', tid % 2) AS material, count(*) AS triangles FROM tri GROUP BY ALL")
+def obj_groups(spark, d):
+    parts = meshes.read_obj_parts(spark, _obj_files(spark, d)[0])
+    return parts.groupBy(F.regexp_extract("path", _FILE, 1).cast("long").alias("mesh_id"), "group", "material").agg(F.count("*").alias("triangles"))
+
+
+@query("obj_materials", f"WITH {A.TRI}, m AS (SELECT DISTINCT i0 // 2000 AS m FROM tri), k AS (SELECT unnest([0, 1]) AS k) SELECT m AS mesh_id, concat('m', k) AS name, (k + 1) / 10.0::DOUBLE AS red, CAST(m AS DOUBLE) AS blue, CAST(10 * m + k AS DOUBLE) AS shine, 0.75::DOUBLE AS opaque, concat('t', m, '_', k, '.png') AS picture FROM m, k")
+def obj_materials(spark, d):
+    m = meshes.read_materials(spark, _obj_files(spark, d)[1])
+    return m.select(F.regexp_extract("path", _FILE, 1).cast("long").alias("mesh_id"), "name", F.col("colours")["Kd"][0].alias("red"), F.col("colours")["Kd"][2].alias("blue"), F.col("numbers")["Ns"].alias("shine"), F.col("numbers")["d"].alias("opaque"), F.col("textures")["map_Kd"].alias("picture"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import adapters as A
 from ..functions import hashing, vec
-from ..operators import grid, knn, order, points, remap
+from ..operators import grid, knn, order, points, remap, simplify
 from .cloud_queries import _PAIR, _pair
 from .file_queries import _folder
 from .mesh_queries import _SC, _sc
@@ -78,6 +78,19 @@ def copy_unique_vertices(spark, d):
     return to.join(copies.select(F.col("vid").alias("remap"), "x", "y", "z"), "remap").select("vid", "remap", "x", "y", "z")
 
 
+@query("dedup_streams", f"WITH {A.VTX}, s AS (SELECT vid, vid % 100 // 3 AS x, vid // 100 // 2 AS y, vid % 4 AS r, vid % 3 AS g FROM vtx) SELECT vid, min(vid) OVER (PARTITION BY x, y, r, g) AS remap FROM s")
+def dedup_streams(spark, d):
+    """Vertices equal in both of two streams, positions and colours."""
+    v = A.vertices(spark, d)
+    return remap.dedup_streams(v.selectExpr("vid", "vid % 100 div 3 AS x", "vid div 100 div 2 AS y"), v.selectExpr("vid", "vid % 4 AS r", "vid % 3 AS g"))
+
+
+@query("clusterize_radius", f"WITH RECURSIVE {A.VTX}, m AS (SELECT vid // 500 AS mesh_id, vid, x, y, round(z / 100000) AS z FROM vtx), n AS (SELECT a.mesh_id, a.vid, b.vid AS nbr, (a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2 AS d2 FROM m a JOIN m b ON a.mesh_id = b.mesh_id), k AS (SELECT mesh_id, vid, list(nbr) AS near FROM (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY vid ORDER BY d2, nbr) <= 10) WHERE d2 <= 1.5::DOUBLE * 1.5::DOUBLE GROUP BY 1, 2), o AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY mesh_id ORDER BY vid) AS i FROM k), r(mesh_id, i, vid, taken, near) AS (SELECT mesh_id, 0, -1, []::BIGINT[], []::BIGINT[] FROM o WHERE i = 1 UNION ALL SELECT o.mesh_id, o.i, CASE WHEN list_contains(r.taken, o.vid) THEN -1 ELSE o.vid END, CASE WHEN list_contains(r.taken, o.vid) THEN r.taken ELSE list_concat(r.taken, o.near) END, o.near FROM r JOIN o ON o.mesh_id = r.mesh_id AND o.i = r.i + 1), f AS (SELECT mesh_id, vid AS remap, unnest(list_append(near, vid)) AS vid FROM r WHERE vid >= 0) SELECT mesh_id, vid, max(remap) AS remap FROM f GROUP BY 1, 2")
+def clusterize_radius(spark, d):
+    v = A.vertices(spark, d).select(F.expr("vid div 500").alias("mesh_id"), "vid", "x", "y", F.round(F.col("z") / 100000).alias("z"))
+    return simplify.clusterize(v, 1.5)
+
+
 @query("vec2_ops", f"WITH {A.V}, {_PAIR} SELECT pid, ax * bx + ay * by_ AS dot, ax * by_ - ay * bx AS crossed, sqrt(ax * ax + ay * ay) AS norm, ax + bx AS add_x, ay - by_ AS sub_y, -ax AS neg_x, ay * 1.5 AS scale_y, ax / 4 AS div_x, ax = bx AND ay = by_ AS same FROM p")
 def vec2_ops(spark, d):
     p, a, b = _pair(spark, d)

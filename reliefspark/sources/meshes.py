@@ -157,6 +157,74 @@ def parse_obj(data: bytes) -> Mesh:
     return attrs, np.array(tri, np.int64).reshape(-1, 3)
 
 
+def obj_parts(data: bytes) -> list[tuple[str | None, str | None]]:
+    """(group, material) of each triangle of an OBJ file, in the order of parse_obj()."""
+    group = material = None
+    out = []
+    for line in data.decode("utf-8", "replace").splitlines():
+        w = line.split()
+        if w[:1] == ["g"]:
+            group = " ".join(w[1:]) or None
+        elif w[:1] == ["usemtl"]:
+            material = " ".join(w[1:]) or None
+        elif w[:1] == ["f"]:
+            out += [(group, material)] * max(0, len(w) - 3)
+    return out
+
+
+#: Statements of material files: colours, single numbers, textures.
+COLOURS, NUMBERS, TEXTURES = ("Ka", "Kd", "Ks", "Ke", "Tf"), ("Ns", "Ni", "d", "illum"), ("map_Ka", "map_Kd", "map_Ks", "map_Ke", "map_Ns", "map_d", "map_bump")
+
+
+def parse_materials(data: bytes) -> list[dict]:
+    """One dict a `newmtl`: its name, colours as three numbers, numbers and texture names; Tr counts as 1 - d."""
+    out: list[dict] = []
+    for line in data.decode("utf-8", "replace").splitlines():
+        w = line.split("#")[0].split()
+        if not w:
+            continue
+        if w[0] == "newmtl":
+            out.append({"name": " ".join(w[1:])})
+        elif out and w[0] in COLOURS:
+            rgb = [float(x) for x in w[1:4]]
+            out[-1][w[0]] = rgb * 3 if len(rgb) == 1 else rgb
+        elif out and w[0] in NUMBERS:
+            out[-1][w[0]] = float(w[1])
+        elif out and w[0] == "Tr":
+            out[-1]["d"] = 1 - float(w[1])
+        elif out and w[0] in TEXTURES:
+            out[-1][w[0]] = w[-1]
+    return out
+
+
+def read_obj_parts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, tid, group, material) of the triangles of OBJ files."""
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.obj").load(path).select("path", "content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for p, c in zip(b.column("path").to_pylist(), b.column("content").to_pylist(), strict=True):
+                parts = obj_parts(c)
+                yield pa.RecordBatch.from_arrays([pa.array([p] * len(parts), pa.string()), pa.array(np.arange(len(parts))), *(pa.array([x[k] for x in parts], pa.string()) for k in (0, 1))], ["path", "tid", "group", "material"])
+
+    return raw.mapInArrow(run, "path string, tid long, group string, material string")
+
+
+def read_materials(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, name, colours map of three numbers, numbers map, textures map) of the materials of .mtl files."""
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.mtl").load(path).select("path", "content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.schema([("path", pa.string()), ("name", pa.string()), ("colours", pa.map_(pa.string(), pa.list_(pa.float64()))), ("numbers", pa.map_(pa.string(), pa.float64())), ("textures", pa.map_(pa.string(), pa.string()))])
+        for b in batches:
+            for p, c in zip(b.column("path").to_pylist(), b.column("content").to_pylist(), strict=True):
+                rows = [{"path": p, "name": m["name"]} | {n: [(k, m[k]) for k in keys if k in m] for n, keys in (("colours", COLOURS), ("numbers", NUMBERS), ("textures", TEXTURES))} for m in parse_materials(c)]
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, kind)
+
+    return raw.mapInArrow(run, "path string, name string, colours map<string,array<double>>, numbers map<string,double>, textures map<string,string>")
+
+
 def format_obj(attrs: dict[str, np.ndarray], tri: np.ndarray) -> bytes:
     out = [f"v {x:f} {y:f} {z:f}" for x, y, z in zip(attrs["x"], attrs["y"], attrs["z"], strict=True)]
     normals = "nx" in attrs

@@ -445,3 +445,41 @@ def test_propagation_and_pyramid(spark):
         assert len({r["i0"], r["i1"], r["i2"]}) == 3
         levels[r["lod"]] = levels.get(r["lod"], 0) + 1
     assert sorted(levels) == [0, 1, 2] and levels[0] > levels[1] > levels[2]
+
+
+def test_region_is_its_tiles(spark):
+    """All tiles at once give what each tile with its halo gives alone."""
+    from pyspark.sql import functions as F
+
+    from reliefspark.plans import pipelines
+
+    rng = np.random.default_rng(5)
+    rows = []
+    for tx in (0, 1):
+        for k in range(500):
+            x, y = int(rng.integers(0, 100000)), int(rng.integers(0, 100000))
+            rows.append((tx, 0, k, x, y, int(3000 + 2000 * math.sin((tx * 100000 + x) / 30000) + rng.integers(0, 40)), 1 + k % 2, int(rng.integers(-20, 20)), float(k), 2))
+    raw = spark.createDataFrame(rows, "tile_x int, tile_y int, pid long, x long, y long, z long, source_id int, scan_angle int, gps_time double, classification int")
+    got = pipelines.region_points(raw).collect()
+    assert sum(r["own"] is None for r in got) == 4 and not any(r["own"] for r in got if r["pid"] is None)
+    halo = pipelines.with_halo(raw).cache()
+    for tx in (0, 1):
+        alone = halo.filter(F.col("tile_x") == tx).withColumn("id", F.col("pid") + F.when(F.col("own"), 0).otherwise(100000))
+        one = {r["pid"]: r for r in pipelines.oriented_points(alone.drop("pid").withColumnRenamed("id", "pid")).collect()}
+        want = {p: (round(r["qual"], 6), r["orient"]) for p, r in one.items() if r["orient"] >= 3}
+        mine = {r["pid"] + (0 if r["own"] else 100000): (round(r["qual"], 6), r["orient"]) for r in got if r["tile_x"] == tx and r["pid"] is not None}
+        assert mine == want and len(mine) > 400
+
+
+def test_stage_times_and_cleaning(spark, tmp_path):
+    from reliefspark import lineage
+
+    times = lineage.StageTimes()
+    for name in ("read", "fit", "read"):
+        with times.stage(name):
+            sum(range(1000))
+    rows = times.table(spark).collect()
+    assert [r["stage"] for r in rows] == ["read", "fit"] and abs(sum(r["percent"] for r in rows) - 100) < 1e-6
+    spark.range(3).write.parquet(f"file://{tmp_path}/stage")
+    assert lineage.clean(spark, f"file://{tmp_path}/stage", f"file://{tmp_path}/none") == [f"file://{tmp_path}/stage"]
+    assert not (tmp_path / "stage").exists()
