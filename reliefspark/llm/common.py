@@ -188,11 +188,38 @@ def join_rows(label: np.ndarray, i: int, others: np.ndarray) -> None:
         label[np.isin(label, found)] = found.min()
 
 
+#: Edges that one task joins by itself, at most (16 bytes each); rows of a small table's file, about.
+LOCAL_EDGES, FILE_ROWS = 1_000_000, 500_000
+
+
+def _joined_at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, component) of all ends of a task's edges (a, b): hooking to smaller labels and halving of paths."""
+    parts = [(b.column("a").to_numpy(), b.column("b").to_numpy()) for b in batches]
+    if not parts:
+        return
+    p, q = (np.concatenate([x[k] for x in parts]) for k in (0, 1))
+    nodes, ends = np.unique(np.concatenate([p, q]), return_inverse=True)
+    p, q = ends[: len(p)], ends[len(p) :]
+    label = np.arange(len(nodes))
+    while True:
+        low, high = np.minimum(label[p], label[q]), np.maximum(label[p], label[q])
+        apart = low != high
+        if not apart.any():
+            break
+        p, q = p[apart], q[apart]
+        np.minimum.at(label, high[apart], low[apart])
+        while (label != label[label]).any():
+            label = label[label]
+    for k in range(0, len(nodes), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[k : k + 100_000]), pa.array(nodes[label[k : k + 100_000]])], ["node", "component"])
+
+
 def connected_components(edges: DataFrame, at: str, name: str) -> DataFrame:
     """(node, component) of every end of the edges (a, b); component: its smallest node.
 
-    Alternating large-star and small-star rounds (Kiveris et al., 2014), each a written
-    table, until a round changes nothing: O(log n) rounds, never more rows than edges.
+    Up to LOCAL_EDGES distinct edges are joined by one task.  More go through alternating large-star and
+    small-star rounds (Kiveris et al., 2014), each a written table, until a round changes nothing: O(log n)
+    rounds, never more rows than edges.  Either way gives the same components.
     """
 
     def stars(e: DataFrame, large: bool) -> DataFrame:
@@ -210,9 +237,12 @@ def connected_components(edges: DataFrame, at: str, name: str) -> DataFrame:
 
     current = store(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), at, f"{name}-0")
     seen, turn = print_of(current), 0
-    while seen[0]:
+    if seen[0] <= LOCAL_EDGES:
+        return store(current.coalesce(1).mapInArrow(_joined_at_once, "node long, component long"), at, f"{name}-joined")
+    while True:
         turn += 1
-        current = store(stars(stars(current, True), False), at, f"{name}-{turn}")
+        # A round has no more rows than the one before: few, full files.
+        current = store(stars(stars(current, True), False).coalesce(1 + seen[0] // FILE_ROWS), at, f"{name}-{turn}")
         now = print_of(current)
         discard(edges.sparkSession, at, f"{name}-{turn - 1}")
         if now == seen:

@@ -103,6 +103,19 @@ def test_jaccard_large_clusters_and_null_ids(spark, monkeypatch):
         assert Counter(tuple(r) for r in jaccard_join.jaccard_components(df, 4, 85, 100, frequent=frequent).collect()) == want
 
 
+@pytest.mark.parametrize("local", [0, 1_000_000])
+def test_connected_components(spark, tmp_path, monkeypatch, local):
+    """Chains, stars and loops, by one task and by rounds."""
+    from reliefspark.llm import common
+
+    monkeypatch.setattr(common, "LOCAL_EDGES", local)
+    edges = [(k, k + 1) for k in range(40)] + [(200, 100 + k) for k in range(60)] + [(-5, -9), (-9, -7), (-7, -5), (7, 7)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(3)
+    got = {r["node"]: r["component"] for r in common.connected_components(df, f"file://{tmp_path}", "c").collect()}
+    assert got == {**{k: 0 for k in range(41)}, **{100 + k: 100 for k in range(60)}, 200: 100, -5: -9, -7: -9, -9: -9}
+    assert common.connected_components(df.limit(0), f"file://{tmp_path}", "none").collect() == []
+
+
 def test_jaccard_empty(spark):
     from reliefspark.llm.jaccard_join import jaccard_components
 
