@@ -62,6 +62,15 @@ def fetch_order(tri: np.ndarray) -> np.ndarray:
     return u[np.argsort(first, kind="stable")]
 
 
+def optimize(tri: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(triangles in cache order over vertices renumbered by first use, each triangle's former place, each vertex's former id)."""
+    place = cache_order(tri)
+    old = fetch_order(tri[place])
+    new = np.empty(int(old.max()) + 1 if len(old) else 0, np.int64)
+    new[old] = np.arange(len(old))
+    return new[tri[place]], place, old
+
+
 def cache_misses(tri: np.ndarray, cache: int = CACHE) -> dict[str, float]:
     """Misses of a first-in-first-out vertex cache: a triangle (acmr) and a vertex (atvr)."""
     queue, miss = [], 0

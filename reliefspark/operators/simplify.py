@@ -159,17 +159,18 @@ def strips(pos: np.ndarray, tri: np.ndarray) -> list[np.ndarray]:
     return np.array_split(tri[np.argsort(mid[:, side], kind="stable")], n)
 
 
-def collapse_blocks(vertices: DataFrame, triangles: DataFrame, keys: list[str], ratio: float = 0.25, most_error: float = 1e30, with_remap: bool = False) -> DataFrame:
+def collapse_blocks(vertices: DataFrame, triangles: DataFrame, keys: list[str], ratio: float = 0.25, most_error: float = 1e30, with_remap: bool = False, both: bool = False) -> DataFrame:
     """(keys..., i0, i1, i2): each block's triangles (keys, tid, i0, i1, i2) simplified on their own, block borders kept.
 
-    with_remap: (keys..., vid, remap) instead, the vertex that each of a block's vertices became.
+    with_remap: (keys..., vid, remap) instead, the vertex that each of a block's vertices became; both: rows of either
+    kind, the other's columns null.
     A block must fit one task; blocks are grid cells, so their size is the cell's, not the data's. A block of more
     than MOST_TRIANGLES is cut into strips along its longest side first, whose borders stay too.
     """
     c = triangles.select(*keys, "tid", F.posexplode(F.array("i0", "i1", "i2")).alias("k", "vid"))
     rows = c.join(vertices.select("vid", "x", "y", "z"), "vid")
     types = dict(triangles.dtypes)
-    names = ["vid", "remap"] if with_remap else ["i0", "i1", "i2"]
+    names = ["i0", "i1", "i2", "vid", "remap"] if both else ["vid", "remap"] if with_remap else ["i0", "i1", "i2"]
     schema = ", ".join(f"{k} {types[k]}" for k in keys) + "".join(f", {n} long" for n in names)
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -184,7 +185,8 @@ def collapse_blocks(vertices: DataFrame, triangles: DataFrame, keys: list[str],
             parts.append(used[out])
             moved = remap_ != np.arange(len(used))
             to[used[moved]] = used[remap_[moved]]
-        res = pd.DataFrame(np.stack([ids, ids[to]], 1) if with_remap else ids[np.concatenate(parts)], columns=names)
+        moves, faces = pd.DataFrame({"vid": ids, "remap": ids[to]}), pd.DataFrame(ids[np.concatenate(parts)], columns=["i0", "i1", "i2"])
+        res = pd.concat([faces, moves]).astype("Int64")[names] if both else moves if with_remap else faces
         for k, v in zip(reversed(keys), reversed(key), strict=True):
             res.insert(0, k, v)
         return res

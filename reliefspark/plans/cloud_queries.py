@@ -110,9 +110,21 @@ def orient_propagate_1(spark, d):
     return s.select("pid", "orient", F.round("nx", 9).alias("nx"))
 
 
-@query("orient_propagate")
+# Each turn works on all points; the last one has nothing undecided, or as much as the one before.
+_TURNS = """kk AS MATERIALIZED (SELECT pid, nbr FROM kn), r(turn, pid, nx, ny, nz, qual, orient, before, unset) AS (
+  SELECT 0, pid, nx, ny, nz, qual, orient, -1::BIGINT, sum(CASE WHEN orient < 3 THEN 1 ELSE 0 END) OVER ()::BIGINT FROM st UNION ALL
+  SELECT turn + 1, pid, nx, ny, nz, qual, orient, unset, sum(CASE WHEN orient < 3 THEN 1 ELSE 0 END) OVER ()::BIGINT FROM (
+   WITH cur AS (SELECT * FROM r WHERE unset <> 0 AND unset <> before AND turn < 99),
+    vt AS (SELECT a.pid, sum(sign(a.nx * b.nx + a.ny * b.ny + a.nz * b.nz)) AS major, count(*) AS votes FROM cur a JOIN kk USING (pid) JOIN cur b ON kk.nbr = b.pid WHERE a.orient IN (1, 2) AND b.orient >= 3 AND abs(a.nx * b.nx + a.ny * b.ny + a.nz * b.nz) > 0.85 + 0.15 * (1 - a.qual * b.qual) GROUP BY 1),
+    won AS (SELECT pid, major FROM vt WHERE major <> 0 AND abs(major) >= votes // 2), vis AS (SELECT DISTINCT nbr AS pid FROM won JOIN kk USING (pid))
+   SELECT cur.turn, cur.pid, CASE WHEN major < 0 THEN -nx ELSE nx END AS nx, CASE WHEN major < 0 THEN -ny ELSE ny END AS ny, CASE WHEN major < 0 THEN -nz ELSE nz END AS nz, qual, CASE WHEN won.pid IS NOT NULL THEN 4 WHEN orient < 2 THEN CASE WHEN vis.pid IS NOT NULL THEN 1 ELSE 0 END ELSE orient END AS orient, unset
+   FROM cur LEFT JOIN won ON cur.pid = won.pid LEFT JOIN vis ON cur.pid = vis.pid))"""
+
+
+@query("orient_propagate", f"WITH RECURSIVE {_KNN}, {_ST}, {_TURNS} SELECT pid, round(nx, 9) AS nx, round(nz, 9) AS nz, orient FROM r WHERE turn = (SELECT max(turn) FROM r)")
 def orient_propagate(spark, d):
-    return normals.propagate(_st(spark, d).select("pid", "nx", "ny", "nz", "qual", "orient"), _nbrs(spark, d))
+    s = normals.propagate(_st(spark, d).select("pid", "nx", "ny", "nz", "qual", "orient"), _nbrs(spark, d))
+    return s.select("pid", F.round("nx", 9).alias("nx"), F.round("nz", 9).alias("nz"), "orient")
 
 
 @query("orient_progress", f"WITH {A.V}, {_ST} SELECT avg(CASE WHEN orient >= 3 THEN 1.0 ELSE 0.0 END) AS oriented FROM st")
@@ -166,6 +178,16 @@ def grid_snap_simplify(spark, d):
     return simplify.snap_to_grid(_zv(spark, d), A.triangles(spark, d), 32)
 
 
+_GS = "ex AS (SELECT min(x) AS x0, min(y) AS y0, min(z) AS z0, 1 / greatest(max(x) - min(x), max(y) - min(y), max(z) - min(z)) AS s FROM zv), b(low, high) AS (SELECT 1, 257 UNION ALL SELECT CASE WHEN c <= 2000 THEN mid ELSE low END, CASE WHEN c <= 2000 THEN high ELSE mid END FROM (SELECT low, high, (low + high) // 2 AS mid, (SELECT count(*) FROM (SELECT DISTINCT floor((x - x0) * s * ((low + high) // 2 - 1) + 0.5), floor((y - y0) * s * ((low + high) // 2 - 1) + 0.5), floor((z - z0) * s * ((low + high) // 2 - 1) + 0.5) FROM zv, ex)) AS c FROM b WHERE high - low > 1)), g AS (SELECT max(low) AS grid FROM b)"
+
+
+@query("grid_search", f"WITH RECURSIVE {A.VTX}, {_ZV}, {_GS} SELECT CAST(grid AS INTEGER) AS grid, count(DISTINCT (floor((x - x0) * s * (grid - 1) + 0.5), floor((y - y0) * s * (grid - 1) + 0.5), floor((z - z0) * s * (grid - 1) + 0.5))) AS points FROM zv, ex, g GROUP BY grid")
+def grid_search(spark, d):
+    """The widest grid of at most 2000 cells, and the points that stand for its cells."""
+    n = simplify.fit_grid(_zv(spark, d), 2000, 256)
+    return simplify.voxel_points(_zv(spark, d), n).agg(F.lit(n).alias("grid"), F.count("*").alias("points")).select("grid", "points")
+
+
 def _blocks(spark, d):
     return A.triangles(spark, d).select(F.expr("i0 % 100 div 25").alias("cx"), F.expr("i0 div 2500").alias("cy"), "tid", "i0", "i1", "i2")
 

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from .. import adapters as A
-from ..operators import order, surface
+from ..operators import grid, order, surface
 from . import pipelines
 from .registry import query
 
@@ -131,12 +131,44 @@ def region_points(spark, d):
     return pipelines.region_points(_region(spark, d))
 
 
-@query("finished_mesh")
+_FM = f"""WITH RECURSIVE {_HF}, q AS (SELECT a.gy * 2147483648 + a.gx AS k FROM hv a WHERE EXISTS (SELECT 1 FROM hv b WHERE b.gx = a.gx + 1 AND b.gy = a.gy) AND EXISTS (SELECT 1 FROM hv b WHERE b.gx = a.gx AND b.gy = a.gy + 1) AND EXISTS (SELECT 1 FROM hv b WHERE b.gx = a.gx + 1 AND b.gy = a.gy + 1)),
+ tri AS MATERIALIZED (SELECT 2 * k AS tid, k AS i0, k + 1 AS i1, k + 2147483648 AS i2 FROM q UNION ALL SELECT 2 * k + 1, k + 1, k + 2147483649, k + 2147483648 FROM q),
+ e AS (SELECT tid, least(i0, i1) AS a, greatest(i0, i1) AS b FROM tri UNION ALL SELECT tid, least(i1, i2), greatest(i1, i2) FROM tri UNION ALL SELECT tid, least(i2, i0), greatest(i2, i0) FROM tri),
+ n AS MATERIALIZED (SELECT p.tid AS a, q.tid AS b FROM e p JOIN e q ON p.a = q.a AND p.b = q.b AND p.tid <> q.tid),
+ reach(tid, root) USING KEY (tid) AS (SELECT tid, tid FROM tri UNION SELECT n.b, min(reach.root) FROM reach JOIN n ON n.a = reach.tid JOIN recurring.reach k ON k.tid = n.b WHERE reach.root < k.root GROUP BY n.b),
+ best AS (SELECT root FROM reach GROUP BY 1 ORDER BY count(*) DESC, root LIMIT 1), pt AS (SELECT tri.* FROM tri JOIN reach USING (tid) JOIN best USING (root)),
+ c AS (SELECT 3 * tid AS p, i0 AS v FROM pt UNION ALL SELECT 3 * tid + 1, i1 FROM pt UNION ALL SELECT 3 * tid + 2, i2 FROM pt), f AS (SELECT v, row_number() OVER (ORDER BY min(p)) - 1 AS new FROM c GROUP BY 1)"""
+
+
+@query("finished_mesh", f"{_FM} SELECT tid, x.new AS i0, y.new AS i1, z.new AS i2 FROM pt JOIN f x ON i0 = x.v JOIN f y ON i1 = y.v JOIN f z ON i2 = z.v")
 def finished_mesh(spark, d):
     return pipelines.finished_mesh(A.pts(spark, d), 2000.0)[1]
 
 
+def _pyramid(spark, d):
+    v = A.vertices(spark, d).withColumn("z", F.round(F.col("z") / 1024) / 8)
+    return pipelines.build_pyramid(v, A.triangles(spark, d), (0.0, 0.0, 0.0), 25.0, 2)
+
+
 @query("lod_pyramid")
 def lod_pyramid(spark, d):
-    v = A.vertices(spark, d).withColumn("z", F.col("z") / 5000)
-    return pipelines.build_pyramid(v, A.triangles(spark, d), (0.0, 0.0, 0.0), 25.0, 2)
+    return _pyramid(spark, d)[0]
+
+
+_LB = f"""WITH {A.VTX}, {A.TRI}, zv AS (SELECT vid, x, y, round(z / 1024) / 8 AS z FROM vtx), cl AS (SELECT tid, i0, i1, i2, {', '.join(f"floor((a.{c} + b.{c} + c.{c}) / 3 / 25) AS c{c}" for c in 'xyz')} FROM tri JOIN zv a ON i0 = a.vid JOIN zv b ON i1 = b.vid JOIN zv c ON i2 = c.vid),
+ bl AS (SELECT tid, i0, i1, i2, {', '.join(f"CAST(2 * floor((floor(c{c} / 2) + 1) / 2) - 1 AS BIGINT) AS bc{c}" for c in 'xyz')} FROM cl), h AS (SELECT bcx, bcy, bcz, i0 AS src, i1 AS dst FROM bl UNION ALL SELECT bcx, bcy, bcz, i1, i2 FROM bl UNION ALL SELECT bcx, bcy, bcz, i2, i0 FROM bl),
+ be AS (SELECT a.* FROM h a LEFT JOIN h b ON b.bcx = a.bcx AND b.bcy = a.bcy AND b.bcz = a.bcz AND b.src = a.dst AND b.dst = a.src WHERE b.src IS NULL), f AS (SELECT bcx, bcy, bcz, src AS vid FROM be UNION SELECT bcx, bcy, bcz, dst FROM be), u AS (SELECT DISTINCT bcx, bcy, bcz, src AS vid FROM h)"""
+
+
+@query("lod_parent_map", f"{_LB} SELECT bcx, bcy, bcz, count(*) AS vertices, count(f.vid) AS border, 0 AS moved_border FROM u LEFT JOIN f USING (bcx, bcy, bcz, vid) GROUP BY 1, 2, 3")
+def lod_parent_map(spark, d):
+    """Of each block of the first level's map: its vertices, those on the block's border, and border ones that moved."""
+    v = A.vertices(spark, d).withColumn("z", F.round(F.col("z") / 1024) / 8)
+    t = A.triangles(spark, d)
+    key = ["bcx", "bcy", "bcz"]
+    cells = grid.partition(v, t, (0.0, 0.0, 0.0), 25.0)
+    own = t.join(cells.select("tid", *grid.parent("cx", "cy", "cz")).select("tid", *grid.block_base("pcx", "pcy", "pcz")), "tid").withColumnsRenamed({f"bpc{c}": f"bc{c}" for c in "xyz"})
+    h = own.select(*key, F.explode(F.array(*[F.struct(F.col(a).alias("src"), F.col(b).alias("dst")) for a, b in (("i0", "i1"), ("i1", "i2"), ("i2", "i0"))])).alias("h")).select(*key, "h.src", "h.dst")
+    edge = h.join(h.select(*key, F.col("dst").alias("src"), F.col("src").alias("dst")), [*key, "src", "dst"], "left_anti").select(*key, F.explode(F.array("src", "dst")).alias("vid")).distinct().withColumn("edge", F.lit(True))
+    maps = _pyramid(spark, d)[1].filter("lod = 1").join(edge, [*key, "vid"], "left")
+    return maps.groupBy(*key).agg(F.count("*").alias("vertices"), F.count("edge").alias("border"), F.sum(F.when(F.col("edge") & (F.col("parent") != F.col("vid")), 1).otherwise(0)).cast("int").alias("moved_border"))

@@ -84,22 +84,26 @@ def finished_mesh(raw: DataFrame, cell: float) -> tuple[DataFrame, DataFrame]:
     return clean.snap_boundary(v, t), t
 
 
-def build_pyramid(vertices: DataFrame, triangles: DataFrame, base: tuple[float, float, float], step: float, levels: int, ratio: float = 0.25) -> DataFrame:
-    """(lod, cx, cy, cz, i0, i1, i2): level 0 by grid cells, each further level simplified in blocks of 2 x 2 x 2 parents.
+def build_pyramid(vertices: DataFrame, triangles: DataFrame, base: tuple[float, float, float], step: float, levels: int, ratio: float = 0.25) -> tuple[DataFrame, DataFrame]:
+    """Triangles (lod, cx, cy, cz, i0, i1, i2) and parent maps (lod, bcx, bcy, bcz, vid, parent).
 
-    Blocks have odd bases, so that the borders kept by one level lie inside the blocks of the next but one; a
-    triangle goes to the parent that holds its barycentre. One written table a level.
+    Level 0 by grid cells, each further level simplified in blocks of 2 x 2 x 2 parents. Blocks have odd bases, so that
+    the borders kept by one level lie inside the blocks of the next but one; a triangle goes to the parent that holds its
+    barycentre. A parent map of level `lod` tells what each vertex of a block of the level below became.
     """
     cells = grid.partition(vertices, triangles, base, step)
     now = cut(triangles.join(cells, "tid").select(F.lit(0).alias("lod"), "cx", "cy", "cz", "tid", "i0", "i1", "i2"))
-    out = now.drop("tid")
+    out, maps = now.drop("tid"), None
+    key = ["bcx", "bcy", "bcz"]
     for lod in range(1, levels + 1):
         parents = now.select(*grid.parent("cx", "cy", "cz"), "tid", "i0", "i1", "i2").withColumnsRenamed({"pcx": "cx", "pcy": "cy", "pcz": "cz"})
         blocks = parents.select(*grid.block_base("cx", "cy", "cz"), "tid", "i0", "i1", "i2")
-        small = simplify.collapse_blocks(vertices, blocks, ["bcx", "bcy", "bcz"], ratio).select("i0", "i1", "i2")
+        made = cut(simplify.collapse_blocks(vertices, blocks, key, ratio, both=True))
         # Ids of their own, fixed by the written table: blocks may hold equal triangles.
-        small = cut(small.withColumn("tid", F.monotonically_increasing_id()))
+        small = cut(made.filter("i0 IS NOT NULL").select("i0", "i1", "i2").withColumn("tid", F.monotonically_increasing_id()))
+        moves = made.filter("vid IS NOT NULL").select(F.lit(lod).alias("lod"), *key, "vid", F.col("remap").alias("parent"))
+        maps = moves if maps is None else maps.unionByName(moves)
         cells = grid.partition(vertices, small, base, step * 2**lod)
         now = cut(small.join(cells, "tid").select(F.lit(lod).alias("lod"), "cx", "cy", "cz", "tid", "i0", "i1", "i2"))
         out = out.unionByName(now.drop("tid"))
-    return out
+    return out, maps

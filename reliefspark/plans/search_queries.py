@@ -132,14 +132,10 @@ def mesh_order_checks(spark, d):
     """Of each mesh in cache order, then fetch order: places once each, the same triangles, fewer cache misses, vertices numbered by first use."""
 
     def f(t: np.ndarray) -> pd.DataFrame:
-        o = order.cache_order(t)
-        s = t[o]
-        old = order.fetch_order(s)
-        new = np.empty(int(old.max()) + 1, np.int64)
-        new[old] = np.arange(len(old))
-        first = pd.unique(new[s].ravel())
-        better = order.cache_misses(s)["acmr"] <= order.cache_misses(t)["acmr"] + 1e-9 and (first == np.arange(len(first))).all()
-        return pd.DataFrame({"places": [len(np.unique(o))], "triangles": [int((s * [7, 11, 13]).sum())], "better": [bool(better)], "vertices": [len(np.unique(t))], "fetched": [len(first)]})
+        made, place, old = order.optimize(t)
+        first = pd.unique(made.ravel())
+        better = order.cache_misses(made)["acmr"] <= order.cache_misses(t)["acmr"] + 1e-9 and (first == np.arange(len(first))).all() and (old[made] == t[place]).all()
+        return pd.DataFrame({"places": [len(np.unique(place))], "triangles": [int((old[made] * [7, 11, 13]).sum())], "better": [bool(better)], "vertices": [len(np.unique(t))], "fetched": [len(first)]})
 
     return order.per_mesh(_meshes(spark, d), f, "places long, triangles long, better boolean, vertices long, fetched long")
 
