@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import frugal
 from .pieces import PieceCache, worker_cache
 
 
@@ -232,7 +233,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 ids = cache.encode([t or "" for t in part.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, ids binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(frugal(run), "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -246,7 +247,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
                 data = [b"".join(map(token, np.frombuffer(x, "<u4").tolist())) for x in part.column("ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.array(data, pa.binary())], ["doc_id", "ids", "data"])
 
-    return encoded.mapInArrow(run, "doc_id long, ids binary, data binary")
+    return encoded.mapInArrow(frugal(run), "doc_id long, ids binary, data binary")
 
 
 def digests(decoded: DataFrame) -> DataFrame:

@@ -4,10 +4,12 @@ the way, grouped Arrow streams and distributed connected components."""
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +74,25 @@ def discard(spark: SparkSession, at: str, *names: str) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def give_back() -> None:
+    """Returns this process's freed memory to the system, as far as the allocators can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run for mapInArrow, giving memory back when a task ends: a worker outlives its tasks, and the next one needs other sizes."""
+
+    def with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return with_end
+
+
 def stream_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Consecutive rows with equal keys (non-null integers) of a sorted partition, one table a group."""
     held: list[pa.Table] = []
@@ -161,7 +182,7 @@ def sieve(keys: DataFrame, key: str):
     mark, union = _sieve_parts(key, bits)
     table = np.zeros(bits // 8, np.uint8)
     step = min(bits, 1 << 18) // 8
-    for c, b in keys.select(key).mapInArrow(mark, "chunk long, bits binary").repartition("chunk").mapInArrow(union, "chunk long, bits binary").collect():
+    for c, b in keys.select(key).mapInArrow(frugal(mark), "chunk long, bits binary").repartition("chunk").mapInArrow(frugal(union), "chunk long, bits binary").collect():
         table[c * step : (c + 1) * step] = np.frombuffer(b, np.uint8)
     return keys.sparkSession.sparkContext.broadcast(table)
 
@@ -177,7 +198,7 @@ def marked(df: DataFrame, key: str, table, name: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.astype(bool))], [*batch.schema.names, name])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(run, f"{schema}, `{name}` boolean")
+    return df.mapInArrow(frugal(run), f"{schema}, `{name}` boolean")
 
 
 def join_rows(label: np.ndarray, i: int, others: np.ndarray) -> None:
@@ -238,7 +259,7 @@ def connected_components(edges: DataFrame, at: str, name: str) -> DataFrame:
     current = store(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), at, f"{name}-0")
     seen, turn = print_of(current), 0
     if seen[0] <= LOCAL_EDGES:
-        return store(current.coalesce(1).mapInArrow(_joined_at_once, "node long, component long"), at, f"{name}-joined")
+        return store(current.coalesce(1).mapInArrow(frugal(_joined_at_once), "node long, component long"), at, f"{name}-joined")
     while True:
         turn += 1
         # A round has no more rows than the one before: few, full files.
@@ -251,6 +272,16 @@ def connected_components(edges: DataFrame, at: str, name: str) -> DataFrame:
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).union(current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
+#: Bytes of files that one task reads, about, where there are more files than cores.
+READ_BYTES = 32 << 20
+
+
+def read_tasks(files: DataFrame) -> int:
+    """Tasks to read files (uri, bytes, ...) by: one a file up to the cluster's cores, then by bytes."""
+    n, size = files.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    return max(1, min(n, max(4 * files.sparkSession.sparkContext.defaultParallelism, -(-size // READ_BYTES))))
+
+
 def open_filesystem(uri: str) -> tuple:
     """(pyarrow file system, path) of a URI, for executors that read or write their own files."""
     from pyarrow import fs

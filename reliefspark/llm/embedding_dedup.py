@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, discard, join_rows, store, stream_groups, workspace
+from .common import connected_components, discard, frugal, join_rows, store, stream_groups, workspace
 
 #: Vectors of a length that its codebooks are fitted on, about.
 SAMPLE = 8192
@@ -196,14 +196,14 @@ def embedding_components(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     allowed = 2 * (1 - cosine) + 1e-9
 
     placed = reps.join(groups.select("label", "dim", "level"), ["label", "dim"])
-    cells = placed.select("label", "dim", "level", "embedding").mapInArrow(_visits(shared, allowed, False), "label long, dim long, cell long").groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
+    cells = placed.select("label", "dim", "level", "embedding").mapInArrow(frugal(_visits(shared, allowed, False)), "label long, dim long, cell long").groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
     cells = store(cells, at, "cells")
-    visits = placed.mapInArrow(_visits(shared, allowed, True), "label long, dim long, cell long, rep long, copies long, home boolean, vector binary")
+    visits = placed.mapInArrow(frugal(_visits(shared, allowed, True)), "label long, dim long, cell long, rep long, copies long, home boolean, vector binary")
     met = visits.join(cells, ["label", "dim", "cell"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     met = met.select("label", "dim", "cell", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "rep", "copies", "home", "vector")
     task = ["label", "dim", "cell", "left", "right"]
-    found = store(met.repartition(*task).sortWithinPartitions(*task).mapInArrow(_compare(cosine, "<f4" if single else "<f8"), "node long, root long, links long"), at, "found")
+    found = store(met.repartition(*task).sortWithinPartitions(*task).mapInArrow(frugal(_compare(cosine, "<f4" if single else "<f8")), "node long, root long, links long"), at, "found")
     discard(spark, at, "cells", "groups")
     component = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), at, "links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import wordhash
-from .common import Forest, connected_components, discard, join_rows, marked, sieve, store, stream_groups, workspace
+from .common import Forest, connected_components, discard, frugal, join_rows, marked, sieve, store, stream_groups, workspace
 
 _U = np.uint64
 #: Bits of a parity bitmap, by set size, at most.
@@ -125,7 +125,7 @@ def _survey(width: int, fold: bool):
                     maps.append(_bitmap(s))
                     pending.append(s)
                     size += len(s)
-            if size > 4_000_000:
+            if size > 1_000_000:
                 kept_h, kept_c = tally()
                 pending, size = [], 0
             n = len(nodes)
@@ -370,7 +370,7 @@ def _candidates(shared: DataFrame, nodes: DataFrame, at: str, num: int, den: int
     """Edges (a, b) whose components hold all links; shared: the second prefixes (entry, node, n_shingles)."""
     w = Window.partitionBy("entry")
     counted = shared.withColumn("sets", F.count("*").over(w)).filter("sets > 1").sortWithinPartitions("entry")
-    found = store(counted.mapInArrow(_narrow(num, den), "a long, b long, entry long, node long, sets long"), at, "found")
+    found = store(counted.mapInArrow(frugal(_narrow(num, den)), "a long, b long, entry long, node long, sets long"), at, "found")
     maps = nodes.select("node", "n_shingles", "bitmap")
     pairs = found.filter("a IS NOT NULL").select("a", "b").distinct()
     for side in ("a", "b"):
@@ -380,8 +380,8 @@ def _candidates(shared: DataFrame, nodes: DataFrame, at: str, num: int, den: int
     wide = wide.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     wide = wide.select("entry", F.least("part", "other").alias("left"), F.greatest("part", "other").alias("right"), "part", "node", "n_shingles", "bitmap")
     task = ["entry", "left", "right"]
-    forests = wide.repartition(*task).sortWithinPartitions(*task).mapInArrow(_forests(num, den), "a long, b long")
-    return pairs.mapInArrow(_likely(num, den), "a long, b long").union(forests)
+    forests = wide.repartition(*task).sortWithinPartitions(*task).mapInArrow(frugal(_forests(num, den)), "a long, b long")
+    return pairs.mapInArrow(frugal(_likely(num, den)), "a long, b long").union(forests)
 
 
 def _compared(rows: DataFrame, texts: DataFrame, width: int, fold: bool, num: int, den: int) -> DataFrame:
@@ -390,7 +390,7 @@ def _compared(rows: DataFrame, texts: DataFrame, width: int, fold: bool, num: in
     own = marked(texts, "key", sieve(rows, "key"), "near").filter("near").select(F.col("doc_id").alias("id"), F.col("key").alias("own_key"), "text")
     task = ["cluster", "left", "right"]
     met = rows.join(own, (F.col("key") == F.col("own_key")) & F.col("doc_id").eqNullSafe(F.col("id"))).select(*task, "node", "text")
-    return met.repartition(*task).sortWithinPartitions(*task).mapInArrow(_verify(width, fold, num, den), "a long, b long")
+    return met.repartition(*task).sortWithinPartitions(*task).mapInArrow(frugal(_verify(width, fold, num, den)), "a long, b long")
 
 
 def _links(clusters: DataFrame, nodes: DataFrame, texts: DataFrame, at: str, width: int, fold: bool, num: int, den: int) -> DataFrame:
@@ -443,7 +443,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     at = workspace(spark, "jaccard")
     text = F.col("text").cast("string")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
-    survey = store(texts.mapInArrow(_survey(width, fold), "doc_id long, key long, node long, n_shingles long, bitmap binary, shingle long, seen long"), at, "survey")
+    survey = store(texts.mapInArrow(frugal(_survey(width, fold)), "doc_id long, key long, node long, n_shingles long, bitmap binary, shingle long, seen long"), at, "survey")
     rows = survey.filter("shingle IS NULL")
     sums = store(survey.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("seen").alias("seen")).withColumn("step", F.floor(16 * F.log2("seen")).cast("int")), at, "sums")
     # At most a thousand steps of counts: the lowest one from which no more than `frequent` shingles remain.
@@ -460,7 +460,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     del top, table, order
 
     # Each entry's sets, then each set's second prefix. A set can come from several tasks.
-    entries = texts.select("doc_id", "text").mapInArrow(_index(width, fold, num, den, shared_table), "entry long, node long, k int")
+    entries = texts.select("doc_id", "text").mapInArrow(frugal(_index(width, fold, num, den, shared_table)), "entry long, node long, k int")
     w = Window.partitionBy("entry")
     once = F.coalesce(F.lag("node").over(w.orderBy("node")) != F.col("node"), F.lit(True))
     shared = entries.withColumn("sets", F.count("*").over(w)).withColumn("lo", F.min("node").over(w)).withColumn("hi", F.max("node").over(w)).withColumn("once", once).filter("lo < hi AND once")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import store, workspace
+from .common import frugal, store, workspace
 from .toxicity import held_out
 
 #: Bytes of a language's dictionary and of all dictionaries together, at most (all are broadcast); bytes of a passage, about.
@@ -92,7 +92,7 @@ def dictionaries(docs: DataFrame) -> dict[str, bytes]:
     An empty table gives no dictionary.
     """
     usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out()).select("lang", "text")
-    drawn = usable.mapInArrow(_draw, "lang string, short int, h long, passage binary").dropDuplicates(["lang", "h"])
+    drawn = usable.mapInArrow(frugal(_draw), "lang string, short int, h long, passage binary").dropDuplicates(["lang", "h"])
     # Ranked in parts first, so that no task ranks all tasks' draws of a language.
     order = [F.col("short"), F.col("h")]
     some = drawn.withColumn("k", F.row_number().over(Window.partitionBy("lang", F.pmod("h", F.lit(16))).orderBy(*order))).filter(F.col("k") <= DRAWN)
@@ -165,4 +165,4 @@ def classify(docs: DataFrame, texts: dict[str, bytes]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.bool_())], [*batch.schema.names, "lang_pred", "score", "narrow"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{schema}, lang_pred string, score double, narrow boolean")
+    return docs.mapInArrow(frugal(run), f"{schema}, lang_pred string, score double, narrow boolean")

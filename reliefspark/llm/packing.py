@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import store, workspace
+from .common import frugal, store, workspace
 from .pieces import library_encoder, worker_cache
 
 OPEN_BINS = 4096
@@ -90,7 +90,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=False)], ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(cols)])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
+    return rows.mapInArrow(frugal(run), "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
 def pack(pieces: DataFrame, capacity: int, n_pieces: int, open_bins: int = OPEN_BINS) -> DataFrame:
@@ -111,7 +111,7 @@ def pack(pieces: DataFrame, capacity: int, n_pieces: int, open_bins: int = OPEN_
     groups = max(1, round(n_pieces / GROUP_PIECES))
     dealt = pieces.repartition(groups, key).sortWithinPartitions(key, "doc_id", "piece")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return dealt.mapInArrow(run, f"{schema}, sequence_id long, offset long")
+    return dealt.mapInArrow(frugal(run), f"{schema}, sequence_id long, offset long")
 
 
 def best_fit_sequences(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, with_ids: bool = False) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import wordhash
-from .common import store, workspace
+from .common import frugal, store, workspace
 from .wordhash import mix
 
 _U = np.uint64
@@ -187,7 +187,7 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> References:
     Rows of null or empty language or text give nothing; repeated rows count each time; words of equal counts are
     ranked by hash; an empty table gives no reference. Other columns are ignored.
     """
-    parts = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).mapInArrow(_count(rules), "lang string, kind string, item long, seen long")
+    parts = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).mapInArrow(frugal(_count(rules)), "lang string, kind string, item long, seen long")
     sums = store(parts.groupBy("lang", "kind", "item").agg(F.sum("seen").alias("seen")), workspace(docs.sparkSession, "quality"), "sums")
     totals = sums.filter("kind = 'words'")
     least = max(LEAST_WORDS, -(-(totals.agg(F.sum("seen")).first()[0] or 0) // WORD_SHARE))
@@ -282,4 +282,4 @@ def judge(docs: DataFrame, ref: References, rules: Rules = Rules()) -> DataFrame
                 yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(np.concatenate(x)) for x in zip(*parts, strict=True))], [*batch.schema.names, *new])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{schema}, {RESULT}")
+    return docs.mapInArrow(frugal(run), f"{schema}, {RESULT}")

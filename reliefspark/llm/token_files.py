@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import open_filesystem, store, workspace
+from .common import frugal, open_filesystem, read_tasks, store, workspace
 from .pieces import library_encoder, worker_cache
 
 MAGIC = b"RPF1"
@@ -187,7 +187,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int,
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.repartitionByRange(partitions, F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
-    return store(rows.mapInArrow(run, "partition long, number long, uri string, documents long, tokens long, bytes long"), folder, "files-written")
+    return store(rows.mapInArrow(frugal(run), "partition long, number long, uri string, documents long, tokens long, bytes long"), folder, "files-written")
 
 
 def read_token_files(files: DataFrame) -> DataFrame:
@@ -210,10 +210,15 @@ def read_token_files(files: DataFrame) -> DataFrame:
         d, s, i = zip(*held, strict=True)
         return pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(s, pa.int64()), pa.array(i, pa.binary())], ["doc_id", "start", "ids"])
 
-    # One row a file (millions of tokens each): a running sum over these few rows.
-    order = Window.orderBy("partition", "number").rowsBetween(Window.unboundedPreceding, -1)
-    placed = files.select("uri", F.coalesce(F.sum("tokens").over(order), F.lit(0)).alias("before"))
-    return placed.repartition(max(1, files.count()), "uri").mapInArrow(run, "doc_id long, start long, ids binary")
+    # Tokens before a file: those of the partitions before it (one small row each), and of its partition's files before it.
+    total, before = 0, []
+    for part, tokens in sorted(map(tuple, files.groupBy("partition").agg(F.sum("tokens")).collect())):
+        before.append((part, total))
+        total += tokens
+    starts = F.broadcast(files.sparkSession.createDataFrame(before, "partition long, earlier long"))
+    order = Window.partitionBy("partition").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    placed = files.withColumn("inside", F.coalesce(F.sum("tokens").over(order), F.lit(0))).join(starts, "partition").select("uri", (F.col("earlier") + F.col("inside")).alias("before"))
+    return placed.repartition(read_tasks(files), "uri").mapInArrow(frugal(run), "doc_id long, start long, ids binary")
 
 
 def token_table(docs: DataFrame, tokenizer: str, end_id: int = 1, partitions: int | None = None) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash
+from .common import frugal
 from .wordhash import mix
 
 _U = np.uint64
@@ -350,4 +351,4 @@ def tag(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([*score, np.zeros(0)])[:n]), pa.array(np.concatenate([*tokens, np.zeros(0)])[:n]), pa.array(spans, span)], [*batch.schema.names, "toxicity", "toxic_tokens", "toxic_spans"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{schema}, toxicity double, toxic_tokens double, toxic_spans array<struct<start:int,end:int>>")
+    return docs.mapInArrow(frugal(run), f"{schema}, toxicity double, toxic_tokens double, toxic_spans array<struct<start:int,end:int>>")

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import open_filesystem, store, workspace
+from .common import frugal, open_filesystem, read_tasks, store, workspace
 
 DICTIONARY_MAGIC = 0x184D2A5D
 #: Records, and bytes of one record, that the dictionary is trained on, at most; its size.
@@ -124,7 +124,7 @@ def write_archives(rows: DataFrame, folder: str, dictionary: bytes) -> DataFrame
             made.append({"uri": uri, "records": n, "bytes": written})
         yield pa.RecordBatch.from_pylist(made, pa.schema([("uri", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())]))
 
-    return store(rows.mapInArrow(run, "uri string, records long, bytes long"), folder, "archives-written")
+    return store(rows.mapInArrow(frugal(run), "uri string, records long, bytes long"), folder, "archives-written")
 
 
 def read_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -201,7 +201,7 @@ def read_archives(files: DataFrame, with_payload: bool = False) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=False)], names[:keep])
 
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * with_payload
-    return files.select("uri").repartition(max(1, files.count()), "uri").mapInArrow(run, schema)
+    return files.select("uri").repartition(read_tasks(files), "uri").mapInArrow(frugal(run), schema)
 
 
 def archive(pages: DataFrame, least: int = 1000) -> DataFrame:
