@@ -385,27 +385,27 @@ def _candidates(shared: DataFrame, nodes: DataFrame, at: str, num: int, den: int
 
 
 def _compared(rows: DataFrame, texts: DataFrame, width: int, fold: bool, num: int, den: int) -> DataFrame:
-    """Edges (a, b) of the links within each task; rows: cluster, left, right, node and doc_id and key of a row with its text."""
-    # Texts without candidates are not shuffled.
-    own = marked(texts, "key", sieve(rows, "key"), "near").filter("near").select(F.col("doc_id").alias("id"), F.col("key").alias("own_key"), "text")
+    """Edges (a, b) of the links within each task; rows: cluster, left, right, node and the key of a row with its text."""
+    # Texts without candidates are not shuffled; of rows that are repeated one counts.
+    own = marked(texts, "key", sieve(rows, "key"), "near").filter("near").groupBy("key").agg(F.first("text").alias("text"))
     task = ["cluster", "left", "right"]
-    met = rows.join(own, (F.col("key") == F.col("own_key")) & F.col("doc_id").eqNullSafe(F.col("id"))).select(*task, "node", "text")
+    met = rows.join(own, "key").select(*task, "node", "text")
     return met.repartition(*task).sortWithinPartitions(*task).mapInArrow(frugal(_verify(width, fold, num, den)), "a long, b long")
 
 
 def _links(clusters: DataFrame, nodes: DataFrame, texts: DataFrame, at: str, width: int, fold: bool, num: int, den: int) -> DataFrame:
-    """(node, component) of the nodes that link; clusters: node, cluster; texts: doc_id, key, text."""
+    """(node, component) of the nodes that link; clusters: node, cluster; texts: key, text."""
 
     def blocks(count: Column) -> Column:
         return F.greatest(F.ceil(count / BLOCK_SETS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("long")
 
-    rows = clusters.join(nodes.select("node", "n_shingles", "rep", "key"), "node")
+    rows = clusters.join(nodes.select("node", "n_shingles", "key"), "node")
     about = rows.groupBy("cluster").agg(blocks(F.count("*")).alias("parts"), *[F.min(F.xxhash64("node", F.lit(k))).alias(f"p{k}") for k in range(PIVOTS)])
     pivot = F.lit(False)
     for k in range(PIVOTS):
         pivot = pivot | (F.xxhash64("node", F.lit(k)) == F.col(f"p{k}"))
     part = F.pmod(F.xxhash64("node"), F.col("parts"))
-    members = store(rows.join(about, "cluster").select("cluster", "parts", part.alias("part"), (pivot & (F.col("parts") > 1)).alias("pivot"), "node", "n_shingles", F.col("rep").alias("doc_id"), "key"), at, "members")
+    members = store(rows.join(about, "cluster").select("cluster", "parts", part.alias("part"), (pivot & (F.col("parts") > 1)).alias("pivot"), "node", "n_shingles", "key"), at, "members")
     own = members.withColumn("left", F.explode(F.when(F.col("pivot"), F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).otherwise(F.array("part")))).withColumn("right", F.col("left"))
     first = connected_components(_compared(own, texts, width, fold, num, den), at, "first")
 
@@ -420,7 +420,7 @@ def _links(clusters: DataFrame, nodes: DataFrame, texts: DataFrame, at: str, wid
     outside = rest.filter("out").groupBy("cluster").agg(blocks(F.count("*")).alias("lots"))
     lot = F.pmod(F.xxhash64("node", F.lit("lot")), F.col("lots"))
     both = rest.join(outside, "cluster")
-    columns = [F.col(c) for c in ("cluster", "left", "right", "node", "doc_id", "key")]
+    columns = [F.col(c) for c in ("cluster", "left", "right", "node", "key")]
     met = both.withColumn("left", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lots") - 1))).withColumn("right", F.col("part")).select(*columns)
     mine = both.filter("out").withColumn("left", lot).withColumn("right", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select(*columns)
     second = _compared(met.union(mine), texts, width, fold, num, den)
@@ -442,7 +442,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     spark = docs.sparkSession
     at = workspace(spark, "jaccard")
     text = F.col("text").cast("string")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id").cast("long"), text).alias("key"), text.alias("text"))
     survey = store(texts.mapInArrow(frugal(_survey(width, fold)), "doc_id long, key long, node long, n_shingles long, bitmap binary, shingle long, seen long"), at, "survey")
     rows = survey.filter("shingle IS NULL")
     sums = store(survey.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("seen").alias("seen")).withColumn("step", F.floor(16 * F.log2("seen")).cast("int")), at, "sums")
@@ -468,11 +468,11 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     discard(spark, at, "sums")
     own = Window.partitionBy("node")
     kept = shared.withColumn("s", F.count("*").over(own)).filter("s >= k").withColumn("place", F.row_number().over(own.orderBy("sets", "entry"))).filter("place <= s - k + 1").select("entry", "node")
-    nodes = store(rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.max("bitmap").alias("bitmap"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("row")).select("node", "rep", "n_shingles", "bitmap", F.col("row.key").alias("key")), at, "nodes")
+    nodes = store(rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.max("bitmap").alias("bitmap"), F.min("key").alias("key")), at, "nodes")
     candidates = _candidates(kept.join(nodes.select("node", "n_shingles"), "node"), nodes, at, num, den)
     clusters = connected_components(candidates, at, "clusters").withColumnRenamed("component", "cluster")
     discard(spark, at, "shared", "found")
-    component = _links(clusters, nodes, texts, at, width, fold, num, den)
+    component = _links(clusters, nodes, texts.select("key", "text"), at, width, fold, num, den)
     named = nodes.select("node", "rep").join(component, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = store(named.join(smallest, "component").select("node", "component_id"), at, "named")
