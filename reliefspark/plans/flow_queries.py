@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from .. import adapters as A
 from ..operators import grid, order, surface
 from . import pipelines
+from .cloud_queries import _D2, _EIG, _TURNS
+from .point_queries import _LINES
 from .registry import query
 
 
@@ -107,9 +109,31 @@ def height_field_triangles(spark, d):
     return surface.height_field(A.pts(spark, d), 2000.0)[1]
 
 
-@query("oriented_points")
+# A sloping tile: places from the ids of `embeddings`, heights with the vectors' first numbers as noise.
+_TILE = "pts AS (SELECT vec_id AS pid, vec_id % 5 AS source_id, (vec_id * 7919) % 100000 AS x, (vec_id * 104729) % 100000 AS y, (vec_id * 7919) % 100000 // 4 + (vec_id * 104729) % 100000 // 9 + CAST(round(CAST(embedding[1] AS DOUBLE) * 3000) AS BIGINT) AS z, CAST((vec_id * 31) % 61 - 30 AS INTEGER) AS scan_angle, CAST(vec_id AS DOUBLE) AS gps_time FROM embeddings)"
+
+
+def _tile(spark, d):
+    e = A.table(spark, d, "embeddings")
+    z = F.expr("(vec_id * 7919) % 100000 div 4 + (vec_id * 104729) % 100000 div 9") + F.round(F.col("embedding")[0].cast("double") * 3000).cast("long")
+    return e.select(F.col("vec_id").alias("pid"), F.expr("vec_id % 5").alias("source_id"), F.expr("(vec_id * 7919) % 100000").alias("x"), F.expr("(vec_id * 104729) % 100000").alias("y"), z.alias("z"), F.expr("cast((vec_id * 31) % 61 - 30 as int)").alias("scan_angle"), F.col("vec_id").cast("double").alias("gps_time"))
+
+
+_OWN_LINES = _LINES.replace(" r AS (", " rl AS (").replace("r.n, repr", "rl.n, repr").replace("JOIN r USING", "JOIN rl USING")
+_CHAIN = f"""{_OWN_LINES}, sp AS (SELECT min(z) AS lo, max(z) AS hi FROM pts), ut AS (SELECT 0.75::DOUBLE AS scale, 0.125::DOUBLE AS sh, 0.5::DOUBLE - round(0.5::DOUBLE * (lo + hi) * 1e-5::DOUBLE * 0.75::DOUBLE * 16) / 16.0::DOUBLE AS sz FROM sp),
+ v AS (SELECT pid, x * 1e-5::DOUBLE * scale + sh AS x, y * 1e-5::DOUBLE * scale + sh AS y, z * 1e-5::DOUBLE * scale + sz AS z FROM pts, ut),
+ pairs AS (SELECT a.pid, b.pid AS nbr, {_D2} AS d2 FROM v a, v b), kn AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY d2, nbr) AS rank FROM pairs QUALIFY rank <= 15), {_EIG},
+ nv AS (SELECT pid, CASE WHEN axx >= ayy AND axx >= azz THEN axx WHEN ayy >= azz THEN axy ELSE axz END / sqrt(greatest(axx, ayy, azz) * t) AS nx, CASE WHEN axx >= ayy AND axx >= azz THEN axy WHEN ayy >= azz THEN ayy ELSE ayz END / sqrt(greatest(axx, ayy, azz) * t) AS ny, CASE WHEN axx >= ayy AND axx >= azz THEN axz WHEN ayy >= azz THEN ayz ELSE azz END / sqrt(greatest(axx, ayy, azz) * t) AS nz FROM e6),
+ s0 AS (SELECT pid, nx, ny, nz, flat * near AS qual, is_valid, nx * cos(ac) * sin(radians(scan_angle)) + ny * sin(ac) * sin(radians(scan_angle)) - nz * cos(radians(scan_angle)) AS dd FROM nv JOIN eig USING (pid) JOIN pts USING (pid) JOIN fl USING (source_id)),
+ s1 AS (SELECT *, coalesce(is_valid AND abs(dd) > 0.25 + 2 * (1 - qual), false) AS ok FROM s0), s2 AS (SELECT pid, CASE WHEN ok AND dd > 0 THEN -1 ELSE 1 END AS f, * EXCLUDE (pid) FROM s1),
+ s3 AS (SELECT pid, f * nx AS nx, f * ny AS ny, f * nz AS nz, qual, CASE WHEN ok THEN 6 ELSE 1 END AS orient FROM s2), s4 AS (SELECT *, orient < 5 AND abs(nz) > 0.55 + 2 * (1 - qual) AS up FROM s3),
+ st AS (SELECT pid, CASE WHEN up AND nz < 0 THEN -nx ELSE nx END AS nx, CASE WHEN up AND nz < 0 THEN -ny ELSE ny END AS ny, CASE WHEN up AND nz < 0 THEN -nz ELSE nz END AS nz, qual, CASE WHEN up THEN 5 ELSE orient END AS orient FROM s4)"""
+
+
+@query("oriented_points", f"WITH RECURSIVE {_TILE}, {_CHAIN}, {_TURNS}, w AS (SELECT r.*, CASE WHEN orient >= 3 THEN qual ELSE 0 END AS k FROM r WHERE turn = (SELECT max(turn) FROM r)) SELECT pid, round(v.x, 9) AS x, round(v.z, 9) AS z, round(nx * k, 5) AS nx, round(ny * k, 5) AS ny, round(nz * k, 5) AS nz, round(qual, 5) AS qual, orient FROM w JOIN v USING (pid)")
 def oriented_points(spark, d):
-    return pipelines.oriented_points(A.pts(spark, d))
+    o = pipelines.oriented_points(_tile(spark, d))
+    return o.select("pid", *[F.round(c, 9).alias(c) for c in "xz"], *[F.round(c, 5).alias(c) for c in ("nx", "ny", "nz", "qual")], "orient")
 
 
 def _region(spark, d):
