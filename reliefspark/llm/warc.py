@@ -34,8 +34,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 def decide(pages: DataFrame, least: int, at: str) -> DataFrame:
     """pages (page_id, url, html) with payload_bytes, payload_digest and refers_to; a revisit's html is null.
 
-    Of equal payloads of `least` bytes or more, each row with the largest page_id is the response.
-    A null html is the empty payload.
+    Of equal payloads of `least` bytes or more, each row with the largest page_id is the response, repeated ones too,
+    and rows of null page_id revisit it; with null ids alone all are responses. A null html is the empty payload.
     """
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha1(payload).alias("payload_digest"))

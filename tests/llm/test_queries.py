@@ -457,3 +457,11 @@ def test_op10_records(spark, tmp_path):
         to = last.get(h, i)
         want[i, len(b), hashlib.sha1(b).hexdigest(), "response" if to == i else "revisit", to if to != i else None] += 1
     assert Counter(tuple(x)[:5] for x in query(spark, "op10_warc_dictionary", str(tmp_path))) == want
+
+
+def test_op10_null_and_repeated_ids(spark, tmp_path):
+    big, other = "<p>" + "b" * 1200, "<p>" + "c" * 1200
+    rows = [(7, "u", big), (7, "u", big), (None, "u", big), (3, None, big), (None, "v", other), (None, "v", other), (None, None, None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = Counter((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in query(spark, "op10_warc_dictionary", str(tmp_path)))
+    assert got == {(7, 1203, "response", None): 2, (None, 1203, "revisit", 7): 1, (3, 1203, "revisit", 7): 1, (None, 1203, "response", None): 2, (None, 0, "response", None): 1}
