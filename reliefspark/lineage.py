@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import time
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: str | None = None
+_run = uuid.uuid4().hex
+_used: dict[str, SparkSession] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,9 +29,25 @@ def shared_folder(spark: SparkSession) -> str:
     return base if ":" in base.split("/")[0] else f"file://{base}"
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder, in this driver's own part of it, which goes when its Python ends."""
+    run = f"{shared_folder(spark).rstrip('/')}/relief-{_run}"
+    if not _used:
+        atexit.register(_tidy)
+    _used[run] = spark
+    return f"{run}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _tidy() -> None:
+    for folder, spark in _used.items():
+        with suppress(Exception):  # the session may have ended
+            if spark.sparkContext._jsc is not None:
+                clean(spark, folder)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df written as Parquet and read again: later rounds start from files, whatever executor is lost."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/rounds/{uuid.uuid4().hex}"
+    path = fresh_folder(df.sparkSession, "round")
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._relief_path = path

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from .. import adapters as A
-from ..lineage import shared_folder
+from ..lineage import fresh_folder
 from ..sources import las, meshes
 from .registry import query
 
 
 def _folder(spark, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/files/{name}-{uuid.uuid4().hex}"
+    return fresh_folder(spark, name)
 
 
 @query("las_roundtrip", f"WITH {A.PTS} SELECT x, y, z, classification, scan_angle, source_id, gps_time FROM pts")
