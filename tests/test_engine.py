@@ -197,6 +197,27 @@ def test_las_new_format_record():
         las.parse_header(b"nope" + bytes(600))
 
 
+@pytest.mark.parametrize("fmt", [1, 3, 6])
+def test_las_source_ids_over_16_bits(spark, tmp_path, fmt):
+    """Formats 1 and 3 keep source ids that need more than the record's 16 bits; files without such ids stay as they were."""
+    from reliefspark.sources import las
+
+    ids = [0, 65535, 65536, 90000, 2**31 - 1]
+    p = spark.range(50).selectExpr("id x", "-id y", "id z", "2 classification", "cast(id % 7 - 3 as int) scan_angle", f"array({', '.join(map(str, ids))})[cast(id % 5 as int)] source_id", "cast(id as double) gps_time")
+    at = f"file://{tmp_path}/wide"
+    made = [r["uri"] for r in las.write(p.coalesce(1), at, fmt, records=20).collect()]
+    mask = 0xFFFF if fmt == 6 else -1
+    want = [(k, ids[k % 5] & mask, -k) for k in range(50)]
+    spark.dataSource.register(las.LasSource)
+    for rows in (las.read(spark, made, records=6), spark.read.format("las").option("records", 6).load(at)):
+        assert sorted((r["x"], r["source_id"], r["y"]) for r in rows.collect()) == want
+    one = {c: np.zeros(2, int) for c in ("x", "y", "z", "classification", "scan_angle", "gps_time")}
+    assert len(las.encode(one | {"source_id": np.array([0, 65535])}, fmt=1)) == 227 + 2 * 28
+    if fmt < 6:
+        with pytest.raises(ValueError):
+            las.encode(one | {"source_id": np.array([0, 2**31])}, fmt=fmt)
+
+
 @pytest.mark.parametrize("kind", ["ply", "obj", "mesh"])
 def test_mesh_files(kind):
     from reliefspark.sources import meshes
