@@ -218,6 +218,19 @@ def test_las_source_ids_over_16_bits(spark, tmp_path, fmt):
             las.encode(one | {"source_id": np.array([0, 2**31])}, fmt=fmt)
 
 
+def test_las_roundtrip_of_large_source_ids(spark, tmp_path):
+    """The query on events whose user ids need more than 16 bits."""
+    from pyspark.sql import functions as F
+
+    from reliefspark import adapters as A
+    from reliefspark.plans.registry import QUERIES
+
+    A.table(spark, DATA, "events").limit(500).withColumn("user_id", F.col("event_id") * 200).write.parquet(f"{tmp_path}/events.parquet")
+    got = QUERIES["las_roundtrip"](spark, str(tmp_path))
+    want = A.pts(spark, str(tmp_path)).select(*got.columns)
+    assert want.agg(F.max("source_id")).first()[0] > 65535 and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
 @pytest.mark.parametrize("kind", ["ply", "obj", "mesh"])
 def test_mesh_files(kind):
     from reliefspark.sources import meshes
