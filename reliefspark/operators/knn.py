@@ -1,13 +1,17 @@
-"""Nearest neighbours by grid-bucket equi-joins with an exactness certificate.
+"""Nearest neighbours in grid blocks with an exactness certificate.
 
-Points fall into cubic cells; a query meets the points of the 27 cells around its own.  A
-query is settled when it has k neighbours and the k-th is strictly nearer than the edge of
-those cells, so that nothing outside can tie with it.  The others go on with cells twice
-as wide, until the 27 cells cover the data.  Ties go to the smaller neighbour id.
+Points fall into cubic blocks, and into those whose margin they lie in; a query meets the points of
+its own block.  It is settled when it has k neighbours and the k-th is strictly nearer than the edge
+of the block's margin, so that nothing outside can tie with it.  The others go on with blocks twice
+as wide, until a margin covers the data.  Ties go to the smaller neighbour id.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,6 +20,9 @@ from ..lineage import cut
 
 AXES = ("x", "y", "z")
 
+#: Margins to a block's width, queries that look together, rows that one block may hold; beyond that, rounds are joins on cells.
+BLOCK, LEAF, MOST_ROWS = 4, 64, 4_000_000
+
 
 def distance(metric: str, a: list[Column], b: list[Column]) -> Column:
     """Comparable distance: `l2` squared, `l1` the sum of differences."""
@@ -83,9 +90,10 @@ def _around(df: DataFrame) -> DataFrame:
     return df.withColumn("d", F.explode(steps)).select(*[c for c in df.columns if c not in ("cx", "cy", "cz")], *[(F.col(f"c{a}") + F.col(f"d.d{a}")).alias(f"c{a}") for a in AXES])
 
 
-def cell_width(points: DataFrame, k: int) -> tuple[float, float]:
-    """(width at which a cell holds about k points of a surface, extent): three scalars come to the driver."""
-    r = points.agg(F.count("*").alias("n"), *[f(a).alias(f"{n}{a}") for a in AXES for n, f in (("lo", F.min), ("hi", F.max))]).first()
+def cell_width(points: DataFrame, k: int, key: str | None = None) -> tuple[float, float]:
+    """(width at which a cell holds about k points of a surface, extent): a few scalars come to the driver. key: of its value with the most points."""
+    of = points.groupBy(*[key] if key else []).agg(F.count("*").alias("n"), *[f(a).alias(f"{n}{a}") for a in AXES for n, f in (("lo", F.min), ("hi", F.max))])
+    r = of.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), *[f(f"{n}{a}").alias(f"{n}{a}") for a in AXES for n, f in (("lo", F.min), ("hi", F.max))]).first()
     if not r["n"]:
         return 1.0, 0.0
     sides = sorted((r[f"hi{a}"] - r[f"lo{a}"] for a in AXES), reverse=True)
@@ -93,14 +101,101 @@ def cell_width(points: DataFrame, k: int) -> tuple[float, float]:
     return max((extent * max(sides[1], extent * 1e-3) * k / r["n"]) ** 0.5, extent * 1e-6), extent
 
 
+def _leaves(at: np.ndarray, rows: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows in groups of at most LEAF near each other, halved at the middle of their longest side."""
+    held = [rows]
+    while held:
+        r = held.pop()
+        if len(r) <= LEAF:
+            yield r
+            continue
+        axis = int(np.argmax(np.ptp(at[r], axis=0)))
+        r = r[np.argpartition(at[r, axis], len(r) // 2)]
+        held += [r[: len(r) // 2], r[len(r) // 2 :]]
+
+
+def nearest(at: np.ndarray, to: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row of `at`, id, squared distance, rank from 1) of the k nearest of `to` (ids) to each row of `at`; equal distances by id.
+
+    A leaf's queries meet the points within r of its box; r doubles until each has k points within r, or all points are met.
+    """
+    by_x = np.argsort(to[:, 0], kind="stable")
+    to, ids = to[by_x], ids[by_x]
+    out = []
+    for rows in _leaves(at, np.arange(len(at))) if len(to) else ():
+        q = at[rows]
+        low, high = q.min(0), q.max(0)
+        r = max(float((high - low).max()), 1e-12)
+        while True:
+            a, b = np.searchsorted(to[:, 0], [low[0] - r, high[0] + r])
+            near = to[a:b]
+            inside = np.flatnonzero(((near[:, 1:] >= low[1:] - r) & (near[:, 1:] <= high[1:] + r)).all(1)) + a
+            every = len(inside) == len(to)
+            if every or len(inside) >= k:
+                most = max(1, 2_000_000 // len(inside))
+                parts, missed = [], False
+                for s in range(0, len(q), most):
+                    d = [q[s : s + most, None, c] - to[None, inside, c] for c in range(3)]
+                    d2 = d[0] * d[0] + d[1] * d[1] + d[2] * d[2]
+                    n = min(k, len(inside))
+                    last = np.partition(d2, n - 1, axis=1)[:, n - 1]
+                    if not every and not (last < (r * (1 - 1e-9)) ** 2).all():
+                        missed = True
+                        break
+                    i, j = np.nonzero(d2 <= last[:, None])
+                    parts.append((i + s, ids[inside[j]], d2[i, j]))
+                if not missed:
+                    break
+            r *= 2
+        i, nbr, d2 = (np.concatenate(c) for c in zip(*parts, strict=True))
+        o = np.lexsort((nbr, d2, i))
+        i, nbr, d2 = i[o], nbr[o], d2[o]
+        rank = np.arange(len(i)) - np.searchsorted(i, i) + 1
+        kept = rank <= k
+        out.append((rows[i[kept]], nbr[kept], d2[kept], rank[kept]))
+    if not out:
+        return np.zeros(0, int), ids[:0], np.zeros(0), np.zeros(0, int)
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+def _near_in_blocks(left: DataFrame, p: DataFrame, h: float, k: int, own: list[str], final: bool, all_left: bool) -> DataFrame | None:
+    """(pid, nbr, d2, rank) of the queries that blocks with margin h settle (all, if final); None if a block would hold too many points."""
+    w, cube = BLOCK * h, ["bx", "by", "bz"]
+    q = left.dropna(subset=list(AXES)).withColumns({f"b{a}": F.floor(F.col(a) / F.lit(w)) for a in AXES})
+    p = p.dropna(subset=[f"n{a}" for a in AXES])
+    for a in AXES:
+        p = p.withColumn(f"b{a}", F.explode(F.sequence(F.floor((F.col(f"n{a}") - F.lit(h)) / F.lit(w)), F.floor((F.col(f"n{a}") + F.lit(h)) / F.lit(w)))))
+    if not all_left:
+        p = p.join(q.select(*own, *cube).distinct(), [*own, *cube], "left_semi")
+    most = max((d.groupBy(*own, *cube).count().agg(F.max("count")).first()[0] or 0) for d in (q, p))
+    if most > MOST_ROWS:
+        return None
+
+    def run(one: pa.Table, other: pa.Table) -> pa.Table:
+        at = np.stack([one[a].to_numpy() for a in AXES], 1) if one.num_rows else np.zeros((0, 3))
+        to = np.stack([other[f"n{a}"].to_numpy() for a in AXES], 1) if other.num_rows and one.num_rows else np.zeros((0, 3))
+        row, nbr, d2, rank = nearest(at, to, other["nbr"].to_numpy()[: len(to)], k)
+        if not final and len(row):
+            block = np.array([one[c][0].as_py() for c in cube])
+            edge = np.minimum(at - (block * w - h), (block + 1) * w + h - at).min(1) * (1 - 1e-9)
+            full = np.zeros(len(at), bool)
+            full[row[(rank == k) & (d2 < edge[row] ** 2)]] = True
+            kept = full[row]
+            row, nbr, d2, rank = row[kept], nbr[kept], d2[kept], rank[kept]
+        return pa.table({"pid": one["pid"].to_numpy()[row], "nbr": nbr, "d2": d2, "rank": rank.astype(np.int32)})
+
+    kinds = f"pid {left.schema['pid'].dataType.simpleString()}, nbr {p.schema['nbr'].dataType.simpleString()}, d2 double, rank int"
+    return q.select("pid", *AXES, *own, *cube).groupBy(*own, *cube).cogroup(p.groupBy(*own, *cube)).applyInArrow(run, kinds)
+
+
 def knn(queries: DataFrame, points: DataFrame, k: int = 15, width: float | None = None, key: str | None = None) -> DataFrame:
     """(pid, nbr, d2, rank) of each query (pid, x, y, z) among points (pid, x, y, z), itself included if there.
 
     key: a column of both, such as a tile, within which neighbours are sought; pids are unique over all keys.
-    Fewer than k points give fewer rows. Each round is one equi-join on cells and one
-    window with its group limit; only unsettled queries go on, from a written table.
+    Fewer than k points give fewer rows. Each round deals queries and points out by blocks; where a block would hold
+    too many, it is one equi-join on cells and one window. Only unsettled queries go on, from a written table.
     """
-    auto, extent = cell_width(points, k)
+    auto, extent = cell_width(points, k, key)
     h = width or auto
     own = [key] if key else []
     p = points.select(*own, F.col("pid").alias("nbr"), *[F.col(a).alias(f"n{a}") for a in AXES])
@@ -108,14 +203,9 @@ def knn(queries: DataFrame, points: DataFrame, k: int = 15, width: float | None
     out: DataFrame | None = None
     while True:
         final = h > extent
-        q = _around(_cells(left, h, ""))
-        j = q.join(_cells(p, h, "n"), [*own, "cx", "cy", "cz"]).withColumn("d2", distance("l2", [F.col(a) for a in AXES], [F.col(f"n{a}") for a in AXES]))
-        w = Window.partitionBy("pid").orderBy("d2", "nbr")
-        top = j.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-        edge = F.least(*[F.least(F.col(a) - (F.floor(F.col(a) / F.lit(h)) - 1) * F.lit(h), (F.floor(F.col(a) / F.lit(h)) + 2) * F.lit(h) - F.col(a)) for a in AXES])
-        last = F.max(F.when(F.col("rank") == k, F.col("d2"))).over(Window.partitionBy("pid"))
-        top = top.withColumn("settled", F.lit(True) if final else F.coalesce(last < edge * edge, F.lit(False)))
-        done = cut(top.filter("settled").select("pid", "nbr", "d2", "rank"))
+        done = _near_in_blocks(left, p, h, k, own, final, out is None)
+        done = _near_in_cells(left, p, h, k, own, final) if done is None else done
+        done = cut(done)
         out = done if out is None else out.unionByName(done)
         if final:
             return out
@@ -125,6 +215,18 @@ def knn(queries: DataFrame, points: DataFrame, k: int = 15, width: float | None
         h *= 2
 
 
+def _near_in_cells(left: DataFrame, p: DataFrame, h: float, k: int, own: list[str], final: bool) -> DataFrame:
+    """As _near_in_blocks(), with the points of the 27 cells around a query's: no task holds a cell's points."""
+    q = _around(_cells(left, h, ""))
+    j = q.join(_cells(p, h, "n"), [*own, "cx", "cy", "cz"]).withColumn("d2", distance("l2", [F.col(a) for a in AXES], [F.col(f"n{a}") for a in AXES]))
+    w = Window.partitionBy("pid").orderBy("d2", "nbr")
+    top = j.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    edge = F.least(*[F.least(F.col(a) - (F.floor(F.col(a) / F.lit(h)) - 1) * F.lit(h), (F.floor(F.col(a) / F.lit(h)) + 2) * F.lit(h) - F.col(a)) for a in AXES])
+    last = F.max(F.when(F.col("rank") == k, F.col("d2"))).over(Window.partitionBy("pid"))
+    top = top.withColumn("settled", F.lit(True) if final else F.coalesce(last < edge * edge, F.lit(False)))
+    return top.filter("settled").select("pid", "nbr", "d2", "rank")
+
+
 def within(queries: DataFrame, points: DataFrame, radius: float, metric: str = "l2") -> DataFrame:
     """(pid, nbr, d) of all points nearer than the radius; d is the metric's distance, squared for l2."""
     q = _around(_cells(queries.select("pid", *AXES), radius, ""))

@@ -516,6 +516,30 @@ def test_region_is_its_tiles(spark):
         assert mine == want and len(mine) > 400
 
 
+@pytest.mark.parametrize("n, m, k", [(500, 700, 15), (300, 5, 15), (1000, 1000, 1)])
+def test_nearest_in_a_block(n, m, k):
+    """The block's search is brute force's, equal distances by id."""
+    from reliefspark.operators import knn
+
+    rng = np.random.default_rng(n)
+    at, to, ids = (np.round(rng.random((n, 3)) * (1, 1, 0.1), 2), np.round(rng.random((m, 3)) * (1, 1, 0.1), 2), rng.permutation(m))
+    want = []
+    for i in range(n):
+        d = at[i] - to
+        d2 = d[:, 0] * d[:, 0] + d[:, 1] * d[:, 1] + d[:, 2] * d[:, 2]
+        want += [(i, int(ids[j]), float(d2[j]), r + 1) for r, j in enumerate(np.lexsort((ids, d2))[:k])]
+    assert sorted(zip(*(c.tolist() for c in knn.nearest(at, to, ids, k)), strict=True)) == sorted(want)
+
+
+def test_cell_width_of_the_fullest_tile(spark):
+    """With a key the width fits its points, not those of all tiles together."""
+    from reliefspark.operators import knn
+
+    p = spark.range(900).selectExpr("id pid", "id % 9 tile", "(id * 7 % 101) / 101D x", "(id * 31 % 103) / 103D y", "0D z")
+    one = knn.cell_width(p.filter("tile = 0"), 15)[0]
+    assert abs(knn.cell_width(p, 15, "tile")[0] / one - 1) < 0.1 and knn.cell_width(p, 15)[0] < one / 2
+
+
 def test_stage_times_and_cleaning(spark, tmp_path):
     from reliefspark import lineage
 
