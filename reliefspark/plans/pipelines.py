@@ -10,6 +10,24 @@ from ..operators import clean, flightlines, grid, knn, mesh, normals, points, si
 from ..schema import HALO_CM, NONE, TILE_CM
 
 
+def _oriented(p: DataFrame, lines: DataFrame, k: int, tolerance: float, use_scan: bool, most: int) -> DataFrame:
+    """Written points (tile, pid, x, y, z, source_id, scan_angle, ...) with nx, ny, nz, qual, orient.
+
+    A task searches and another propagates in a whole tile; beyond normals.MOST_ROWS points a tile, both are joins.
+    """
+    state = normals.planes(p, k, "tile")
+    whole = state is not None
+    if not whole:
+        near = knn.knn(p, p, k, key="tile")
+        state = p.join(normals.fit_planes(normals.covariance(near, p), p), "pid")
+    columns = state.columns
+    state = state.withColumn("orient", F.lit(NONE)).join(lines.drop("n"), "source_id", "left")
+    if use_scan:
+        state = normals.orient_by_beam(state)
+    state = normals.orient_up(state).select(*columns, "orient")
+    return normals.propagate_lists(state, "tile", tolerance, most) if whole else normals.propagate(state, near, tolerance, most)
+
+
 def oriented_points(raw: DataFrame, k: int = 15, tolerance: float = 0.85, use_scan: bool = True, most: int = 99) -> DataFrame:
     """Points (pid, x, y, z in cm, source_id, scan_angle, gps_time) of one tile with normals, quality, state and colour.
 
@@ -18,13 +36,7 @@ def oriented_points(raw: DataFrame, k: int = 15, tolerance: float = 0.85, use_sc
     lines = flightlines.flight_lines(raw)
     cube = points.to_unit_cube(raw, points.unit_cube_transform(raw))
     p = cut(cube.select("pid", F.col("px").alias("x"), F.col("py").alias("y"), F.col("pz").alias("z"), "source_id", "scan_angle"))
-    near = knn.knn(p, p, k)
-    fit = normals.fit_planes(normals.covariance(near, p), p)
-    state = p.join(fit, "pid").withColumn("orient", F.lit(NONE)).join(lines.drop("n"), "source_id", "left")
-    if use_scan:
-        state = normals.orient_by_beam(state)
-    state = normals.orient_up(state).select("pid", "x", "y", "z", "nx", "ny", "nz", "qual", "orient")
-    state = normals.propagate(state, near, tolerance, most)
+    state = _oriented(p.withColumn("tile", F.lit(0)), lines, k, tolerance, use_scan, most).drop("tile", "source_id", "scan_angle")
     return points.quality_rgb(points.weight_normals(state))
 
 

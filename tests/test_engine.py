@@ -512,6 +512,34 @@ def test_rounding_orients_no_point_without_quality(spark):
     assert {r["pid"]: r["orient"] for r in normals.propagate(state, near).collect()} == {1: 0, 2: 6, 3: 4}
 
 
+def test_rounding_of_equal_normals_is_the_sqls(spark, tmp_path):
+    """Points without quality that share their neighbours with a good one follow it where the SQL's rounding has them do so, and nowhere else."""
+    import duckdb
+
+    from reliefspark.plans.registry import ORACLES, QUERIES
+
+    rng = np.random.default_rng(7)
+    ids = np.arange(100_000)
+    x, y = ids * 7919 % 100000, ids * 104729 % 100000
+    rows = []
+    for a in range(6):
+        for b in range(6):
+            ax, ay = 5000 + 16000 * a, 5000 + 16000 * b
+            own = ids[(abs(x - ax) < 2000) & (abs(y - ay) < 2000)]
+            own = own[np.argsort((x[own] - ax) ** 2 + (y[own] - ay) ** 2, kind="stable")][:15]
+            for n, i in enumerate(own.tolist()):
+                # A flat cluster with its middle point far above it.
+                z = -(int(x[i]) // 4 + int(y[i]) // 9) + int(rng.integers(0, 20)) + 400 * (n == 0)
+                rows.append((i, [z / 3000.0, 0.0]))
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1).write.parquet(f"file://{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    want = {r[0]: (r[-2], r[-1]) for r in con.execute(ORACLES["oriented_points"]).fetchall()}
+    got = {r["pid"]: (r["qual"], r["orient"]) for r in QUERIES["oriented_points"](spark, str(tmp_path)).collect()}
+    assert sum(q == 0 and o >= 3 for q, o in want.values()) > 0
+    assert got == want
+
+
 def test_region_is_its_tiles(spark):
     """All tiles at once give what each tile with its halo gives alone."""
     from pyspark.sql import functions as F
