@@ -117,42 +117,42 @@ def _leaves(at: np.ndarray, rows: np.ndarray) -> Iterator[np.ndarray]:
 def nearest(at: np.ndarray, to: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row of `at`, id, squared distance, rank from 1) of the k nearest of `to` (ids) to each row of `at`; equal distances by id.
 
-    A leaf's queries meet the points within r of its box; r doubles until each has k points within r, or all points are met.
+    A leaf's queries meet the points within r of its box; those with k of them nearer than r are settled, and r doubles
+    for the others until all points are met.
     """
     by_x = np.argsort(to[:, 0], kind="stable")
-    to, ids = to[by_x], ids[by_x]
+    ids = ids[by_x]
+    x, y, z = (np.ascontiguousarray(to[by_x, c]) for c in range(3))
     out = []
     for rows in _leaves(at, np.arange(len(at))) if len(to) else ():
-        q = at[rows]
-        low, high = q.min(0), q.max(0)
-        r = max(float((high - low).max()), 1e-12)
-        while True:
-            a, b = np.searchsorted(to[:, 0], [low[0] - r, high[0] + r])
-            near = to[a:b]
-            inside = np.flatnonzero(((near[:, 1:] >= low[1:] - r) & (near[:, 1:] <= high[1:] + r)).all(1)) + a
-            every = len(inside) == len(to)
-            if every or len(inside) >= k:
-                most = max(1, 2_000_000 // len(inside))
-                parts, missed = [], False
-                for s in range(0, len(q), most):
-                    d = [q[s : s + most, None, c] - to[None, inside, c] for c in range(3)]
-                    d2 = d[0] * d[0] + d[1] * d[1] + d[2] * d[2]
-                    n = min(k, len(inside))
-                    last = np.partition(d2, n - 1, axis=1)[:, n - 1]
-                    if not every and not (last < (r * (1 - 1e-9)) ** 2).all():
-                        missed = True
-                        break
-                    i, j = np.nonzero(d2 <= last[:, None])
-                    parts.append((i + s, ids[inside[j]], d2[i, j]))
-                if not missed:
-                    break
-            r *= 2
-        i, nbr, d2 = (np.concatenate(c) for c in zip(*parts, strict=True))
-        o = np.lexsort((nbr, d2, i))
-        i, nbr, d2 = i[o], nbr[o], d2[o]
-        rank = np.arange(len(i)) - np.searchsorted(i, i) + 1
-        kept = rank <= k
-        out.append((rows[i[kept]], nbr[kept], d2[kept], rank[kept]))
+        r = max(float(np.ptp(at[rows], axis=0).max()) / 2, 1e-12)
+        while len(rows):
+            q = at[rows]
+            low, high = q.min(0) - r, q.max(0) + r
+            a, b = np.searchsorted(x, [low[0], high[0]])
+            inside = np.flatnonzero((y[a:b] >= low[1]) & (y[a:b] <= high[1]) & (z[a:b] >= low[2]) & (z[a:b] <= high[2])) + a
+            every = len(inside) == len(x)
+            r, reach = 2 * r, (r * (1 - 1e-9)) ** 2
+            if not every and len(inside) < k:
+                continue
+            near, names, n = (x[inside], y[inside], z[inside]), ids[inside], min(k, len(inside))
+            most, left = max(1, 2_000_000 // len(inside)), []
+            for s in range(0, len(q), most):
+                some = rows[s : s + most]
+                d = [q[s : s + most, None, c] - near[c] for c in range(3)]
+                d2 = d[0] * d[0] + d[1] * d[1] + d[2] * d[2]
+                last = np.partition(d2, n - 1, axis=1)[:, n - 1]
+                if not every:
+                    left.append(some[last >= reach])
+                    last[last >= reach] = -1.0
+                i, j = np.nonzero(d2 <= last[:, None])
+                nbr, d2 = names[j], d2[i, j]
+                o = np.lexsort((nbr, d2, i))
+                i, nbr, d2 = i[o], nbr[o], d2[o]
+                rank = np.arange(len(i)) - np.searchsorted(i, i) + 1
+                kept = rank <= k
+                out.append((some[i[kept]], nbr[kept], d2[kept], rank[kept]))
+            rows = np.concatenate(left) if left else rows[:0]
     if not out:
         return np.zeros(0, int), ids[:0], np.zeros(0), np.zeros(0, int)
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))

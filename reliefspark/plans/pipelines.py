@@ -41,7 +41,7 @@ def oriented_points(raw: DataFrame, k: int = 15, tolerance: float = 0.85, use_sc
 
 
 #: Ids of a tile's points and sources are counted on from these multiples of the tile's number.
-POINTS_A_TILE, SOURCES_A_TILE = 1 << 40, 1 << 17
+POINTS_A_TILE, SOURCES_A_TILE = 1 << 40, 1 << 40
 
 
 def with_halo(points_: DataFrame) -> DataFrame:
@@ -71,17 +71,12 @@ def region_points(raw: DataFrame, k: int = 15, tolerance: float = 0.85, use_scan
     side = (F.col("hx") - F.col("tile_x") + 1) * 3 + F.col("hy") - F.col("tile_y") + 1
     p = p.withColumns({"id": (F.col("tile") * 9 + side) * F.lit(POINTS_A_TILE // 16) + F.col("pid"), "source": F.col("tile") * SOURCES_A_TILE + F.col("source_id")}).drop("hx", "hy")
     p = cut(p)
-    flat = p.select("tile", F.col("id").alias("pid"), "x", "y", "z", F.col("source").alias("source_id"), "scan_angle", "gps_time")
+    flat = p.select("tile", F.col("id").alias("pid"), "x", "y", "z", F.col("source").alias("source_id"), "scan_angle", "gps_time", F.col("pid").alias("point"), "own")
     lines = flightlines.flight_lines(flat)
     cube = points.to_unit_cube(flat, points.unit_cube_transform(flat, "tile"), "tile")
-    c = cut(cube.select("tile", "pid", F.col("px").alias("x"), F.col("py").alias("y"), F.col("pz").alias("z"), "source_id", "scan_angle"))
-    near = knn.knn(c, c, k, key="tile")
-    state = c.join(normals.fit_planes(normals.covariance(near, c), c), "pid").withColumn("orient", F.lit(NONE)).join(lines.drop("n"), "source_id", "left")
-    if use_scan:
-        state = normals.orient_by_beam(state)
-    state = normals.orient_up(state).select("tile", "pid", "x", "y", "z", "nx", "ny", "nz", "qual", "orient")
-    state = points.drop_unoriented(normals.propagate(state, near, tolerance, most))
-    done = points.weight_normals(state).join(p.select(F.col("id").alias("pid"), F.col("pid").alias("point"), "own"), "pid")
+    c = cut(cube.select("tile", "pid", F.col("px").alias("x"), F.col("py").alias("y"), F.col("pz").alias("z"), "source_id", "scan_angle", "point", "own"))
+    done = _oriented(c, lines, k, tolerance, use_scan, most).select("tile", "pid", "x", "y", "z", "nx", "ny", "nz", "qual", "orient", "point", "own")
+    done = points.weight_normals(points.drop_unoriented(done))
     ends = number.select("tile").withColumn("e", F.explode(F.array(F.lit(0.0), F.lit(1.0)))).select("tile", *[F.col("e").alias(a) for a in "xyz"], *[F.lit(0.0).alias(n) for n in ("nx", "ny", "nz", "qual")])
     rows = done.drop("pid").withColumnRenamed("point", "pid").unionByName(ends, allowMissingColumns=True)
     return points.quality_rgb(rows).join(number, "tile").drop("tile")

@@ -564,6 +564,26 @@ def test_region_is_its_tiles(spark):
         assert mine == want and len(mine) > 400
 
 
+def test_passes_of_a_region_are_no_jobs(spark):
+    """All passes of a tile are made in one task, so the jobs stay few; sources of large ids stay apart."""
+    from reliefspark.plans import pipelines
+
+    rng = np.random.default_rng(3)
+    raw = spark.createDataFrame(
+        [(t, 0, k, int(rng.integers(20000, 80000)), int(rng.integers(20000, 80000)), int(rng.integers(0, 9000)), 200_000 - 131_072 * t, int(rng.integers(-20, 20)), float(k), 2) for t in (0, 1) for k in range(600)],
+        "tile_x int, tile_y int, pid long, x long, y long, z long, source_id int, scan_angle int, gps_time double, classification int",
+    )
+    spark.sparkContext.setJobGroup("region", "region")
+    try:
+        got = pipelines.region_points(raw).collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("region")) < 60
+    for t in (0, 1):
+        one = pipelines.region_points(raw.filter(f"tile_x = {t}")).collect()
+        assert sorted((r["pid"], r["orient"]) for r in one if r["own"]) == sorted((r["pid"], r["orient"]) for r in got if r["own"] and r["tile_x"] == t)
+
+
 @pytest.mark.parametrize("n, m, k", [(500, 700, 15), (300, 5, 15), (1000, 1000, 1)])
 def test_nearest_in_a_block(n, m, k):
     """The block's search is brute force's, equal distances by id."""
