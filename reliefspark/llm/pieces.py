@@ -20,6 +20,9 @@ _CUTS = re.compile(r"\s*\S+|\s+")
 #: Letters after which a final comma or full stop is a pre-token of its own; none of them changes into
 #: a base and a mark when lower-cased.
 _PLAIN = frozenset(c for c in map(chr, range(0x41, 0x250)) if c.isalpha() and c != "İ")
+#: A space and letters that normalizers leave composed and splitting patterns keep together.
+_WORD = re.compile(r" [A-Za-zÀ-ÖØ-öø-ÿ]+")
+_LETTERS = frozenset(c for c in map(chr, range(0x41, 0x100)) if _WORD.fullmatch(" " + c))
 #: Longer pieces are not kept.
 LONGEST_KEPT = 48
 
@@ -95,12 +98,45 @@ def library_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
             a.byteswap()
         return a.tobytes()
 
+    spelled = _word_spelling(t)
+    if spelled is None:
+        return lambda texts: [as_bytes(e.ids) for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+    lead, letters = spelled
+    tokenize, is_word = t.model.tokenize, _WORD.fullmatch
+
     def encode_many(texts: list[str]) -> list[bytes]:
-        return [as_bytes(e.ids) for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+        out = [as_bytes([x.id for x in tokenize(lead + w[1:].translate(letters))]) if is_word(w) else None for w in texts]
+        rest = [k for k, ids in enumerate(out) if ids is None]
+        for k, e in zip(rest, t.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False), strict=True):
+            out[k] = as_bytes(e.ids)
+        return out
 
     return encode_many
 
 
+def _word_spelling(t) -> tuple[str, dict[int, str]] | None:
+    """What the tokenizer t hands its model for a space and for each of the plain letters behind it; None if that cannot be told.
+
+    A word of such letters behind a space is one pre-token, so that the model alone gives its ids.
+    """
+
+    def spelling(text: str) -> str | None:
+        got = t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(text) if t.normalizer is not None else text)
+        return got[0][0] if len(got) == 1 else None
+
+    if t.pre_tokenizer is None or any(_LETTERS.intersection(a.content) for a in t.get_added_tokens_decoder().values() if not a.special):
+        return None
+    letters, behind = {ord(c): spelling(c) for c in sorted(_LETTERS)}, spelling(" a")
+    if None in letters.values() or behind is None or not behind.endswith(letters[ord("a")]):
+        return None
+    lead = behind.removesuffix(letters[ord("a")])
+    every = "".join(sorted(_LETTERS))
+    for word in (every, every[::-1], *(a + b for a in "aZé" for b in every), *(b + a for a in "aZé" for b in every)):
+        if spelling(" " + word) != lead + word.translate(letters) or [x.id for x in t.model.tokenize(lead + word.translate(letters))] != t.encode(" " + word, add_special_tokens=False).ids:
+            return None
+    return lead, letters
+
+
 _caches: dict[str, PieceCache] = {}
 
 

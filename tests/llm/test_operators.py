@@ -508,3 +508,20 @@ def test_stages_with_clashing_columns(spark, tmp_path):
             rows = out.collect()
             assert name == "best_fit_packing" or out.columns == docs.columns
             assert d is docs or not rows
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_go_to_the_model_alone(name):
+    """Words of plain letters skip the library's splitting and have its ids; everything else goes through it."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from reliefspark.llm import pieces
+
+    path = public_tokenizers.path(name)
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    assert pieces._word_spelling(t) is not None
+    texts = [" word", " Straße", " ÉTÉ", " niñoÿ", " a", " İx", " don't", "word", "\nword", " x1", " <|endoftext|>", " naïve", " ...", " 日本", ""]
+    want = [np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    assert pieces.library_encoder(path)(texts) == want
