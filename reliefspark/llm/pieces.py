@@ -20,6 +20,8 @@ _CUTS = re.compile(r"\s*\S+|\s+")
 #: Letters after which a final comma or full stop is a pre-token of its own; none of them changes into
 #: a base and a mark when lower-cased.
 _PLAIN = frozenset(c for c in map(chr, range(0x41, 0x250)) if c.isalpha() and c != "İ")
+#: Final punctuation that is a pre-token of its own behind a letter of Latin-1.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: A space and letters that normalizers leave composed and splitting patterns keep together.
 _WORD = re.compile(r" [A-Za-zÀ-ÖØ-öø-ÿ]+")
 _LETTERS = frozenset(c for c in map(chr, range(0x41, 0x100)) if _WORD.fullmatch(" " + c))
@@ -27,6 +29,13 @@ _LETTERS = frozenset(c for c in map(chr, range(0x41, 0x100)) if _WORD.fullmatch(
 LONGEST_KEPT = 48
 
 
+def single_spaced(text: str) -> str | None:
+    """text with a space before each line feed, if its cuts are then the parts between single spaces."""
+    spread = text.replace("\n", " \n")
+    plain = text.replace("\n", "").isprintable() or not _ODD.search(text)
+    return spread if plain and "  " not in spread and "\n " not in spread and not spread.endswith((" ", "\n")) else None
+
+
 class PieceCache:
     """encode_many(strings) gives each one's ids as bytes; most: pieces kept at a time."""
 
@@ -38,9 +47,8 @@ class PieceCache:
 
     def _pieces(self, text: str) -> list[str] | None:
         """Keys of the text's cuts: without its leading space, with its leading line feed, else behind NUL and space."""
-        spread = text.replace("\n", " \n")
-        plain = text.replace("\n", "").isprintable() or not _ODD.search(text)
-        if plain and "  " not in spread and "\n " not in spread and not spread.endswith((" ", "\n")):
+        spread = single_spaced(text)
+        if spread is not None:
             cut = spread.split(" ")
             cut[0] = "\0 " + cut[0]  # a first piece has no space before it
             return cut
@@ -50,11 +58,30 @@ class PieceCache:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of little-endian unsigned 32-bit integers."""
+        cut = [self._pieces(t) for t in texts]
+        whole = [k for k, p in enumerate(cut) if p is None]
+        found = self.encode_many([texts[k] for k in whole]) if whole else []
+        long = self._learn(set().union(*(p for p in cut if p)))
+        get = self.known.__getitem__
+        out = [b"".join(map(get, p)) if p is not None else b"" for p in cut]
+        for k, ids in zip(whole, found, strict=True):
+            out[k] = ids
+        self._forget(long)
+        return out
+
+    def of_keys(self, keys: list[str]) -> list[bytes]:
+        """The ids of each of the keys that _pieces gives."""
+        long = self._learn(set(keys))
+        out = list(map(self.known.__getitem__, keys))
+        self._forget(long)
+        return out
+
+    def _learn(self, wanted: set[str]) -> list[str]:
+        """Makes the keys known; gives those too long to be kept."""
         if len(self.known) > self.most // 2:  # the last half's pieces stay at hand
             self.old, self.known = self.known, {}
         known, old, marks = self.known, self.old, self.marks
-        cut = [self._pieces(t) for t in texts]
-        new = set().union(*(p for p in cut if p)).difference(known)
+        new = wanted.difference(known)
         if old:
             for x in new & old.keys():
                 known[x] = old[x]
@@ -64,20 +91,16 @@ class PieceCache:
             body = x[:-1] if x[-1:] in marks and x[-2:-1] in _PLAIN else x
             if body not in known and (body == x or body not in new):
                 asked.append(body)
-        whole = [k for k, p in enumerate(cut) if p is None]
-        found = self.encode_many([(x if x[:1] == "\n" else " " + x) if x[:2] != "\0 " else x[2:] for x in asked] + [texts[k] for k in whole])
-        fresh = dict(zip(asked, found, strict=False))
+        found = self.encode_many([(x if x[:1] == "\n" else " " + x) if x[:2] != "\0 " else x[2:] for x in asked])
+        fresh = dict(zip(asked, found, strict=True))
         known.update(fresh)
         for x in new.difference(fresh):
             known[x] = known[x[:-1]] + marks[x[-1]]
-        get = known.__getitem__
-        out = [b"".join(map(get, p)) if p is not None else b"" for p in cut]
-        for k, ids in zip(whole, found[len(asked) :], strict=True):
-            out[k] = ids
-        for x in new:
-            if len(x) > LONGEST_KEPT:
-                known.pop(x, None)
-        return out
+        return [x for x in new if len(x) > LONGEST_KEPT]
+
+    def _forget(self, keys: list[str]) -> None:
+        for x in keys:
+            self.known.pop(x, None)
 
 
 def library_encoder(path: str) -> Callable[[list[str]], list[bytes]]:

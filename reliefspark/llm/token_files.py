@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import frugal, open_filesystem, read_tasks, store, workspace
-from .pieces import library_encoder, worker_cache
+from .plain_words import slices, worker_encoder
 
 MAGIC = b"RPF1"
 BLOCK = 4096
@@ -165,15 +165,14 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int,
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = worker_cache(f"lib:{tokenizer}", lambda: library_encoder(tokenizer))
+        encoder = worker_encoder(tokenizer)
         context = TaskContext.get()
         part, attempt = context.partitionId(), context.taskAttemptId()
         end = int(end_id).to_bytes(4, "little")
         file, made = None, []
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                some = batch.slice(a, 500)
-                ids = cache.encode([t or "" for t in some.column("text").to_pylist()])
+            for some in slices(batch, "text"):
+                ids = encoder.encode([t or "" for t in some.column("text").to_pylist()])
                 for doc, x in zip(some.column("doc_id").to_pylist(), ids, strict=True):
                     if file is None:
                         file = TokenFile(f"{folder}/files/{part:06d}-{len(made):06d}-{attempt}.rpf")

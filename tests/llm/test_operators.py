@@ -525,3 +525,39 @@ def test_words_go_to_the_model_alone(name):
     texts = [" word", " Straße", " ÉTÉ", " niñoÿ", " a", " İx", " don't", "word", "\nword", " x1", " <|endoftext|>", " naïve", " ...", " 日本", ""]
     want = [np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
     assert pieces.library_encoder(path)(texts) == want
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_plain_words_are_merged_in_bulk(name):
+    """Texts encoded by columns have the library's ids, and no plain word is left to the cache of pieces."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from reliefspark.llm import pieces, plain_words
+
+    path = public_tokenizers.path(name)
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    r = random.Random(4)
+    letters = sorted(pieces._LETTERS)
+    words = ["".join(r.choices("etaoinshrdlu" if k % 3 else letters, k=r.randrange(1, 30))) + r.choice(["", "", ",", "***", ".\"", "'"]) for k in range(4000)]
+    texts = [r.choice(" \n").join(words[k : k + 50]) for k in range(0, len(words), 50)]
+    encoder = plain_words.ColumnEncoder(path)
+    want = lambda texts: [np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    assert encoder.encode(texts) == want(texts)
+    assert all(not k.strip("\0 ").strip(pieces._MARKS) for k in encoder.cache.known)
+    odd = ["", " ", " a", "a ", "a  b", "\n", "\na", "a\n\nb", "x\n y", "***", "\n*** ***", "a\0 b \0c", "don't we'll a' 's", "É× ÷a a÷ ŸŸ İ, Straße\nÉTÉ!!", "e\u0301 a \u0301", "a\x1cb c", "x1 1x 12.", "<|endoftext|> a<|endoftext|>", "日本語 テキスト。 a。", "a" * 249 + " " + "b" * 251 + " é" * 300, "ſ ª µ ß", "a\u00a0b", "a\r\nb"]
+    assert encoder.encode(odd) == want(odd)
+    assert encoder.encode([]) == [] and encoder.encode(["", ""]) == [b"", b""]
+
+
+def test_slices_keep_every_row():
+    import pyarrow as pa
+
+    from reliefspark.llm import plain_words
+
+    texts = ["a" * 10, None, "", "b" * 50, "é" * 6, None]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    parts = list(plain_words.slices(batch, "text", 20))
+    assert [x for p in parts for x in p.column("text").to_pylist()] == texts and [p.num_rows for p in parts] == [3, 1, 2]
+    assert not list(plain_words.slices(batch.slice(0, 0), "text"))
