@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import frugal, store, workspace
-from .pieces import library_encoder, worker_cache
+from .plain_words import slices, worker_encoder
 
 OPEN_BINS = 4096
 #: Pieces that one task packs, about: its last open bins are spread over that many.
@@ -74,13 +74,12 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int
     """(doc_id, piece, start, length, ids_crc32[, ids]) of docs (doc_id, text, ...)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = worker_cache(f"lib:{tokenizer}", lambda: library_encoder(tokenizer))
+        encoder = worker_encoder(tokenizer)
         end = int(end_id).to_bytes(4, "little")
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                some = batch.slice(a, 500)
+            for some in slices(batch, "text"):
                 rows = []
-                for doc, x in zip(some.column("doc_id").to_pylist(), cache.encode([t or "" for t in some.column("text").to_pylist()]), strict=True):
+                for doc, x in zip(some.column("doc_id").to_pylist(), encoder.encode([t or "" for t in some.column("text").to_pylist()]), strict=True):
                     x += end
                     for k, (s, n) in enumerate(cut(len(x) // 4, capacity)):
                         own = x[4 * s : 4 * (s + n)]

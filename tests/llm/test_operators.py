@@ -561,3 +561,27 @@ def test_slices_keep_every_row():
     parts = list(plain_words.slices(batch, "text", 20))
     assert [x for p in parts for x in p.column("text").to_pylist()] == texts and [p.num_rows for p in parts] == [3, 1, 2]
     assert not list(plain_words.slices(batch.slice(0, 0), "text"))
+
+
+def test_packing_merges_plain_words_in_bulk(spark):
+    """The packer's pieces have the library's ids, and no plain word is left to the cache of pieces."""
+    import pyarrow as pa
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from reliefspark.llm import packing, plain_words
+
+    class Rows:
+        select = lambda self, *a: self
+        mapInArrow = lambda self, run, schema: run
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    texts = ["Straße naïve words, and more.\nLine***", None, "plain " * 900 + "end", "x1  two\tthree"]
+    run = packing.tokenized_pieces(Rows(), path, 1024, 2, True)
+    got = [r for b in run(iter([pa.RecordBatch.from_pydict({"doc_id": pa.array(range(4), pa.int64()), "text": texts})])) for r in b.to_pylist()]
+    for doc, text in enumerate(texts):
+        own = sorted((r for r in got if r["doc_id"] == doc), key=lambda r: r["piece"])
+        assert b"".join(r["ids"] for r in own) == np.array([*t.encode(text or "", add_special_tokens=False).ids, 2], "<u4").tobytes()
+        assert all(zlib.crc32(r["ids"]) == r["ids_crc32"] for r in own)
+    assert "plain" not in plain_words._encoders[path].cache.known and "words," not in plain_words._encoders[path].cache.known
