@@ -103,17 +103,23 @@ class PieceCache:
             self.known.pop(x, None)
 
 
-def library_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
-    """encode_many of a tokenizers file; special tokens' strings count as ordinary text."""
+def library(path: str):
+    """The tokenizer of a tokenizers file; special tokens' strings count as ordinary text."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from array import array
-
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True
+    return t
+
+
+def library_encoder(path: str, t=None) -> Callable[[list[str]], list[bytes]]:
+    """encode_many of a tokenizers file, or of its tokenizer t where that is at hand."""
+    from array import array
+
+    t = library(path) if t is None else t
 
     def as_bytes(ids: list[int]) -> bytes:
         a = array("I", ids)

@@ -15,10 +15,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .pieces import _LETTERS, _MARKS, PieceCache, library_encoder, single_spaced
+from .common import give_back
+from .pieces import _LETTERS, _MARKS, PieceCache, _word_spelling, library, library_encoder, single_spaced
 
 #: Bytes of text encoded at a time, about.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
 #: Longer words are left to the cache of pieces.
 LONGEST = 250
 _SPACE, _LINE, _BARE = 0, 1, 2
@@ -37,17 +38,12 @@ class Merges:
         self.core, self.code, self.last, self.lead, self.line, self.ids = core, code, last, np.frombuffer(lead, np.uint8), line, ids
 
     @classmethod
-    def of(cls, path: str) -> Merges | None:
+    def of(cls, path: str, t) -> Merges | None:
+        """Of a tokenizers file and its tokenizer t."""
         try:
             from tiktoken._tiktoken import CoreBPE
         except ImportError:
             return None
-        from tokenizers import Tokenizer
-
-        from .pieces import _word_spelling
-
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         spelled, suffix, vocab = _word_spelling(t), model.get("end_of_word_suffix") or "", model["vocab"]
@@ -80,15 +76,17 @@ class Merges:
             got = [*map(inner.get, body[:-1]), tail.get(body[-1:])]
             return None if None in got else bytes(got)
 
-        merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
-        if len({a + b for a, b in merges}) < len(merges):
-            return None
-        for k, (a, b) in enumerate(merges, 128):
+        merges = model["merges"]
+        made: set[str] = set()
+        for k, m in enumerate(merges, 128):
+            a, b = m.split(" ") if isinstance(m, str) else m
+            made.add(a + b)
             x, y = coded(a), coded(b)
             if x and y:
                 ids[k], ranks[x + y], sides[x, y] = vocab[a + b], k, k
-        if not _sound(ranks, sides):
+        if len(made) < len(merges) or not _sound(sides):
             return None
+        del model, vocab, merges, made, sides
         table = np.zeros(max(ids) + 1, np.uint32)
         table[list(ids)] = list(ids.values())
         code, last = np.zeros(256, np.uint8), np.zeros(256, np.uint8)
@@ -133,7 +131,7 @@ class Merges:
         return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(self.ids[got[~ends]].astype("<u4"))])
 
 
-def _sound(ranks: dict[bytes, int], sides: dict[tuple[bytes, bytes], int]) -> bool:
+def _sound(sides: dict[tuple[bytes, bytes], int]) -> bool:
     """Whether each merged token, alone, is merged from the two that its merge names.
 
     Then no other two tokens that spell it ever stand side by side before its turn, in any word: the merges between
@@ -164,7 +162,9 @@ class ColumnEncoder:
     """encode(texts) gives each one's ids, as bytes of little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str) -> None:
-        self.cache, self.merges = PieceCache(library_encoder(path)), Merges.of(path)
+        t = library(path)
+        self.cache, self.merges = PieceCache(library_encoder(path, t)), Merges.of(path, t)
+        give_back()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
